@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import os
 import tempfile
 from collections.abc import Callable, Iterator
@@ -27,17 +26,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def cut_and_release(df: DataFrame) -> DataFrame:
-    """``cut``, then let the driver drop what only the finished part of the plan needed: its shuffle files would
-    otherwise stay on the executors' disks until the driver happens to collect its garbage."""
-    spark = df.sparkSession
-    out = cut(df)
-    del df
-    gc.collect()
-    spark._jvm.System.gc()
-    return out
-
-
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``mapInArrow`` over ``fn``, which turns one batch into one batch (or None for no rows)."""
 
