@@ -1,10 +1,696 @@
-"""All queries over the reference's own operators, with their DuckDB counterparts."""
+"""All queries over the engine's general operators, each with its DuckDB counterpart where SQL can express it."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from ..functions import scoring, text
+from ..operators import audit, claims, dedup, extraction, graph, relevance, research, resolution, similarity
+from . import adapters as a
+from .adapters import table
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under its function's name, with its SQL."""
+
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return add
+
+
+def re2(pattern: str) -> str:
+    """The pattern as a DuckDB string literal's content."""
+    return pattern.replace("'", "''")
+
+
+COUNTS = "count(*) FILTER (direction = 'increased') AS n_increased, count(*) FILTER (direction = 'decreased') AS n_decreased, count(*) FILTER (direction = 'no_change') AS n_no_change, count(*) FILTER (direction = 'associated') AS n_associated"
+SURFACE_SQL = r"trim(regexp_replace(regexp_replace(lower({0}), '[!-/:-@\[-`{{-~]', '', 'g'), '\s+', ' ', 'g'))"
+
+
+def surface_sql(col: str) -> str:
+    return SURFACE_SQL.format(col)
+
+
+# ---- research questions -------------------------------------------------------------------------------------------
+
+
+@query(f"""
+WITH {a.PAPERS}, {a.ASSOCIATIONS}, g AS (
+  SELECT taxon_id, min(taxon) AS taxon, count(DISTINCT paper_id) AS paper_count, avg(confidence) AS c, count(direction) AS n_directions, {COUNTS}
+  FROM associations JOIN papers_q USING (paper_id) WHERE disease = 'ASIA' AND confidence >= 0.7 AND data_availability = 'open' AND (has_sra OR has_ena)
+  GROUP BY taxon_id HAVING count(DISTINCT paper_id) >= 3 AND avg(confidence) >= 0.7)
+SELECT taxon_id, taxon, paper_count, round(c, 6) AS consensus_confidence, n_directions, n_increased, n_decreased, n_no_change, n_associated,
+  CASE greatest(n_increased, n_decreased, n_no_change, n_associated) WHEN n_increased THEN 'increased' WHEN n_decreased THEN 'decreased' WHEN n_associated THEN 'associated' ELSE 'no_change' END AS consensus_direction,
+  CASE WHEN n_directions > 0 THEN round(greatest(n_increased, n_decreased, n_no_change, n_associated)::DOUBLE / n_directions, 6) END AS direction_consistency
+FROM g""")
+def cross_study_associations(spark, folder):
+    return research.cross_study_associations(a.associations(spark, folder), a.papers(spark, folder), "ASIA", "any", 3, 0.7)
+
+
+@query(f"""
+WITH {a.PAPERS}, {a.INTERVENTIONS}
+SELECT intervention_type, taxon, effect_direction, CAST(sum(sample_size) AS BIGINT) AS total_sample_size, round(avg(confidence), 6) AS avg_confidence, count(DISTINCT paper_id) AS paper_count
+FROM interventions JOIN papers_q USING (paper_id)
+WHERE intervention_type IN ('Brand#11', 'Brand#12', 'Brand#13', 'Brand#21', 'Brand#22', 'Brand#33') AND evidence_strength = 'strong' AND article_type IN ('original_research', 'meta_analysis')
+GROUP BY ALL HAVING sum(sample_size) >= 50""")
+def intervention_evidence(spark, folder):
+    return research.intervention_evidence(a.interventions(spark, folder), a.papers(spark, folder), ["Brand#11", "Brand#12", "Brand#13", "Brand#21", "Brand#22", "Brand#33"])
+
+
+@query(f"""
+WITH {a.PAPERS}, {a.METHODOLOGY}, m AS (SELECT DISTINCT method, paper_id FROM methodology)
+SELECT method, year, count(*) AS total_papers, count(*) FILTER (has_sra OR has_ena) AS papers_with_data, count(*) FILTER (has_sra) AS sra_papers, count(*) FILTER (has_ena) AS ena_papers,
+  count(*) FILTER (has_sra AND has_ena) AS both_papers, round(count(*) FILTER (has_sra OR has_ena) * 100.0 / count(*), 4)::DOUBLE AS pct_with_data
+FROM m JOIN papers_q USING (paper_id) WHERE year BETWEEN 1996 AND 1999 GROUP BY ALL""")
+def methodology_landscape(spark, folder):
+    rows = a.methodology(spark, folder)
+    # every method of the table is of interest here
+    names = [r["method"] for r in rows.select("method").distinct().orderBy("method").limit(1000).collect()]
+    return research.methodology_landscape(rows, a.papers(spark, folder), 1996, 1999, names, require_deposited_data=False)
+
+
+@query(f"""
+WITH {a.ASSOCIATIONS}, g AS (
+  SELECT taxon_id, min(taxon) AS taxon, count(DISTINCT paper_id) AS paper_count, avg(confidence) AS c, count(direction) AS n_directions, {COUNTS}
+  FROM associations WHERE disease = 'EUROPE' AND confidence >= 0.7 GROUP BY taxon_id)
+SELECT taxon_id, taxon, paper_count, round(c, 6) AS avg_confidence,
+  CASE WHEN n_increased >= n_decreased AND n_increased >= n_no_change THEN 'increased' WHEN n_decreased >= n_increased AND n_decreased >= n_no_change THEN 'decreased' ELSE 'no_change' END AS consensus_direction,
+  CASE WHEN n_directions > 0 THEN round(greatest(n_increased, n_decreased, n_no_change)::DOUBLE / n_directions, 6) END AS direction_consistency
+FROM g ORDER BY paper_count DESC, avg_confidence DESC, taxon_id LIMIT 25""")
+def top_associations(spark, folder):
+    return research.top_associations(a.associations(spark, folder), "EUROPE", 25)
+
+
+@query(f"""
+WITH {a.PAPERS}, {a.ASSOCIATIONS}, g AS (
+  SELECT taxon_id, min(taxon) AS taxon, count(*) FILTER (direction = 'increased') AS increased_count, count(*) FILTER (direction = 'decreased') AS decreased_count
+  FROM associations JOIN papers_q USING (paper_id) WHERE disease = 'AMERICA' AND direction IN ('increased', 'decreased') GROUP BY taxon_id)
+SELECT taxon_id, taxon, increased_count, decreased_count, increased_count + decreased_count AS total_count, round(increased_count * 100.0 / (increased_count + decreased_count), 4)::DOUBLE AS increased_pct,
+  abs(increased_count - decreased_count) AS balance, increased_count AS n_increased_studies, decreased_count AS n_decreased_studies
+FROM g WHERE increased_count >= 2 AND decreased_count >= 2""")
+def conflicting_evidence(spark, folder):
+    got = research.conflicting_evidence(a.associations(spark, folder), a.papers(spark, folder), "AMERICA")
+    sizes = {"n_increased_studies": F.size("increased_studies").cast("bigint"), "n_decreased_studies": F.size("decreased_studies").cast("bigint")}
+    return got.withColumns(sizes).drop("increased_studies", "decreased_studies")
+
+
+CANONICAL = "CASE raw_predicate WHEN 'inhibits' THEN 'INHIBITS' WHEN 'promotes' THEN 'PROMOTES' WHEN 'associated with' THEN 'ASSOCIATED_WITH' ELSE 'RELATES_TO' END"
+SINGLE = "CASE WHEN confidence < 0.7 THEN 'weak' WHEN section_type IN ('abstract', 'introduction') THEN 'weak' WHEN section_type IN ('results', 'discussion') THEN CASE WHEN article_type IN ('original_research', 'clinical_trial', 'RCT') AND confidence >= 0.85 THEN 'strong' ELSE 'moderate' END ELSE 'weak' END"
+CLAIMS = f"""{a.PAPERS}, {a.TRIPLES}, promoted AS (
+  SELECT t.*, {CANONICAL} AS canonical_predicate, {SINGLE} AS evidence_strength FROM triples t LEFT JOIN (SELECT 'o' || paper_id AS paper_id, article_type FROM papers_q) p USING (paper_id) WHERE confidence >= 0.5),
+claims AS (
+  SELECT subject_id, canonical_predicate, object_id, arg_min(subject_name, ord) AS subject_name, arg_min(object_name, ord) AS object_name, arg_min(object_type, ord) AS object_type, count(DISTINCT paper_id) AS paper_count,
+    avg(confidence) AS consensus_confidence, CASE WHEN count(*) FILTER (evidence_strength IN ('moderate', 'strong')) >= 3 OR count(*) FILTER (evidence_strength = 'strong') > 0 THEN 'strong' WHEN count(*) FILTER (evidence_strength = 'moderate') > 0 THEN 'moderate' ELSE 'weak' END AS evidence_strength,
+    min(extracted_at) AS first_reported, max(extracted_at) AS last_updated
+  FROM promoted GROUP BY subject_id, canonical_predicate, object_id HAVING count(DISTINCT paper_id) >= 2)"""
+
+
+def _promoted(spark, folder):
+    papers = a.papers(spark, folder).select(F.concat(F.lit("o"), F.col("paper_id").cast("string")).alias("paper_id"), "article_type")
+    return claims.promote_triples(a.triples(spark, folder).withColumn("evidence", F.lit("line")), papers)
+
+
+def _claims(spark, folder):
+    return claims.aggregate_open_world(_promoted(spark, folder))
+
+
+@query(f"WITH {CLAIMS} SELECT subject_id, canonical_predicate, object_id, subject_name, object_name, paper_count, round(consensus_confidence, 6) AS consensus_confidence, evidence_strength, first_reported, last_updated FROM claims")
+def aggregate_open_world_claims(spark, folder):
+    cols = ["subject_id", "canonical_predicate", "object_id", "subject_name", "object_name", "paper_count", F.round("consensus_confidence", 6).alias("consensus_confidence"), "evidence_strength", "first_reported", "last_updated"]
+    return _claims(spark, folder).select(*cols)
+
+
+@query(f"WITH {CLAIMS} SELECT subject_id, canonical_predicate, object_id, paper_count, round(consensus_confidence, 6) AS consensus_confidence FROM claims WHERE canonical_predicate = 'PROMOTES' AND object_type = 'disease' AND paper_count >= 2 AND consensus_confidence >= 0.705")
+def open_world_claims(spark, folder):
+    got = research.open_world_claims(_claims(spark, folder), predicate="PROMOTES", object_type="disease", confidence_threshold=0.705)
+    return got.select("subject_id", "canonical_predicate", "object_id", "paper_count", F.round("consensus_confidence", 6).alias("consensus_confidence"))
+
+
+@query(f"""
+WITH {CLAIMS}, edges AS (SELECT 'o' || l_orderkey AS source_name, 'disease ' || l_suppkey % 41 AS target_name, {a.PREDICATE} AS rel_type, 1 - l_discount * 5 AS confidence FROM lineitem)
+SELECT 'paper_edge' AS origin, rel_type, round(confidence, 6) AS confidence, CASE WHEN target_name = 'disease 7' THEN source_name ELSE target_name END AS related_entity, CAST(1 AS BIGINT) AS paper_count FROM edges WHERE target_name = 'disease 7' OR source_name = 'disease 7'
+UNION SELECT 'claim_subject', canonical_predicate, round(consensus_confidence, 6), object_name, paper_count FROM claims WHERE subject_name = 'disease 7'
+UNION SELECT 'claim_object', canonical_predicate, round(consensus_confidence, 6), subject_name, paper_count FROM claims WHERE object_name = 'disease 7'""")
+def entity_relationships(spark, folder):
+    edges = table(spark, folder, "lineitem").selectExpr("concat('o', l_orderkey) AS source_name", "concat('disease ', l_suppkey % 41) AS target_name", f"{a.PREDICATE} AS rel_type", "1 - l_discount * 5 AS confidence")
+    return research.entity_relationships(edges, _claims(spark, folder), "disease 7")
+
+
+@query(f"WITH {CLAIMS} SELECT subject_id, canonical_predicate, object_id, paper_count, round(consensus_confidence, 6) AS consensus_confidence FROM claims WHERE regexp_full_match(canonical_predicate, 'PRO.*|INH.*') AND paper_count >= 2")
+def cross_paper_predicates(spark, folder):
+    got = research.cross_paper_predicates(_claims(spark, folder), "PRO.*|INH.*")
+    return got.select("subject_id", "canonical_predicate", "object_id", "paper_count", F.round("consensus_confidence", 6).alias("consensus_confidence"))
+
+
+# ---- claims -------------------------------------------------------------------------------------------------------
+
+
+@query(f"""
+WITH {a.PAPERS}, {a.ASSOCIATIONS}, r AS (SELECT s.*, article_type FROM associations s LEFT JOIN papers_q USING (paper_id)),
+g AS (SELECT taxon_id, direction, disease, avg(confidence) AS c, min(confidence) AS least, count(DISTINCT paper_id) AS paper_count, arg_min({{'p': p_value, 't': article_type}}, {{'a': paper_id, 'b': ord}}) AS f FROM r GROUP BY ALL)
+SELECT taxon_id, direction, disease, round(least(1.0, greatest(0.0, c)), 6) AS consensus_confidence, paper_count,
+  CASE WHEN f.p IS NULL THEN 'weak' WHEN f.p < 0.01 AND f.t IN ('original_research', 'clinical_trial', 'RCT') THEN 'strong' WHEN f.p < 0.05 THEN 'moderate' ELSE 'weak' END AS evidence_strength
+FROM g WHERE least >= 0.5 AND direction IS NOT NULL""")
+def reify_claims(spark, folder):
+    return claims.reify(a.associations(spark, folder), a.papers(spark, folder))
+
+
+@query(f"WITH {a.TRIPLES} SELECT raw_predicate, count(*) AS frequency, count(DISTINCT paper_id) AS paper_frequency, min(extracted_at) AS first_seen, max(extracted_at) AS last_seen, count(*) >= 5 AS promoted FROM triples GROUP BY raw_predicate")
+def novel_predicates(spark, folder):
+    return claims.novel_predicates(a.triples(spark, folder))
+
+
+@query(f"""
+WITH {CLAIMS} SELECT x.subject_id, x.object_id, y.canonical_predicate AS predicate_b, x.canonical_predicate AS predicate_a, x.paper_count AS papers_a, y.paper_count AS papers_b
+FROM claims x JOIN claims y ON x.subject_id = y.subject_id AND x.object_id = y.object_id AND x.canonical_predicate = 'INHIBITS' AND y.canonical_predicate = 'PROMOTES'""")
+def opposite_claims(spark, folder):
+    return claims.opposite_claims(_claims(spark, folder))
+
+
+@query("""
+SELECT claim_id, count(DISTINCT paper_id) AS paper_count, round(avg(confidence), 6) AS consensus_confidence,
+  CASE WHEN count(*) FILTER (evidence_strength IN ('moderate', 'strong')) >= 3 OR count(*) FILTER (evidence_strength = 'strong') > 0 THEN 'strong' WHEN count(*) FILTER (evidence_strength = 'moderate') > 0 THEN 'moderate' ELSE 'weak' END AS strength,
+  min(extraction_timestamp) AS first_reported, max(extraction_timestamp) AS last_updated
+FROM evidence_items WHERE claim_id IS NOT NULL GROUP BY claim_id HAVING count(DISTINCT paper_id) >= 2""")
+def evidence_item_claims(spark, folder):
+    items = table(spark, folder, "evidence_items").where("claim_id is not null")
+    got = items.groupBy("claim_id").agg(
+        F.count_distinct("paper_id").alias("paper_count"), F.round(F.avg("confidence"), 6).alias("consensus_confidence"), scoring.claim_strength(F.col("evidence_strength")).alias("strength"),
+        F.min("extraction_timestamp").alias("first_reported"), F.max("extraction_timestamp").alias("last_updated"),
+    )
+    return got.where("paper_count >= 2")
+
+
+@query("""
+WITH r AS (SELECT claim_id, confidence AS x, row_number() OVER (PARTITION BY claim_id ORDER BY extraction_timestamp NULLS FIRST, evidence_id) AS k, count(*) OVER (PARTITION BY claim_id) AS n FROM evidence_items WHERE confidence IS NOT NULL AND claim_id IS NOT NULL)
+SELECT claim_id, round(sum(x * CASE WHEN k = 1 THEN 1.0::DOUBLE ELSE 0.1::DOUBLE END * pow(0.9::DOUBLE, n - k)), 6) AS confidence, max(n) AS n_items FROM r GROUP BY claim_id""")
+def incremental_claim_confidence(spark, folder):
+    items = table(spark, folder, "evidence_items").where("claim_id is not null")
+    return claims.folded_confidence(items, "claim_id", "confidence", ["extraction_timestamp", "evidence_id"]).withColumn("confidence", F.round("confidence", 6))
+
+
+@query(f"WITH {a.ASSOCIATIONS} SELECT coalesce(direction, 'none') AS rel_type, count(*) AS n_edges, count(DISTINCT paper_id) AS n_papers FROM associations GROUP BY ALL")
+def relation_statistics(spark, folder):
+    return claims.relation_statistics(a.associations(spark, folder).withColumn("rel_type", F.coalesce("direction", F.lit("none"))))
+
+
+# ---- dedup and merge ----------------------------------------------------------------------------------------------
+
+KEY_SQL = "coalesce('doi:' || lower(nullif(trim(doi), '')), 'pmid:' || nullif(trim(pmid), ''), 'title:' || left(lower(nullif(trim(title), '')), 80))"
+RANK_SQL = "CASE lower(trim(source)) WHEN 'pubmed' THEN 0 WHEN 'europepmc' THEN 1 WHEN 'semantic_scholar' THEN 2 WHEN 'openalex' THEN 3 WHEN 'crossref' THEN 4 WHEN 'core' THEN 5 ELSE 6 END"
+
+
+@query(f"SELECT paper_id, {KEY_SQL} AS dedup_key FROM papers")
+def dedup_keys(spark, folder):
+    return dedup.record_key(table(spark, folder, "papers")).select("paper_id", "dedup_key")
+
+
+def _first(col: str) -> str:
+    return f"arg_min({col}, {{'r': {RANK_SQL}, 'p': paper_id}}) FILTER ({col} IS NOT NULL AND CAST({col} AS VARCHAR) <> '') AS {col}"
+
+
+@query(f"""
+WITH k AS (SELECT *, {KEY_SQL} AS dedup_key FROM papers)
+SELECT dedup_key, count(*) AS n_records, coalesce(string_agg(DISTINCT lower(trim(source)), '+' ORDER BY lower(trim(source))), '') AS sources, coalesce(bool_or(is_open_access), false) AS is_open_access, {", ".join(_first(c) for c in dedup.FILLED)}
+FROM k WHERE dedup_key IS NOT NULL GROUP BY dedup_key""")
+def merge_records(spark, folder):
+    return dedup.merge_records(table(spark, folder, "papers").drop(*dedup.LISTS))
+
+
+@query()
+def merge_record_lists(spark, folder):
+    return dedup.merge_records(table(spark, folder, "papers")).select("dedup_key", *dedup.LISTS)
+
+
+@query("SELECT paper_id, md5(coalesce(title, 'None') || '|' || coalesce(abstract, 'None') || '|' || coalesce(array_to_string(authors, '|'), '')) AS hash FROM papers")
+def content_hashes(spark, folder):
+    return table(spark, folder, "papers").select("paper_id", text.content_hash(F.col("title"), F.col("abstract"), F.col("authors")).alias("hash"))
+
+
+@query("SELECT content_hash, min(paper_id) AS paper_id, count(*) AS n_copies FROM papers WHERE content_hash IS NOT NULL GROUP BY content_hash")
+def stored_batches_dedup(spark, folder):
+    rows = table(spark, folder, "papers").where("content_hash is not null")
+    return rows.groupBy("content_hash").agg(F.min("paper_id").alias("paper_id"), F.count("*").alias("n_copies"))
+
+
+@query("SELECT paper_id, content_hash FROM papers p WHERE lower(trim(source)) = 'core' AND content_hash IS NOT NULL AND NOT EXISTS (SELECT 1 FROM papers q WHERE lower(trim(q.source)) = 'pubmed' AND q.content_hash = p.content_hash)")
+def skip_processed(spark, folder):
+    rows = table(spark, folder, "papers").where("content_hash is not null").select("paper_id", "content_hash", F.lower(F.trim("source")).alias("s"))
+    return dedup.skip_processed(rows.where("s = 'core'"), rows.where("s = 'pubmed'"), "content_hash").select("paper_id", "content_hash")
+
+
+@query("""
+WITH c AS (SELECT * FROM papers WHERE lower(trim(source)) = 'crossref'), s AS (SELECT * FROM papers WHERE lower(trim(source)) = 'pubmed')
+SELECT paper_id FROM c WHERE doi IN (SELECT doi FROM s WHERE doi IS NOT NULL) OR pmid IN (SELECT pmid FROM s WHERE pmid IS NOT NULL)""")
+def store_membership(spark, folder):
+    rows = table(spark, folder, "papers").withColumn("s", F.lower(F.trim("source"))).select("paper_id", "doi", "pmid", "s")
+    return dedup.known_elsewhere(rows.where("s = 'crossref'"), rows.where("s = 'pubmed'")).select("paper_id")
+
+
+# ---- sentences and extraction -------------------------------------------------------------------------------------
+
+
+@query(r"""
+WITH l AS (SELECT evidence_id, list_filter(list_transform(regexp_split_to_array(source_sentence, '[.!?]+\s+'), lambda s: trim(s)), lambda s: s <> '') AS parts FROM evidence_items WHERE regexp_matches(source_sentence, '^[\x20-\x7E]*$'))
+SELECT evidence_id, CAST(p - 1 AS INT) AS pos, parts[p] AS sentence FROM (SELECT evidence_id, parts, unnest(range(1, len(parts) + 1)) AS p FROM l)""")
+def relation_sentences(spark, folder):
+    rows = table(spark, folder, "evidence_items").where(F.col("source_sentence").rlike(r"^[\x20-\x7E]*$"))
+    return rows.select("evidence_id", F.posexplode(text.sentences_dropping(F.col("source_sentence"))).alias("pos", "sentence"))
+
+
+@query()
+def promoter_sentences(spark, folder):
+    rows = table(spark, folder, "sections").where("content is not null")
+    return rows.select("section_id", F.posexplode(text.sentences_keeping(F.col("content"))).alias("pos", "sentence"))
+
+
+@query()
+def sentence_context(spark, folder):
+    rows = table(spark, folder, "sections").where("content is not null").select("section_id", "content", text.sentences_keeping(F.col("content")).alias("all"))
+    got = rows.select("section_id", "content", "all", F.posexplode("all").alias("pos", "sentence"))
+    return got.select("section_id", "pos", text.char_offset(F.col("content"), F.col("sentence")).alias("char_offset"), text.context(F.col("all"), F.col("pos"), 2).alias("context"))
+
+
+def _case(table_: tuple[tuple[str, str], ...], col: str) -> str:
+    return "CASE " + " ".join(f"WHEN regexp_matches({col}, '{re2(p)}') THEN '{n}'" for n, p in table_) + " END"
+
+
+P_SQL = r"coalesce(try_cast(nullif(regexp_extract(s, '(?i)\bp\s*=\s*([0-9]*\.?[0-9]+)', 1), '') AS DOUBLE), try_cast(nullif(regexp_extract(s, '(?i)\bp\s*<\s*([0-9]*\.?[0-9]+)', 1), '') AS DOUBLE))"
+E_SQL = r"coalesce(try_cast(nullif(regexp_extract(s, '(?i)odds ratio\s*([0-9]*\.?[0-9]+)', 1), '') AS DOUBLE), try_cast(nullif(regexp_extract(s, '(?i)fold[ -]change\s*(?:of|=)?\s*([0-9]*\.?[0-9]+)', 1), '') AS DOUBLE), try_cast(nullif(regexp_extract(s, '(?i)area of\s*([0-9]*\.?[0-9]+)', 1), '') AS DOUBLE))"
+N_SQL = r"coalesce(try_cast(nullif(regexp_extract(s, '(?i)\bn\s*=\s*([0-9]+)', 1), '') AS DOUBLE), try_cast(nullif(regexp_extract(s, '(?i)\benrolled ([0-9]+)', 1), '') AS DOUBLE), try_cast(nullif(regexp_extract(s, '(?i)\b([0-9]+) (?:samples|aliquots|participants)', 1), '') AS DOUBLE))"
+STATEMENTS = f"""e AS (SELECT evidence_id, paper_id, source_sentence AS s FROM evidence_items WHERE source_sentence IS NOT NULL),
+x AS (SELECT evidence_id, paper_id, {_case(text.DIRECTIONS, "s")} AS direction, CASE WHEN {P_SQL} BETWEEN 0 AND 1 THEN {P_SQL} END AS p_value, {E_SQL} AS effect_size, {_case(text.MEASURES, "s")} AS measure, {_case(text.CONTEXTS, "s")} AS comparison,
+  CASE WHEN {N_SQL} BETWEEN 2 AND 500000 THEN CAST({N_SQL} AS BIGINT) END AS sample_size FROM e)"""
+
+
+@query(f"""WITH {STATEMENTS} SELECT evidence_id, direction, p_value, effect_size, measure, comparison, sample_size,
+  round(least(1.0, CASE WHEN direction IS NOT NULL THEN 0.5 ELSE 0.0 END + CASE WHEN p_value IS NOT NULL THEN 0.3 ELSE 0.0 END + CASE WHEN effect_size IS NOT NULL THEN 0.15 ELSE 0.0 END + CASE WHEN measure IS NOT NULL THEN 0.05 ELSE 0.0 END), 6)::DOUBLE AS confidence FROM x""")
+def association_statements(spark, folder):
+    return extraction.statements(table(spark, folder, "evidence_items"), "evidence_id", "source_sentence")
+
+
+PLAIN_SQL = "' ' || trim(regexp_replace(lower({0}), '[^a-z0-9-]+', ' ', 'g')) || ' '"
+OCCURRENCES = f"""dict AS (SELECT DISTINCT entity_type AS label, trim({PLAIN_SQL.format("primary_name")}, ' ') AS term FROM canonical_entities
+  UNION SELECT DISTINCT label, trim({PLAIN_SQL.format("text")}, ' ') FROM mentions WHERE label NOT IN ('taxon', 'disease', 'method', 'population') AND text IS NOT NULL),
+good AS (SELECT * FROM dict WHERE length(term) >= {extraction.LEAST} AND len(string_split(term, ' ')) <= {extraction.LONGEST_TERM}),
+s AS (SELECT evidence_id, paper_id, source_sentence AS raw, {PLAIN_SQL.format("source_sentence")} AS plain FROM evidence_items WHERE source_sentence IS NOT NULL),
+occ AS (SELECT evidence_id, paper_id, raw, label, term FROM s JOIN good ON contains(plain, ' ' || term || ' '))"""
+
+
+def _occurrences(spark, folder):
+    entities, mentions = table(spark, folder, "canonical_entities"), table(spark, folder, "mentions")
+    terms = entities.select(F.col("entity_type").alias("label"), F.col("primary_name").alias("term"))
+    terms = terms.unionByName(mentions.where(~F.col("label").isin("taxon", "disease", "method", "population") & F.col("text").isNotNull()).select("label", F.col("text").alias("term")))
+    return extraction.dictionary_mentions(table(spark, folder, "evidence_items"), "evidence_id", "source_sentence", terms)
+
+
+@query(f"WITH {OCCURRENCES} SELECT evidence_id, label, term FROM occ")
+def dictionary_mentions(spark, folder):
+    return _occurrences(spark, folder)
+
+
+def _pair_query(name: str, spec: extraction.Spec) -> None:
+    sql = f"""WITH {OCCURRENCES}, r AS (SELECT x.evidence_id, x.term AS source, y.term AS target, {_case(spec.directions, "x.raw")} AS direction FROM occ x JOIN occ y ON x.evidence_id = y.evidence_id AND x.label = '{spec.source}' AND y.label = '{spec.target}')
+      SELECT '{name}' AS relation_type, evidence_id, source, target, direction FROM r WHERE direction IS NOT NULL"""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        got = extraction.pair_relations(table(spark, folder, "evidence_items"), _occurrences(spark, folder), spec)
+        return got.select(F.lit(name).alias("relation_type"), "evidence_id", "source", "target", "direction")
+
+    run.__name__ = name
+    query(sql)(run)
+
+
+for _name, _spec in extraction.SPECS.items():
+    _pair_query(_name, _spec)
+
+
+@query(r"SELECT section_id, list_distinct(regexp_extract_all(content, '\b(?:SRX|PRJX|GSX)[0-9]{7}\b')) IS NOT NULL AND len(regexp_extract_all(content, '\b(?:SRX|PRJX|GSX)[0-9]{7}\b')) > 0 AS has_accession, CAST(len(list_distinct(regexp_extract_all(content, '\b(?:SRX|PRJX|GSX)[0-9]{7}\b'))) AS INT) AS n_accessions, CASE WHEN len(regexp_extract_all(content, '\b(?:SRX|PRJX|GSX)[0-9]{7}\b')) > 0 THEN 'accession_linked' WHEN regexp_matches(content, 'https?://') THEN 'url' WHEN regexp_matches(content, '(?i)upon (?:reasonable )?request') THEN 'restricted' ELSE 'not_stated' END AS status FROM sections WHERE section_type = 'data_availability' AND content IS NOT NULL")
+def data_availability(spark, folder):
+    rows = table(spark, folder, "sections").where("section_type = 'data_availability' and content is not null")
+    return extraction.availability(rows, "section_id", "content")
+
+
+DESIGN_SQL = "CASE " + " ".join(f"WHEN regexp_matches(t, '{re2(p)}') THEN '{n}'" for n, p, _ in extraction.DESIGNS) + " END"
+
+
+@query(f"SELECT paper_id, {DESIGN_SQL} AS design, coalesce(regexp_matches(t, '(?i)\\b(crossover|randomi[sz]ed|blinded|stepped-wedge)\\b'), false) AS is_trial FROM (SELECT paper_id, coalesce(title, '') || ' ' || coalesce(abstract, '') AS t FROM papers)")
+def study_design(spark, folder):
+    return extraction.study_design(table(spark, folder, "papers"))
+
+
+@query("""
+SELECT paper_id, CASE WHEN len(list_filter(article_types, lambda t: lower(t) LIKE '%meta-analysis%')) > 0 THEN 'meta_analysis' WHEN len(list_filter(article_types, lambda t: lower(t) LIKE '%review%')) > 0 THEN 'review'
+  WHEN len(list_filter(article_types, lambda t: lower(t) LIKE '%trial%')) > 0 THEN 'clinical_trial' WHEN is_preprint THEN 'preprint' WHEN regexp_matches(coalesce(title, ''), '(?i)\\b(meta-analysis|systematic review)\\b') THEN 'meta_analysis'
+  WHEN regexp_matches(coalesce(abstract, ''), '(?i)\\bwe (?:enrolled|compared|analy[sz]ed|profiled)\\b') THEN 'original_research' ELSE 'unknown' END AS article_type FROM papers""".replace("\\\\", "\\"))
+def article_types(spark, folder):
+    return extraction.article_type(table(spark, folder, "papers"))
+
+
+@query(f"""SELECT info_id, CASE WHEN is_predatory THEN 'predatory' WHEN impact_factor IS NULL AND quartile IS NULL THEN 'unrated' ELSE coalesce(quartile, 'unranked') END AS class,
+  round(CASE quartile WHEN 'Q1' THEN 0.30 WHEN 'Q2' THEN 0.22 WHEN 'Q3' THEN 0.14 WHEN 'Q4' THEN 0.06 ELSE 0.0 END + CASE WHEN is_open_access THEN 0.15 ELSE 0.0 END, 3)::DOUBLE AS score FROM journal_info""")
+def journal_quality(spark, folder):
+    rows = table(spark, folder, "journal_info")
+    kind = F.when(F.col("is_predatory"), "predatory").when(F.col("impact_factor").isNull() & F.col("quartile").isNull(), "unrated").otherwise(F.coalesce("quartile", F.lit("unranked")))
+    none = F.lit(None).cast("string")
+    score = scoring.quality(F.col("quartile"), none, F.lit(None).cast("int"), F.when(F.col("is_open_access"), "open"), F.lit(0))
+    return rows.select("info_id", kind.alias("class"), score.alias("score"))
+
+
+@query("SELECT paper_id, lower(text) AS form, label, arg_min(text, mention_id) AS first_text, count(*) AS n FROM mentions WHERE trim(text) <> '' GROUP BY paper_id, lower(text), label")
+def mention_groups(spark, folder):
+    return extraction.distinct_mentions(table(spark, folder, "mentions"))
+
+
+@query("""WITH w AS (SELECT doc_id, list_filter(string_split_regex(text, '[ \\n\\r\\t\\f\\x0b]+'), lambda x: x <> '') AS words FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, CAST(len(words) AS INT) AS n_words, CAST(greatest(0, len(words) - 51) // 350 + 1 AS INT) AS n_chunks FROM w""")
+def word_chunks(spark, folder):
+    words = F.filter(F.split("text", r"[ \n\r\t\f\x0b]+"), lambda w: w != "")
+    rows = table(spark, folder, "documents").where("text is not null").select("doc_id", words.alias("words"))
+    return rows.select("doc_id", F.size("words").alias("n_words"), F.size(text.chunks(F.col("words"))).alias("n_chunks"))
+
+
+@query()
+def section_parse(spark, folder):
+    return extraction.header_sections(table(spark, folder, "sections").where("content is not null"), "section_id", "content")
+
+
+@query(r"SELECT section_id, trim(regexp_replace(regexp_replace(content, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS stripped FROM sections WHERE content IS NOT NULL AND regexp_matches(content, '^[\x00-\x7F]*$')")
+def stripped_tags(spark, folder):
+    rows = table(spark, folder, "sections").where(F.col("content").rlike(r"^[\x00-\x7F]*$"))
+    return rows.select("section_id", text.strip_tags(F.col("content")).alias("stripped"))
+
+
+# ---- relevance ----------------------------------------------------------------------------------------------------
+
+TEXT_SQL = "lower(coalesce(title, '') || ' ' || coalesce(abstract, ''))"
+RULE_SQL = "round(greatest(0.0::DOUBLE, least(1.0::DOUBLE, greatest(-1.0::DOUBLE, least(1.5::DOUBLE, " + " + ".join(f"CASE WHEN contains(t, '{w}') THEN {v}::DOUBLE ELSE 0.0::DOUBLE END" for w, v in relevance.POSITIVE + relevance.NEGATIVE) + ")) / 1.5::DOUBLE)), 3)"
+GATE_SQL = "(" + " OR ".join(f"contains(t, '{w}')" for w in relevance.GATE) + ")"
+
+
+def _list_sql(words: tuple[str, ...]) -> str:
+    return "list_has_any(list_transform(coalesce(mesh_terms, []), lambda x: lower(x)), [" + ", ".join(f"'{w}'" for w in words) + "])"
+
+
+META_SQL = f"CASE WHEN {_list_sql(relevance.ANIMAL)} AND NOT {_list_sql(relevance.HUMAN)} THEN 'REJECT' WHEN NOT {_list_sql(relevance.MICROBIOME)} THEN 'UNKNOWN' WHEN {_list_sql(relevance.HUMAN)} THEN 'KEEP' ELSE 'UNKNOWN' END"
+
+
+@query(f"""WITH x AS (SELECT paper_id, mesh_terms, {TEXT_SQL} AS t FROM papers), y AS (SELECT paper_id, {META_SQL} AS m, {RULE_SQL} AS rule, {GATE_SQL} AS gate FROM x)
+SELECT paper_id, CASE WHEN m <> 'UNKNOWN' THEN 'stage1' WHEN NOT gate THEN 'gate' WHEN rule >= 0.45 OR rule <= 0.1 THEN 'stage2' ELSE 'review' END AS stage, rule,
+  CASE WHEN m <> 'UNKNOWN' THEN m = 'KEEP' WHEN NOT gate THEN false WHEN rule >= 0.45 THEN true WHEN rule <= 0.1 THEN false END AS keep FROM y""")
+def relevance_cascade(spark, folder):
+    rows = table(spark, folder, "papers")
+    t = F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.coalesce("abstract", F.lit("")))
+    return relevance.cascade(rows, t, "mesh_terms").select("paper_id", "stage", "rule", "keep")
+
+
+@query(f"""WITH x AS (SELECT paper_id, mesh_terms, {TEXT_SQL} AS t FROM papers), y AS (SELECT {META_SQL} AS m, {RULE_SQL} AS rule, {GATE_SQL} AS gate FROM x)
+SELECT CASE WHEN m <> 'UNKNOWN' THEN 'stage1' WHEN NOT gate THEN 'gate' WHEN rule >= 0.45 OR rule <= 0.1 THEN 'stage2' ELSE 'review' END AS stage, count(*) AS n_rows, round(avg(rule), 5) AS mean_rule FROM y GROUP BY 1""")
+def filter_stage_counts(spark, folder):
+    return relevance_cascade(spark, folder).groupBy("stage").agg(F.count("*").alias("n_rows"), F.round(F.avg("rule"), 5).alias("mean_rule"))
+
+
+LABELLED = "labelled AS (SELECT mention_id, round(confidence, 3) AS score, CASE WHEN grounded THEN 1 ELSE 0 END AS label FROM mentions WHERE confidence IS NOT NULL)"
+
+
+def _labelled(spark, folder):
+    rows = table(spark, folder, "mentions").where("confidence is not null")
+    return rows.select("mention_id", F.round("confidence", 3).alias("score"), F.when(F.col("grounded"), 1).otherwise(0).alias("label"))
+
+
+@query(f"""WITH {LABELLED}, g AS (SELECT score, count(*) AS n, CAST(sum(label) AS BIGINT) AS pos FROM labelled GROUP BY score)
+SELECT score, n, pos, CAST(sum(n) OVER (ORDER BY score DESC) AS BIGINT) AS cum_n, CAST(sum(pos) OVER (ORDER BY score DESC) AS BIGINT) AS cum_pos, round(sum(pos) OVER (ORDER BY score DESC)::DOUBLE / sum(n) OVER (ORDER BY score DESC), 6) AS precision FROM g""")
+def threshold_sweep(spark, folder):
+    return relevance.sweep_counts(_labelled(spark, folder), "score", "label").select("score", "n", "pos", "cum_n", "cum_pos", F.round("precision", 6).alias("precision"))
+
+
+@query()
+def calibrated_thresholds(spark, folder):
+    return relevance.calibrated_thresholds(_labelled(spark, folder), "score", "label")
+
+
+@query(f"""WITH {LABELLED}, b AS (SELECT least(floor(score * 10), 9) AS bin, count(*) AS n, avg(label) AS acc, avg(score) AS conf FROM labelled GROUP BY 1)
+SELECT round(sum(n * abs(acc - conf)) / sum(n), 6) AS ece, CAST(sum(n) AS BIGINT) AS n_rows FROM b""")
+def calibration_error(spark, folder):
+    return relevance.calibration_error(_labelled(spark, folder), "score", "label")
+
+
+@query()
+def platt_scores(spark, folder):
+    rows = _labelled(spark, folder)
+    fit = relevance.platt(rows, "score", "label")
+    return rows.select("mention_id", F.round(relevance.calibrated(F.col("score"), fit), 4).alias("probability"))
+
+
+# ---- similarity ---------------------------------------------------------------------------------------------------
+
+COS_SQL = "list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(v.embedding AS DOUBLE[]))"
+
+
+@query(f"""WITH p AS (SELECT q.vec_id AS query_id, v.vec_id AS id, round({COS_SQL}, 4) AS similarity, row_number() OVER (PARTITION BY q.vec_id ORDER BY {COS_SQL} DESC, v.vec_id) AS rank
+  FROM embeddings q JOIN embeddings v ON q.vec_id % 100 = 0 AND q.vec_id <> v.vec_id) SELECT query_id, id, similarity, CAST(rank AS INT) AS rank FROM p WHERE rank <= 10""")
+def nearest_vectors(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    got = similarity.top_k(vectors, vectors.where("vec_id % 100 = 0"), "vec_id", "embedding", 10)
+    return got.withColumn("similarity", F.round("similarity", 4))
+
+
+def _partition_best(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    queries = vectors.where("vec_id % 100 = 0")
+    best = lambda p: similarity.top_k(vectors.where(f"label % 2 = {p}"), queries, "vec_id", "embedding", 1).select("query_id", F.col("similarity").alias(f"s{p}"))
+    return best(1).join(best(0), "query_id")
+
+
+BEST_SQL = f"b AS (SELECT q.vec_id AS query_id, max({COS_SQL}) FILTER (v.label % 2 = 1) AS s1, max({COS_SQL}) FILTER (v.label % 2 = 0) AS s0 FROM embeddings q JOIN embeddings v ON q.vec_id % 100 = 0 AND q.vec_id <> v.vec_id GROUP BY q.vec_id)"
+
+
+@query(f"WITH {BEST_SQL} SELECT query_id, round(s1, 4) AS positive, round(s0, 4) AS negative, CASE WHEN s1 >= 0.85 AND s0 < 0.60 THEN 'KEEP' WHEN s0 >= 0.85 AND s1 < 0.60 THEN 'REJECT' ELSE 'BORDERLINE' END AS verdict FROM b")
+def embedding_verdicts(spark, folder):
+    got = _partition_best(spark, folder)
+    verdict = relevance.embedding_verdict(F.col("s1"), F.col("s0"), F.lit(50), F.lit(50))
+    return got.select("query_id", F.round("s1", 4).alias("positive"), F.round("s0", 4).alias("negative"), verdict.alias("verdict"))
+
+
+@query(f"WITH {BEST_SQL} SELECT query_id, greatest(s1, s0) > 0.97 AS cached FROM b")
+def semantic_cache_hits(spark, folder):
+    return _partition_best(spark, folder).select("query_id", (F.greatest("s1", "s0") > 0.97).alias("cached"))
+
+
+# ---- entity resolution --------------------------------------------------------------------------------------------
+
+
+@query(f"SELECT synonym_id, {surface_sql('surface_form')} AS form FROM synonyms WHERE regexp_matches(surface_form, '^[\\x00-\\x7F]*$')".replace("\\\\", "\\"))
+def surface_forms(spark, folder):
+    rows = table(spark, folder, "synonyms").where(F.col("surface_form").rlike(r"^[\x00-\x7F]*$"))
+    return rows.select("synonym_id", text.surface_form(F.col("surface_form")).alias("form"))
+
+
+ASCII = "regexp_matches(surface_form, '^[\\x00-\\x7F]*$')"
+
+
+def _ascii_synonyms(spark, folder):
+    return table(spark, folder, "synonyms").where(F.col("surface_form").rlike(r"^[\x00-\x7F]*$"))
+
+
+@query(f"WITH s AS (SELECT {surface_sql('surface_form')} AS form, canonical_id FROM synonyms WHERE canonical_id IS NOT NULL AND {ASCII}) SELECT form, count(DISTINCT canonical_id) AS n_entities, count(*) AS n_rows FROM s WHERE form <> '' GROUP BY form HAVING count(DISTINCT canonical_id) > 1")
+def synonym_conflicts(spark, folder):
+    return resolution.synonym_conflicts(_ascii_synonyms(spark, folder))
+
+
+@query(f"""WITH f AS (SELECT DISTINCT entity_type, {surface_sql('surface_form')} AS form FROM synonyms JOIN canonical_entities USING (canonical_id) WHERE {ASCII}), n AS (SELECT DISTINCT entity_type, {surface_sql('primary_name')} AS name FROM canonical_entities)
+SELECT entity_type, form, name, CAST(levenshtein(form, name) AS INT) AS distance, round(1 - levenshtein(form, name)::DOUBLE / greatest(length(form), length(name)) * 0.5, 6) AS confidence
+FROM f JOIN n USING (entity_type) WHERE length(form) >= 4 AND length(name) >= 4 AND levenshtein(form, name) <= 2""")
+def fuzzy_matches(spark, folder):
+    entities = table(spark, folder, "canonical_entities").select("canonical_id", "entity_type", text.surface_form(F.col("primary_name")).alias("n"))
+    forms = _ascii_synonyms(spark, folder).join(entities, "canonical_id").select("entity_type", text.surface_form(F.col("surface_form")).alias("f"))
+    return resolution.fuzzy_join(forms, entities, "f", "n", "entity_type")
+
+
+@query(f"WITH s AS (SELECT DISTINCT {surface_sql('surface_form')} AS form FROM synonyms WHERE {ASCII}) SELECT form FROM s WHERE starts_with(form, 'bez') ORDER BY form LIMIT 50")
+def prefix_lookup(spark, folder):
+    return resolution.prefix_lookup(_ascii_synonyms(spark, folder).select(text.surface_form(F.col("surface_form")).alias("form")), "bez")
+
+
+@query("WITH f AS (SELECT DISTINCT trim(text) AS form FROM mentions WHERE text IS NOT NULL), j AS (SELECT form, full_form FROM f JOIN abbreviations ON lower(form) = lower(abbreviated_form)) SELECT form, full_form, round(1.0 / count(*) OVER (PARTITION BY form), 6)::DOUBLE AS confidence FROM j")
+def abbreviation_expansions(spark, folder):
+    forms = table(spark, folder, "mentions").where("text is not null").select(F.trim("text").alias("form")).distinct()
+    return resolution.expand_abbreviations(forms, table(spark, folder, "abbreviations"))
+
+
+@query(r"""WITH f AS (SELECT DISTINCT trim(text) AS form FROM mentions WHERE label = 'taxon' AND regexp_full_match(lower(trim(text)), '[a-z]\. ?[a-z]{3,}')),
+t AS (SELECT canonical_id, lower(substr(primary_name, 1, 1)) AS i, lower(split_part(primary_name, ' ', 2)) AS s FROM canonical_entities WHERE entity_type = 'taxon')
+SELECT form, canonical_id, round(1.0 / count(*) OVER (PARTITION BY form), 6)::DOUBLE AS confidence FROM f JOIN t ON i = substr(lower(form), 1, 1) AND s = regexp_extract(lower(form), '([a-z]{3,})$', 1)""")
+def genus_expansions(spark, folder):
+    forms = table(spark, folder, "mentions").where("label = 'taxon' and text is not null").select(F.trim("text").alias("form"))
+    return resolution.expand_genus(forms, table(spark, folder, "canonical_entities").where("entity_type = 'taxon'"))
+
+
+RESOLVE_SQL = f"""f AS (SELECT DISTINCT text AS form FROM mentions WHERE text IS NOT NULL AND regexp_matches(text, '^[\\x00-\\x7F]*$')), n AS (SELECT form, {surface_sql('form')} AS norm FROM f),
+e AS (SELECT {surface_sql('primary_name')} AS norm, min(canonical_id) AS id FROM canonical_entities GROUP BY 1),
+ab0 AS (SELECT {surface_sql('abbreviated_form')} AS norm, min(full_form) AS fu, count(DISTINCT full_form) AS k FROM abbreviations GROUP BY 1), ab AS (SELECT norm, canonical_id AS id, 1.0::DOUBLE / k AS c FROM ab0 JOIN canonical_entities ON fu = primary_name WHERE k <= 2),
+sy AS (SELECT {surface_sql('surface_form')} AS norm, min(canonical_id) AS id FROM synonyms WHERE canonical_id IS NOT NULL GROUP BY 1),
+resolved AS (SELECT form, coalesce(e.id, ab.id, sy.id) AS canonical_id, CASE WHEN e.id IS NOT NULL THEN 'exact' WHEN ab.id IS NOT NULL THEN 'abbreviation' WHEN sy.id IS NOT NULL THEN 'synonym' ELSE 'unresolved' END AS strategy,
+  coalesce(CASE WHEN e.id IS NOT NULL THEN 1.0::DOUBLE END, ab.c, CASE WHEN sy.id IS NOT NULL THEN 0.95::DOUBLE END, 0.0::DOUBLE) AS confidence FROM n LEFT JOIN e USING (norm) LEFT JOIN ab USING (norm) LEFT JOIN sy USING (norm) WHERE norm <> '')"""
+
+
+def _resolved(spark, folder):
+    forms = table(spark, folder, "mentions").where(F.col("text").rlike(r"^[\x00-\x7F]*$")).select(F.col("text").alias("form"))
+    return resolution.resolve(forms, table(spark, folder, "canonical_entities"), table(spark, folder, "synonyms"), table(spark, folder, "abbreviations"))
+
+
+@query(f"WITH {RESOLVE_SQL} SELECT * FROM resolved")
+def resolution_cascade(spark, folder):
+    return _resolved(spark, folder)
+
+
+@query(f"WITH {RESOLVE_SQL} SELECT strategy, count(*) AS n_total, count(canonical_id) AS n_resolved, count(*) - count(canonical_id) AS n_unresolved, round(avg(confidence) FILTER (canonical_id IS NOT NULL), 6) AS avg_confidence, round(avg(CASE WHEN canonical_id IS NOT NULL THEN 1 ELSE 0 END), 6) AS resolution_rate FROM resolved GROUP BY ROLLUP (strategy)")
+def resolution_metrics(spark, folder):
+    return resolution.resolution_metrics(_resolved(spark, folder), "strategy")
+
+
+SNAP_SQL = "snap AS (SELECT event_type, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, avg(value) / 100 AS rate FROM events GROUP BY 1, 2)"
+
+
+@query(f"""WITH {SNAP_SQL}, w AS (SELECT *, avg(rate) OVER (PARTITION BY event_type ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior, lead(day) OVER (PARTITION BY event_type ORDER BY day) AS nx FROM snap)
+SELECT event_type, day, round(rate, 6) AS rate, round(prior, 6) AS prior, round(prior - rate, 9) > 0.05 AS degraded FROM w WHERE nx IS NULL AND prior IS NOT NULL""")
+def degradation(spark, folder):
+    snaps = table(spark, folder, "events").groupBy("event_type", F.date_trunc("day", "ts").alias("day")).agg((F.avg("value") / 100).alias("rate"))
+    return resolution.degradation(snaps, "event_type", "day", "rate")
+
+
+@query("""WITH e AS (SELECT DISTINCT 'n' || n_nationkey AS c, 'r' || n_regionkey AS p FROM nation UNION SELECT DISTINCT 's' || s_suppkey, 'n' || s_nationkey FROM supplier UNION SELECT DISTINCT 'r' || r_regionkey, 'world' FROM region),
+l1 AS (SELECT c AS node, p AS ancestor FROM e), l2 AS (SELECT DISTINCT node, p AS ancestor FROM l1 JOIN e ON ancestor = c), l3 AS (SELECT DISTINCT node, p AS ancestor FROM l2 JOIN e ON ancestor = c)
+SELECT node, ancestor, 1 AS level, 0.5::DOUBLE AS confidence FROM l1 UNION ALL SELECT node, ancestor, 2, 0.4::DOUBLE FROM l2 UNION ALL SELECT node, ancestor, 3, 0.3::DOUBLE FROM l3""")
+def ontology_ancestors(spark, folder):
+    k = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
+    edges = table(spark, folder, "nation").select(k("n", "n_nationkey").alias("c"), k("r", "n_regionkey").alias("p"))
+    edges = edges.unionByName(table(spark, folder, "supplier").select(k("s", "s_suppkey").alias("c"), k("n", "s_nationkey").alias("p"))).unionByName(table(spark, folder, "region").select(k("r", "r_regionkey").alias("c"), F.lit("world").alias("p")))
+    return resolution.ancestors(edges, "c", "p")
+
+
+@query(f"SELECT synonym_id, {surface_sql('surface_form')} AS ours, surface_form_normalized AS theirs FROM synonyms WHERE {ASCII} AND {surface_sql('surface_form')} IS DISTINCT FROM surface_form_normalized")
+def shadow_differences(spark, folder):
+    rows = _ascii_synonyms(spark, folder).select("synonym_id", text.surface_form(F.col("surface_form")).alias("ours"), F.col("surface_form_normalized").alias("theirs"))
+    return rows.where(~F.col("ours").eqNullSafe(F.col("theirs")))
+
+
+@query("SELECT entity_type, canonical_id, regexp_full_match(canonical_id, CASE entity_type WHEN 'taxon' THEN 'ncbx:[1-9][0-9]*' WHEN 'disease' THEN 'mshx:[A-Z][0-9]+' ELSE 'METHOD-[A-Z0-9]+' END) AS valid FROM canonical_entities")
+def canonical_id_checks(spark, folder):
+    rows = table(spark, folder, "canonical_entities")
+    return rows.select("entity_type", "canonical_id", audit.valid_id(F.col("entity_type"), F.col("canonical_id")).alias("valid"))
+
+
+# ---- graph --------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT ontology_id AS id, arg_max(ontology_name, mention_id) AS name, arg_max(label, mention_id) AS label, count(*) AS n_rows FROM mentions WHERE ontology_id IS NOT NULL AND ontology_name IS NOT NULL GROUP BY ontology_id")
+def entity_nodes(spark, folder):
+    return graph.nodes_from(table(spark, folder, "mentions").where("ontology_name is not null"), "ontology_id", "ontology_name", "label", ["mention_id"])
+
+
+@query("SELECT ontology_id AS src, paper_id AS dst, count(*) AS n_mentions, round(max(confidence), 6) AS confidence, 'MENTIONED_IN' AS rel FROM mentions WHERE ontology_id IS NOT NULL AND paper_id IS NOT NULL GROUP BY 1, 2")
+def mention_edges(spark, folder):
+    return graph.mention_edges(table(spark, folder, "mentions"))
+
+
+@query("SELECT claim_id AS src, paper_id AS dst, count(*) AS n_items, round(max(confidence), 6) AS confidence FROM evidence_items WHERE claim_id IS NOT NULL AND paper_id IS NOT NULL GROUP BY 1, 2")
+def evidence_edges(spark, folder):
+    return graph.evidence_edges(table(spark, folder, "evidence_items"))
+
+
+@query(f"""WITH {a.ASSOCIATIONS}, e AS (SELECT CAST(taxon_id AS VARCHAR) AS src, coalesce(direction, 'none') AS rel, disease AS dst, confidence FROM associations), m AS (SELECT CAST(p_partkey AS VARCHAR) AS old, CAST(p_partkey // 10 AS VARCHAR) AS new FROM part WHERE p_partkey % 10 > 0 AND p_partkey >= 10)
+SELECT coalesce(new, src) AS src, rel, dst, round(max(confidence), 6) AS confidence, count(*) AS n_merged FROM e LEFT JOIN m ON src = old GROUP BY 1, 2, 3""")
+def merged_nodes(spark, folder):
+    edges = a.associations(spark, folder).select(F.col("taxon_id").cast("string").alias("src"), F.coalesce("direction", F.lit("none")).alias("rel"), F.col("disease").alias("dst"), "confidence")
+    k = F.col("p_partkey")
+    mapping = table(spark, folder, "part").where((k % 10 > 0) & (k >= 10)).select(k.cast("string").alias("old"), F.floor(k / 10).cast("bigint").cast("string").alias("new"))
+    return graph.merge_nodes(edges, mapping).withColumn("confidence", F.round("confidence", 6))
+
+
+@query("SELECT label, count(DISTINCT lower(trim(text))) AS n_forms, count(DISTINCT paper_id) AS n_papers, count(*) AS n_mentions FROM mentions WHERE trim(text) <> '' AND regexp_matches(text, '^[\\x00-\\x7F]*$') GROUP BY label".replace("\\\\", "\\"))
+def standalone_entities(spark, folder):
+    rows = table(spark, folder, "mentions").where((F.trim("text") != "") & F.col("text").rlike(r"^[\x00-\x7F]*$"))
+    return rows.groupBy("label").agg(F.count_distinct(F.lower(F.trim("text"))).alias("n_forms"), F.count_distinct("paper_id").alias("n_papers"), F.count("*").alias("n_mentions"))
+
+
+@query(r"SELECT header, regexp_replace(upper(trim(header)), '[^A-Z0-9_]', '_', 'g') AS rel FROM (SELECT DISTINCT header FROM sections WHERE regexp_matches(header, '^[A-Za-z]')) ")
+def relation_names(spark, folder):
+    rows = table(spark, folder, "sections").where(F.col("header").rlike("^[A-Za-z]")).select("header").distinct()
+    return rows.select("header", text.relation_name(F.col("header")).alias("rel"))
+
+
+# ---- audit, metrics, summaries ------------------------------------------------------------------------------------
+
+
+@query(f"""WITH {a.ASSOCIATIONS}, x AS (SELECT unnest(list_filter([CASE WHEN confidence IS NULL OR confidence NOT BETWEEN 0 AND 1 THEN 'confidence' END, CASE WHEN p_value NOT BETWEEN 0 AND 1 THEN 'p_value' END,
+  CASE WHEN direction IS NULL OR direction NOT IN ('increased', 'decreased', 'no_change') THEN 'direction' END, CASE WHEN evidence_strength NOT IN ('weak', 'moderate', 'strong', 'conflicting') THEN 'strength' END], lambda v: v IS NOT NULL)) AS error_type FROM associations)
+SELECT error_type, count(*) AS n_rows FROM x GROUP BY 1""")
+def validation_errors(spark, folder):
+    return audit.error_queue_stats(a.associations(spark, folder))
+
+
+@query("SELECT event_type, user_id % 7 AS actor, count(*) AS n_rows FROM events GROUP BY GROUPING SETS ((event_type), (actor), ())")
+def audit_statistics(spark, folder):
+    return audit.statistics(table(spark, folder, "events").withColumn("actor", F.col("user_id") % 7), "event_type", "actor")
+
+
+@query("SELECT event_id, ts, user_id, event_type, value FROM events WHERE event_type = 'click' ORDER BY ts DESC, event_id LIMIT 1000")
+def audit_log_query(spark, folder):
+    return audit.audit_query(table(spark, folder, "events"), event_type="click").select("event_id", "ts", "user_id", "event_type", "value")
+
+
+@query("WITH n AS (SELECT greatest(CAST(ceil(count(*) * 0.01) AS BIGINT), 10) AS k FROM papers) SELECT paper_id, source FROM papers QUALIFY row_number() OVER (ORDER BY md5(paper_id), paper_id) <= (SELECT k FROM n)")
+def drift_sample(spark, folder):
+    return audit.drift_sample(table(spark, folder, "papers"), "paper_id").select("paper_id", "source")
+
+
+@query("SELECT event_type, event_id, round(avg(value) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) + 1e-9::DOUBLE, 6) AS rolling_mean FROM events")
+def rolling_latency(spark, folder):
+    return audit.rolling_latency(table(spark, folder, "events"), "event_type", "ts", "value")
+
+
+@query("SELECT event_type, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95, count(*) AS n_rows FROM events GROUP BY event_type")
+def latency_percentiles(spark, folder):
+    return audit.latency_percentiles(table(spark, folder, "events"), "event_type", "value")
+
+
+@query("SELECT event_id, user_id, count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL '43199.999999' SECOND PRECEDING AND CURRENT ROW) <= 2 AS accepted FROM events")
+def rate_limit_window(spark, folder):
+    return audit.accepted_in_window(table(spark, folder, "events"), "user_id", "ts", 43_200, 2)
+
+
+@query("SELECT lower(trim(source)) AS source, publication_year, is_open_access, count(*) AS n_rows FROM papers GROUP BY GROUPING SETS ((lower(trim(source))), (publication_year), (is_open_access), ())")
+def collection_summary(spark, folder):
+    rows = table(spark, folder, "papers").withColumn("source", F.lower(F.trim("source")))
+    return audit.statistics(rows, "source", "publication_year", "is_open_access")
+
+
+@query("SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS window_start, event_type, count(*) AS n_events, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
+def hourly_events(spark, folder):
+    from ..streaming.windows import tumbling
+
+    return tumbling(table(spark, folder, "events"), "ts", "1 hour", ["event_type"], "value").withColumn("total", F.round("total", 4))
+
+
+@query("SELECT event_id, try_cast(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def event_properties(spark, folder):
+    return table(spark, folder, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("bigint").alias("k"))
+
+
+@query("SELECT doc_id, lang, journal_id, journal_name, quartile FROM documents LEFT JOIN journals USING (journal_id)")
+def document_journals(spark, folder):
+    journals = table(spark, folder, "journals").select("journal_id", "journal_name", "quartile")
+    return table(spark, folder, "documents").join(journals, "journal_id", "left").select("doc_id", "lang", "journal_id", "journal_name", "quartile")
