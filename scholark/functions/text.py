@@ -59,12 +59,12 @@ def sample_size(col: Column) -> Column:
 
 def sentences_dropping(col: Column) -> Column:
     """Sentences without their closing marks, as the relation extractor cuts them; blanks dropped."""
-    return F.filter(F.transform(F.split(col, SPLIT_DROPPING), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(col, SPLIT_DROPPING), lambda s: F.trim(s)), lambda s: s != "")
 
 
 def sentences_keeping(col: Column) -> Column:
     """Sentences with their closing marks, as the triple promoter cuts them."""
-    return F.filter(F.transform(F.split(col, SPLIT_KEEPING), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(col, SPLIT_KEEPING), lambda s: F.trim(s)), lambda s: s != "")
 
 
 def context(sentences: Column, at: Column, width: int) -> Column:
