@@ -258,7 +258,9 @@ def link_values(values: DataFrame, refs: dict[str, Reference]) -> DataFrame:
     fixed by the lists' size.
     """
     spark = values.sparkSession
-    distinct = values.select("kind", "value").distinct()
+    # few bytes but much work a row: spread over all cores, where adaptive execution would join the partitions
+    spread = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    distinct = values.select("kind", "value").distinct().repartition(spread, "kind", "value")
     known = sorted({t for r in refs.values() for _, _, s in r.forms for t in pairs(s)})
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
