@@ -64,26 +64,31 @@ def route(rule_keep: Column, verdict: Column, rule: Column, embedding: Column) -
 
 
 def sweep_counts(df: DataFrame, score: str, label: str) -> DataFrame:
-    """Per distinct score from the top: rows, positives, precision so far and recall of rejection from the bottom.
+    """Per distinct score: rows, positives, precision of keeping from here up, recall of rejecting all below.
 
     The distinct scores are of bounded resolution (3 digits), so the window runs over at most a few thousand rows.
     """
     by = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(score).agg(F.count("*").alias("n"), F.sum(label).alias("pos"))
     down = Window.orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
-    up = Window.orderBy(score).rowsBetween(Window.unboundedPreceding, 0)
+    up = Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy()
-    got = by.withColumns({"cum_n": F.sum("n").over(down), "cum_pos": F.sum("pos").over(down), "cum_neg": F.sum(F.col("n") - F.col("pos")).over(up), "neg": F.sum(F.col("n") - F.col("pos")).over(every)})
+    got = by.withColumns({"cum_n": F.sum("n").over(down), "cum_pos": F.sum("pos").over(down), "cum_neg": F.coalesce(F.sum(F.col("n") - F.col("pos")).over(up), F.lit(0)), "neg": F.sum(F.col("n") - F.col("pos")).over(every)})
     return got.withColumns({"precision": F.try_divide("cum_pos", "cum_n"), "rejection": F.try_divide("cum_neg", "neg")})
 
 
 def calibrated_thresholds(df: DataFrame, score: str, label: str, precision: float = 0.9, recall: float = 0.9, defaults: tuple[float, float] = (0.7, 0.3)) -> DataFrame:
-    """(keep_at, reject_at): the lowest score down to which precision holds without a break, the highest up to which
-    rejection stays under its recall; crossed or missing thresholds give the defaults."""
+    """(keep_at, reject_at): the lowest score down to which precision holds, and the highest up to which the recall of
+    rejection holds, both stopping at the first miss; where nothing holds the default stays, crossed ones give both.
+
+    The sweep for rejection begins at the lowest score, below which nothing is rejected: with any negative row it
+    misses at once, as in the reference, and the default stays.
+    """
     rows = sweep_counts(df, score, label)
     down = Window.orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
-    held = rows.withColumn("held", F.min((F.col("precision") >= precision).cast("int")).over(down))
-    got = held.agg(F.min(F.when(F.col("held") == 1, F.col(score))).alias("k"), F.max(F.when(F.col("rejection") <= recall, F.col(score))).alias("r"))
-    crossed = F.col("k").isNull() | F.col("r").isNull() | (F.col("k") <= F.col("r"))
+    up = Window.orderBy(score).rowsBetween(Window.unboundedPreceding, 0)
+    held = rows.withColumns({"kept": F.min((F.col("precision") >= precision).cast("int")).over(down), "let": F.min(F.coalesce((F.col("rejection") >= recall).cast("int"), F.lit(0))).over(up)})
+    got = held.agg(F.coalesce(F.min(F.when(F.col("kept") == 1, F.col(score))), F.lit(defaults[0])).alias("k"), F.coalesce(F.max(F.when(F.col("let") == 1, F.col(score))), F.lit(defaults[1])).alias("r"))
+    crossed = F.col("r") >= F.col("k")
     return got.select(F.when(crossed, defaults[0]).otherwise(F.col("k")).alias("keep_at"), F.when(crossed, defaults[1]).otherwise(F.col("r")).alias("reject_at"))
 
 

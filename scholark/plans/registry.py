@@ -436,7 +436,9 @@ def threshold_sweep(spark, folder):
     return relevance.sweep_counts(_labelled(spark, folder), "score", "label").select("score", "n", "pos", "cum_n", "cum_pos", F.round("precision", 6).alias("precision"))
 
 
-@query()
+@query(f"""WITH {LABELLED}, g AS (SELECT score, count(*) AS n, sum(label) AS pos FROM labelled GROUP BY score), p AS (SELECT score, sum(pos) OVER (ORDER BY score DESC)::DOUBLE / sum(n) OVER (ORDER BY score DESC) >= 0.9 AS ok FROM g),
+h AS (SELECT score, min(CAST(ok AS INT)) OVER (ORDER BY score DESC) AS held FROM p), k AS (SELECT coalesce(min(score) FILTER (held = 1), 0.7) AS k FROM h)
+SELECT CASE WHEN 0.3 >= k THEN 0.7::DOUBLE ELSE k END AS keep_at, 0.3::DOUBLE AS reject_at FROM k""")
 def calibrated_thresholds(spark, folder):
     return relevance.calibrated_thresholds(_labelled(spark, folder), "score", "label")
 
