@@ -52,14 +52,15 @@ def intervention_evidence(interventions: DataFrame, papers: DataFrame, types: li
     return got.orderBy(F.desc_nulls_first("paper_count"), F.desc_nulls_first("total_sample_size"), "intervention_type", "taxon", "effect_direction")
 
 
-def methodology_landscape(methodology: DataFrame, papers: DataFrame, year_start: int, year_end: int, methods: list[str], require_deposited_data: bool = True) -> DataFrame:
-    """Use of methods by year, with deposits; a paper counts once per method."""
+def methodology_landscape(methodology: DataFrame, papers: DataFrame, year_start: int, year_end: int, methods: list[str] | None = None, require_deposited_data: bool = True) -> DataFrame:
+    """Use of methods by year, with deposits; a paper counts once per method.  Without names, every method counts."""
     keep = papers.where(F.col("year").between(year_start, year_end))
     if require_deposited_data:
         keep = keep.where(F.size("accession_numbers") > 0)
     starts = lambda *p: F.exists("accession_numbers", lambda a: reduce(lambda x, y: x | y, [a.startswith(s) for s in p]))
     keep = keep.select("paper_id", "year", (F.size("accession_numbers") > 0).alias("deposited"), starts("SRP", "SRR", "PRJNA").alias("sra"), starts("ERP", "ERR", "PRJEB").alias("ena"))
-    rows = methodology.where(F.lower("method").isin(*[m.lower() for m in methods])).distinct().join(keep, "paper_id")
+    rows = methodology if methods is None else methodology.where(F.lower("method").isin(*[m.lower() for m in methods]))
+    rows = rows.distinct().join(keep, "paper_id")
     got = rows.groupBy("method", "year").agg(
         F.count("*").alias("total_papers"), F.count_if("deposited").alias("papers_with_data"), F.count_if("sra").alias("sra_papers"), F.count_if("ena").alias("ena_papers"), F.count_if(F.col("sra") & F.col("ena")).alias("both_papers")
     )

@@ -75,10 +75,7 @@ SELECT method, year, count(*) AS total_papers, count(*) FILTER (has_sra OR has_e
   count(*) FILTER (has_sra AND has_ena) AS both_papers, round(count(*) FILTER (has_sra OR has_ena) * 100.0 / count(*), 4)::DOUBLE AS pct_with_data
 FROM m JOIN papers_q USING (paper_id) WHERE year BETWEEN 1996 AND 1999 GROUP BY ALL""")
 def methodology_landscape(spark, folder):
-    rows = a.methodology(spark, folder)
-    # every method of the table is of interest here
-    names = [r["method"] for r in rows.select("method").distinct().orderBy("method").limit(1000).collect()]
-    return research.methodology_landscape(rows, a.papers(spark, folder), 1996, 1999, names, require_deposited_data=False)
+    return research.methodology_landscape(a.methodology(spark, folder), a.papers(spark, folder), 1996, 1999, require_deposited_data=False)
 
 
 @query(f"""
