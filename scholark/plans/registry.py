@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scoring, text
-from ..operators import audit, claims, dedup, extraction, graph, relevance, research, resolution, similarity
+from ..operators import audit, claims, dedup, enrichment, extraction, graph, relevance, research, resolution, similarity
 from . import adapters as a
 from .adapters import table
 
@@ -693,3 +692,101 @@ def event_properties(spark, folder):
 def document_journals(spark, folder):
     journals = table(spark, folder, "journals").select("journal_id", "journal_name", "quartile")
     return table(spark, folder, "documents").join(journals, "journal_id", "left").select("doc_id", "lang", "journal_id", "journal_name", "quartile")
+
+
+# ---- enrichment and graph build -----------------------------------------------------------------------------------
+
+
+@query("""WITH t AS (SELECT section_id, paper_id, sec_pos, CASE section_type WHEN 'results' THEN 1 WHEN 'discussion' THEN 2 WHEN 'conclusion' THEN 2 WHEN 'methods' THEN 3 WHEN 'introduction' THEN 4 END AS tier FROM sections)
+SELECT *, CAST(row_number() OVER (PARTITION BY paper_id ORDER BY tier, sec_pos NULLS FIRST, section_id) AS INT) AS rank FROM t WHERE tier IS NOT NULL""")
+def ranked_sections(spark, folder):
+    return enrichment.ranked_sections(table(spark, folder, "sections"))
+
+
+@query(f"""WITH {RESOLVE_SQL}, c AS (SELECT form, canonical_id, strategy, confidence, CASE strategy WHEN 'exact' THEN 0.95::DOUBLE WHEN 'abbreviation' THEN 0.85::DOUBLE WHEN 'synonym' THEN 0.8::DOUBLE ELSE 0.5::DOUBLE END AS weight, lower(substr(form, 1, 3)) AS prefix FROM resolved WHERE canonical_id IS NOT NULL)
+SELECT prefix, form, canonical_id, round(weight * confidence, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY prefix ORDER BY round(weight * confidence, 6) DESC, weight DESC, canonical_id, form) AS rank FROM c) WHERE rank = 1""")
+def ranked_candidates(spark, folder):
+    rows = _resolved(spark, folder).where("canonical_id is not null").withColumn("prefix", F.lower(F.substring("form", 1, 3)))
+    got = enrichment.ranked_candidates(rows, "prefix")
+    first = got.groupBy("prefix").agg(F.min(F.struct((-F.col("score")).alias("s"), (-F.col("weight")).alias("w"), "canonical_id", "form")).alias("b"))
+    return first.select("prefix", F.col("b.form").alias("form"), F.col("b.canonical_id").alias("canonical_id"), (-F.col("b.s")).alias("score"))
+
+
+INTERVENTION_SQL = " UNION ALL ".join(
+    f"SELECT section_id, paper_id, content, '{kind}' AS intervention_type, CASE " + " ".join(f"WHEN contains(lower(content), '{w}') THEN '{w}'" for w in words) + " END AS keyword FROM m" for kind, words in enrichment.INTERVENTIONS
+)
+
+
+@query(f"""WITH m AS (SELECT section_id, paper_id, content FROM sections WHERE section_type = 'methods' AND content IS NOT NULL), u AS ({INTERVENTION_SQL}), x AS (SELECT section_id, paper_id, intervention_type, keyword, content AS s FROM u WHERE keyword IS NOT NULL)
+SELECT section_id, paper_id, intervention_type, keyword, nullif(regexp_extract(s, '{enrichment.DURATION}', 1), '') AS duration, CASE WHEN {N_SQL} BETWEEN 2 AND 500000 THEN CAST({N_SQL} AS BIGINT) END AS sample_size FROM x""")
+def intervention_mentions(spark, folder):
+    return enrichment.interventions(table(spark, folder, "sections"))
+
+
+@query(f"""SELECT evidence_id, {KEY_SQL} AS source_key, CASE WHEN lower(trim(section_type)) IN ({", ".join(repr(s) for s in text.SECTION_TYPES)}) THEN lower(trim(section_type)) ELSE 'other' END AS section_type,
+  coalesce(trim(source_sentence), '') <> '' AND coalesce(confidence BETWEEN 0 AND 1, false) AND {KEY_SQL} IS NOT NULL AS valid FROM evidence_items e LEFT JOIN papers p USING (paper_id)""".replace("coalesce(confidence", "coalesce(e.confidence"))
+def provenance_checks(spark, folder):
+    return enrichment.provenance(table(spark, folder, "evidence_items"), table(spark, folder, "papers"))
+
+
+@query(f"""WITH x AS (SELECT paper_id, source, {TEXT_SQL} AS t FROM papers), y AS (SELECT paper_id, source, {RULE_SQL} AS rule FROM x)
+SELECT paper_id, CASE WHEN rule >= 0.80 THEN 'positive' ELSE 'negative' END AS part FROM y WHERE (rule >= 0.80 OR rule <= 0.20) AND paper_id NOT IN (SELECT paper_id FROM papers WHERE lower(trim(source)) = 'pubmed')""")
+def store_growth(spark, folder):
+    rows = table(spark, folder, "papers")
+    scored = relevance_cascade(spark, folder)
+    return enrichment.store_growth(scored, rows.where(F.lower(F.trim("source")) == "pubmed"), "paper_id", "rule")
+
+
+@query(f"""WITH x AS (SELECT {TEXT_SQL} AS t FROM papers), y AS (SELECT {RULE_SQL} AS rule FROM x)
+SELECT CASE WHEN rule >= 0.85 THEN 'positive' WHEN rule >= 0.45 THEN 'hard_negative' WHEN rule >= 0.15 THEN 'medium_negative' ELSE 'easy_negative' END AS band, count(*) AS n_rows FROM y GROUP BY 1""")
+def training_bands(spark, folder):
+    rows = relevance_cascade(spark, folder)
+    return rows.groupBy(enrichment.training_bands(rows, "rule").alias("band")).agg(F.count("*").alias("n_rows"))
+
+
+@query("SELECT label, count(*) AS n FROM mentions WHERE label IS NOT NULL GROUP BY label HAVING count(*) >= 100")
+def induced_types(spark, folder):
+    return enrichment.induced_types(table(spark, folder, "mentions"))
+
+
+@query("SELECT lower(trim(source)) AS source, max(loaded_at) AS latest, count(*) AS n_rows FROM papers GROUP BY 1")
+def resume_points(spark, folder):
+    return enrichment.resume_points(table(spark, folder, "papers"), F.lower(F.trim("source")), F.col("loaded_at"))
+
+
+@query("""WITH b AS (SELECT paper_id, sum(length(content)) AS n, count(*) AS n_sections FROM sections WHERE content IS NOT NULL GROUP BY paper_id)
+SELECT paper_id, CASE WHEN n >= 300 THEN 'full_text' WHEN length(trim(coalesce(abstract, ''))) > 0 THEN 'abstract' ELSE 'none' END AS tier, coalesce(n_sections, 0) AS n_sections FROM papers LEFT JOIN b USING (paper_id)""")
+def text_tiers(spark, folder):
+    return enrichment.text_tiers(table(spark, folder, "papers"), table(spark, folder, "sections"))
+
+
+@query(f"""WITH {CLAIMS}, p AS (SELECT DISTINCT subject_id, object_id, canonical_predicate, paper_id FROM promoted)
+SELECT subject_id, object_id, canonical_predicate, paper_id, 'SUPPORTED_BY' AS rel FROM claims JOIN p USING (subject_id, object_id, canonical_predicate)
+UNION ALL SELECT c.subject_id, c.object_id, c.canonical_predicate, p.paper_id, 'CONTRADICTED_BY' FROM claims c JOIN p ON c.subject_id = p.subject_id AND c.object_id = p.object_id AND ((c.canonical_predicate = 'INHIBITS' AND p.canonical_predicate = 'PROMOTES') OR (c.canonical_predicate = 'PROMOTES' AND p.canonical_predicate = 'INHIBITS'))""")
+def support_edges(spark, folder):
+    return enrichment.support_edges(_claims(spark, folder), _promoted(spark, folder))
+
+
+@query()
+def ml_verdicts(spark, folder):
+    rows = relevance_cascade(spark, folder).join(table(spark, folder, "papers").select("paper_id", F.length("abstract").alias("n"), "citation_count"), "paper_id")
+    rows = rows.where("n is not null and citation_count is not null").withColumns({"label": (F.col("rule") >= 0.3).cast("double"), "n": F.col("n").cast("double"), "citations": F.col("citation_count").cast("double")})
+    if rows.select("label").distinct().count() < 2:
+        return rows.select("paper_id", F.lit("BORDERLINE").alias("verdict"))
+    from pyspark.ml.functions import vector_to_array
+
+    got = enrichment.train_classifier(rows, ["rule", "n", "citations"], "label").transform(rows)
+    return got.select("paper_id", enrichment.ml_verdict(vector_to_array("probability")[1]).alias("verdict"))
+
+
+@query("SELECT label, name FROM (SELECT label, text AS name, row_number() OVER (PARTITION BY label ORDER BY text) AS r FROM (SELECT DISTINCT label, text FROM mentions WHERE trim(text) <> '' AND regexp_matches(text, '^[\\x20-\\x7E]*$'))) WHERE r <= 500".replace("\\\\", "\\"))
+def entity_name_cache(spark, folder):
+    """The first names per label that the request checks hold in memory; the number is the cache's own size."""
+    rows = table(spark, folder, "mentions").where((F.trim("text") != "") & F.col("text").rlike(r"^[\x20-\x7E]*$")).select("label", F.col("text").alias("name")).distinct()
+    return rows.withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy("name"))).where("r <= 500").select("label", "name")
+
+
+@query("SELECT canonical_id, count(DISTINCT surface_form) AS n_forms, min(surface_form) AS first_form, max(added_at) AS last_added FROM synonyms WHERE canonical_id IS NOT NULL GROUP BY canonical_id")
+def registry_forms(spark, folder):
+    rows = table(spark, folder, "synonyms").where("canonical_id is not null")
+    return rows.groupBy("canonical_id").agg(F.count_distinct("surface_form").alias("n_forms"), F.min("surface_form").alias("first_form"), F.max("added_at").alias("last_added"))
