@@ -34,6 +34,7 @@ CHANGE_COST = 9.0
 SAME = 0.8
 LEAST_KNOWN = 0.35
 WORDS_KEPT = 300_000
+LONGEST_WORD = 40
 
 # Usual spellings of the languages' names: ISO 639-1, 639-2 (both) and English and own names.
 NAMES = {
@@ -114,7 +115,7 @@ class Filters:
         if len(self.index) >= WORDS_KEPT:
             self._start()
         k = self.index[token] = len(self.index)
-        if not token:
+        if not token or len(token) > LONGEST_WORD:  # sequences and codes are no words
             return k
         if k >= len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
