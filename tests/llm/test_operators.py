@@ -131,6 +131,30 @@ def test_survivors(spark):
     assert len(weights) == 7 and max(weights) == 1.0
 
 
+def test_survivors_keep_every_field(spark):
+    rows = [
+        ("P1", "10.1234/a", "core", None, ["Al"], 0, True, "n/a", "2024-01-01"), ("P2", "10.1234/a", "pubmed", "PMC1", [], None, None, None, "2023-01-01"), ("P3", "10.1234/a", "core", None, ["-"], 0, None, "1234-5678", None),
+        ("P4", "10.1234/a", "openalex", "PMC2", None, 7, None, " ", None), ("P5", "10.1234/a", "crossref", "PMC2", ["Al"], None, None, None, None), ("P6", "10.1234/a", "europepmc", "PMC2", None, 0, False, None, None),
+        ("P7", "10.1234/a", "core", None, None, None, True, None, None), ("P8", "10.1234/b", "core", None, ["lone"], 3, None, None, None),
+    ]
+    df = frame(spark, rows, "paper_id string, doi string, source string, pmcid string, authors array<string>, citation_count int, is_open_access boolean, issn string, fetched_at string")
+    df = df.withColumns({"pmid": F.lit(None).cast("string"), "content_hash": F.lit(None).cast("string")})
+    got = survivor.best_representatives(df.withColumns({"title": F.lit("T"), "abstract": F.lit("x"), "journal": F.lit("J"), "publication_year": F.lit(2020)}))[1].collect()
+    assert len(got) == 1
+    r = got[0]
+    assert (r["best_paper_id"], r["n_records"], r["pmcid"], r["authors"], r["citation_count"], r["issn"], r["title"]) == ("P2", 7, "PMC2", ["Al"], 0, "1234-5678", "T")
+    assert r["source"] is not None and r["fetched_at"] is not None and r["is_open_access"] in (True, False)
+
+
+def test_survivors_return_all_columns_of_papers(spark):
+    papers = spark.read.parquet(f"{DATA}/papers.parquet")
+    got = survivor.best_representatives(papers)[1]
+    kept = {c.removesuffix("_key") for c in got.columns}
+    assert kept >= set(papers.columns) - {"paper_id"}
+    # whatever one record of a group claims is in the survivor
+    assert got.where("source is null or fetched_at is null and loaded_at is null").count() == 0 and got.where("authors is not null").count() > 0
+
+
 def test_reliability_learns_the_bad_source(spark):
     votes = []
     good, bad = [0] * 7, [0] * 7
