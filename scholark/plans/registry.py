@@ -767,15 +767,22 @@ def support_edges(spark, folder):
     return enrichment.support_edges(_claims(spark, folder), _promoted(spark, folder))
 
 
+def _ml_rows(spark, folder):
+    """Every paper with the model's features; a missing one is 0 and flagged."""
+    rows = relevance_cascade(spark, folder).join(table(spark, folder, "papers").select("paper_id", F.length("abstract").alias("n"), "citation_count"), "paper_id")
+    filled = {name: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for name, c in (("length", "n"), ("citations", "citation_count"))}
+    flags = {f"no_{name}": F.col(c).isNull().cast("double") for name, c in (("length", "n"), ("citations", "citation_count"))}
+    return rows.withColumns({"label": (F.col("rule") >= 0.3).cast("double"), **filled, **flags})
+
+
 @query()
 def ml_verdicts(spark, folder):
-    rows = relevance_cascade(spark, folder).join(table(spark, folder, "papers").select("paper_id", F.length("abstract").alias("n"), "citation_count"), "paper_id")
-    rows = rows.where("n is not null and citation_count is not null").withColumns({"label": (F.col("rule") >= 0.3).cast("double"), "n": F.col("n").cast("double"), "citations": F.col("citation_count").cast("double")})
+    rows = _ml_rows(spark, folder)
     if rows.select("label").distinct().count() < 2:
         return rows.select("paper_id", F.lit("BORDERLINE").alias("verdict"))
     from pyspark.ml.functions import vector_to_array
 
-    got = enrichment.train_classifier(rows, ["rule", "n", "citations"], "label").transform(rows)
+    got = enrichment.train_classifier(rows, ["rule", "length", "no_length", "citations", "no_citations"], "label").transform(rows)
     return got.select("paper_id", enrichment.ml_verdict(vector_to_array("probability")[1]).alias("verdict"))
 
 

@@ -318,6 +318,14 @@ def test_queries_match_sql(spark, name):
     assert left == right
 
 
+def test_ml_verdicts_score_every_paper(spark):
+    papers = spark.read.parquet(f"{DATA}/papers.parquet")
+    assert papers.where("abstract is null or citation_count is null").count() > 0
+    got = registry.ml_verdicts(spark, DATA)
+    assert sorted(r["paper_id"] for r in got.collect()) == sorted(r["paper_id"] for r in papers.select("paper_id").collect())
+    assert got.where("verdict is null").count() == 0
+
+
 def test_entry(spark):
     import __spark_entry__
 
