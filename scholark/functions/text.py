@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import string
+import unicodedata
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+ASCII = r"^[\x00-\x7F]*$"
+_PUNCTUATION = str.maketrans("", "", string.punctuation)
 
-SPLIT_DROPPING = r"[.!?]+\s+"
+SPLIT_DROPPING = r"(?U)[.!?]+\s+"
 SPLIT_KEEPING = r"(?<=[.?!])\s+"
 
 # Direction words, in the order in which they are tried.
@@ -59,7 +67,7 @@ def sample_size(col: Column) -> Column:
 
 def sentences_dropping(col: Column) -> Column:
     """Sentences without their closing marks, as the relation extractor cuts them; blanks dropped."""
-    return F.filter(F.transform(F.split(col, SPLIT_DROPPING), lambda s: F.trim(s)), lambda s: s != "")
+    return F.filter(F.transform(F.split(col, SPLIT_DROPPING), lambda s: F.regexp_replace(s, r"(?U)^\s+|\s+$", "")), lambda s: s != "")
 
 
 def sentences_keeping(col: Column) -> Column:
@@ -83,14 +91,34 @@ def section_type(col: Column) -> Column:
     return F.when(v.isin(*SECTION_TYPES), v).otherwise("other")
 
 
+@F.arrow_udf(StringType())
+def _composed_form(values: pa.Array) -> pa.Array:
+    tidy = lambda x: " ".join(unicodedata.normalize("NFC", x).lower().translate(_PUNCTUATION).split())
+    return pa.array([None if x is None else tidy(x) for x in values.to_pylist()], pa.string())
+
+
+@F.arrow_udf(StringType())
+def _composed(values: pa.Array) -> pa.Array:
+    return pa.array([None if x is None else unicodedata.normalize("NFC", x) for x in values.to_pylist()], pa.string())
+
+
+def composed(col: Column) -> Column:
+    """The text in NFC; only texts beyond ASCII go through Python."""
+    return F.when(col.rlike(ASCII), col).otherwise(_composed(F.when(~col.rlike(ASCII), col)))
+
+
 def surface_form(col: Column) -> Column:
-    """Lower case, without ASCII punctuation, blanks collapsed."""
+    """NFC, lower case, without ASCII punctuation, blanks collapsed; only texts beyond ASCII go through Python."""
+    return F.when(col.rlike(ASCII), _ascii_form(col)).otherwise(_composed_form(F.when(~col.rlike(ASCII), col)))
+
+
+def _ascii_form(col: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.lower(col), r"[!-/:-@\[-`{-~]", ""), r"\s+", " "))
 
 
 def strip_tags(col: Column) -> Column:
     """Tags to blanks, blanks collapsed."""
-    return F.trim(F.regexp_replace(F.regexp_replace(col, r"<[^>]+>", " "), r"\s+", " "))
+    return F.trim(F.regexp_replace(F.regexp_replace(col, r"<[^>]+>", " "), r"(?U)\s+", " "))
 
 
 def relation_name(col: Column) -> Column:

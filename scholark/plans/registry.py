@@ -29,6 +29,23 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def whole(f: Query) -> Query:
+    """Register ``<name>_whole`` besides: the query over all rows, without the cuts of its SQL (which DuckDB can't match)."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return f(spark, folder, every=True)
+
+    run.__name__ = f"{f.__name__}_whole"
+    run.__doc__ = f.__doc__
+    query()(run)
+    return f
+
+
+def _texts(rows: DataFrame, col: str, every: bool, pattern: str = text.ASCII) -> DataFrame:
+    """Rows with a text: every one, or those of the characters in which the SQL agrees."""
+    return rows.where(F.col(col).isNotNull() if every else F.col(col).rlike(pattern))
+
+
 def re2(pattern: str) -> str:
     """The pattern as a DuckDB string literal's content."""
     return pattern.replace("'", "''")
@@ -261,8 +278,9 @@ def store_membership(spark, folder):
 @query(r"""
 WITH l AS (SELECT evidence_id, list_filter(list_transform(regexp_split_to_array(source_sentence, '[.!?]+\s+'), lambda s: trim(s)), lambda s: s <> '') AS parts FROM evidence_items WHERE regexp_matches(source_sentence, '^[\x20-\x7E]*$'))
 SELECT evidence_id, CAST(p - 1 AS INT) AS pos, parts[p] AS sentence FROM (SELECT evidence_id, parts, unnest(range(1, len(parts) + 1)) AS p FROM l)""")
-def relation_sentences(spark, folder):
-    rows = table(spark, folder, "evidence_items").where(F.col("source_sentence").rlike(r"^[\x20-\x7E]*$"))
+@whole
+def relation_sentences(spark, folder, every=False):
+    rows = _texts(table(spark, folder, "evidence_items"), "source_sentence", every, r"^[\x20-\x7E]*$")
     return rows.select("evidence_id", F.posexplode(text.sentences_dropping(F.col("source_sentence"))).alias("pos", "sentence"))
 
 
@@ -384,8 +402,9 @@ def section_parse(spark, folder):
 
 
 @query(r"SELECT section_id, trim(regexp_replace(regexp_replace(content, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS stripped FROM sections WHERE content IS NOT NULL AND regexp_matches(content, '^[\x00-\x7F]*$')")
-def stripped_tags(spark, folder):
-    rows = table(spark, folder, "sections").where(F.col("content").rlike(r"^[\x00-\x7F]*$"))
+@whole
+def stripped_tags(spark, folder, every=False):
+    rows = _texts(table(spark, folder, "sections"), "content", every)
     return rows.select("section_id", text.strip_tags(F.col("content")).alias("stripped"))
 
 
@@ -491,35 +510,39 @@ def semantic_cache_hits(spark, folder):
 
 
 @query(f"SELECT synonym_id, {surface_sql('surface_form')} AS form FROM synonyms WHERE regexp_matches(surface_form, '^[\\x00-\\x7F]*$')".replace("\\\\", "\\"))
-def surface_forms(spark, folder):
-    rows = table(spark, folder, "synonyms").where(F.col("surface_form").rlike(r"^[\x00-\x7F]*$"))
+@whole
+def surface_forms(spark, folder, every=False):
+    rows = _synonyms(spark, folder, every)
     return rows.select("synonym_id", text.surface_form(F.col("surface_form")).alias("form"))
 
 
 ASCII = "regexp_matches(surface_form, '^[\\x00-\\x7F]*$')"
 
 
-def _ascii_synonyms(spark, folder):
-    return table(spark, folder, "synonyms").where(F.col("surface_form").rlike(r"^[\x00-\x7F]*$"))
+def _synonyms(spark, folder, every):
+    return _texts(table(spark, folder, "synonyms"), "surface_form", every)
 
 
 @query(f"WITH s AS (SELECT {surface_sql('surface_form')} AS form, canonical_id FROM synonyms WHERE canonical_id IS NOT NULL AND {ASCII}) SELECT form, count(DISTINCT canonical_id) AS n_entities, count(*) AS n_rows FROM s WHERE form <> '' GROUP BY form HAVING count(DISTINCT canonical_id) > 1")
-def synonym_conflicts(spark, folder):
-    return resolution.synonym_conflicts(_ascii_synonyms(spark, folder))
+@whole
+def synonym_conflicts(spark, folder, every=False):
+    return resolution.synonym_conflicts(_synonyms(spark, folder, every))
 
 
 @query(f"""WITH f AS (SELECT DISTINCT entity_type, {surface_sql('surface_form')} AS form FROM synonyms JOIN canonical_entities USING (canonical_id) WHERE {ASCII}), n AS (SELECT DISTINCT entity_type, {surface_sql('primary_name')} AS name FROM canonical_entities)
 SELECT entity_type, form, name, CAST(levenshtein(form, name) AS INT) AS distance, round(1 - levenshtein(form, name)::DOUBLE / greatest(length(form), length(name)) * 0.5, 6) AS confidence
 FROM f JOIN n USING (entity_type) WHERE length(form) >= 4 AND length(name) >= 4 AND levenshtein(form, name) <= 2""")
-def fuzzy_matches(spark, folder):
+@whole
+def fuzzy_matches(spark, folder, every=False):
     entities = table(spark, folder, "canonical_entities").select("canonical_id", "entity_type", text.surface_form(F.col("primary_name")).alias("n"))
-    forms = _ascii_synonyms(spark, folder).join(entities, "canonical_id").select("entity_type", text.surface_form(F.col("surface_form")).alias("f"))
+    forms = _synonyms(spark, folder, every).join(entities, "canonical_id").select("entity_type", text.surface_form(F.col("surface_form")).alias("f"))
     return resolution.fuzzy_join(forms, entities, "f", "n", "entity_type")
 
 
 @query(f"WITH s AS (SELECT DISTINCT {surface_sql('surface_form')} AS form FROM synonyms WHERE {ASCII}) SELECT form FROM s WHERE starts_with(form, 'bez') ORDER BY form LIMIT 50")
-def prefix_lookup(spark, folder):
-    return resolution.prefix_lookup(_ascii_synonyms(spark, folder).select(text.surface_form(F.col("surface_form")).alias("form")), "bez")
+@whole
+def prefix_lookup(spark, folder, every=False):
+    return resolution.prefix_lookup(_synonyms(spark, folder, every).select(text.surface_form(F.col("surface_form")).alias("form")), "bez")
 
 
 @query("WITH f AS (SELECT DISTINCT trim(text) AS form FROM mentions WHERE text IS NOT NULL), j AS (SELECT form, full_form FROM f JOIN abbreviations ON lower(form) = lower(abbreviated_form)) SELECT form, full_form, round(1.0 / count(*) OVER (PARTITION BY form), 6)::DOUBLE AS confidence FROM j")
@@ -544,19 +567,21 @@ resolved AS (SELECT form, coalesce(e.id, ab.id, sy.id) AS canonical_id, CASE WHE
   coalesce(CASE WHEN e.id IS NOT NULL THEN 1.0::DOUBLE END, ab.c, CASE WHEN sy.id IS NOT NULL THEN 0.95::DOUBLE END, 0.0::DOUBLE) AS confidence FROM n LEFT JOIN e USING (norm) LEFT JOIN ab USING (norm) LEFT JOIN sy USING (norm) WHERE norm <> '')"""
 
 
-def _resolved(spark, folder):
-    forms = table(spark, folder, "mentions").where(F.col("text").rlike(r"^[\x00-\x7F]*$")).select(F.col("text").alias("form"))
+def _resolved(spark, folder, every):
+    forms = _texts(table(spark, folder, "mentions"), "text", every).select(F.col("text").alias("form"))
     return resolution.resolve(forms, table(spark, folder, "canonical_entities"), table(spark, folder, "synonyms"), table(spark, folder, "abbreviations"))
 
 
 @query(f"WITH {RESOLVE_SQL} SELECT * FROM resolved")
-def resolution_cascade(spark, folder):
-    return _resolved(spark, folder)
+@whole
+def resolution_cascade(spark, folder, every=False):
+    return _resolved(spark, folder, every)
 
 
 @query(f"WITH {RESOLVE_SQL} SELECT strategy, count(*) AS n_total, count(canonical_id) AS n_resolved, count(*) - count(canonical_id) AS n_unresolved, round(avg(confidence) FILTER (canonical_id IS NOT NULL), 6) AS avg_confidence, round(avg(CASE WHEN canonical_id IS NOT NULL THEN 1 ELSE 0 END), 6) AS resolution_rate FROM resolved GROUP BY ROLLUP (strategy)")
-def resolution_metrics(spark, folder):
-    return resolution.resolution_metrics(_resolved(spark, folder), "strategy")
+@whole
+def resolution_metrics(spark, folder, every=False):
+    return resolution.resolution_metrics(_resolved(spark, folder, every), "strategy")
 
 
 SNAP_SQL = "snap AS (SELECT event_type, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, avg(value) / 100 AS rate FROM events GROUP BY 1, 2)"
@@ -580,8 +605,9 @@ def ontology_ancestors(spark, folder):
 
 
 @query(f"SELECT synonym_id, {surface_sql('surface_form')} AS ours, surface_form_normalized AS theirs FROM synonyms WHERE {ASCII} AND {surface_sql('surface_form')} IS DISTINCT FROM surface_form_normalized")
-def shadow_differences(spark, folder):
-    rows = _ascii_synonyms(spark, folder).select("synonym_id", text.surface_form(F.col("surface_form")).alias("ours"), F.col("surface_form_normalized").alias("theirs"))
+@whole
+def shadow_differences(spark, folder, every=False):
+    rows = _synonyms(spark, folder, every).select("synonym_id", text.surface_form(F.col("surface_form")).alias("ours"), F.col("surface_form_normalized").alias("theirs"))
     return rows.where(~F.col("ours").eqNullSafe(F.col("theirs")))
 
 
@@ -619,8 +645,9 @@ def merged_nodes(spark, folder):
 
 
 @query("SELECT label, count(DISTINCT lower(trim(text))) AS n_forms, count(DISTINCT paper_id) AS n_papers, count(*) AS n_mentions FROM mentions WHERE trim(text) <> '' AND regexp_matches(text, '^[\\x00-\\x7F]*$') GROUP BY label".replace("\\\\", "\\"))
-def standalone_entities(spark, folder):
-    rows = table(spark, folder, "mentions").where((F.trim("text") != "") & F.col("text").rlike(r"^[\x00-\x7F]*$"))
+@whole
+def standalone_entities(spark, folder, every=False):
+    rows = _texts(table(spark, folder, "mentions"), "text", every).where(F.trim("text") != "")
     return rows.groupBy("label").agg(F.count_distinct(F.lower(F.trim("text"))).alias("n_forms"), F.count_distinct("paper_id").alias("n_papers"), F.count("*").alias("n_mentions"))
 
 
@@ -705,8 +732,9 @@ def ranked_sections(spark, folder):
 
 @query(f"""WITH {RESOLVE_SQL}, c AS (SELECT form, canonical_id, strategy, confidence, CASE strategy WHEN 'exact' THEN 0.95::DOUBLE WHEN 'abbreviation' THEN 0.85::DOUBLE WHEN 'synonym' THEN 0.8::DOUBLE ELSE 0.5::DOUBLE END AS weight, lower(substr(form, 1, 3)) AS prefix FROM resolved WHERE canonical_id IS NOT NULL)
 SELECT prefix, form, canonical_id, round(weight * confidence, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY prefix ORDER BY round(weight * confidence, 6) DESC, weight DESC, canonical_id, form) AS rank FROM c) WHERE rank = 1""")
-def ranked_candidates(spark, folder):
-    rows = _resolved(spark, folder).where("canonical_id is not null").withColumn("prefix", F.lower(F.substring("form", 1, 3)))
+@whole
+def ranked_candidates(spark, folder, every=False):
+    rows = _resolved(spark, folder, every).where("canonical_id is not null").withColumn("prefix", F.lower(F.substring("form", 1, 3)))
     got = enrichment.ranked_candidates(rows, "prefix")
     first = got.groupBy("prefix").agg(F.min(F.struct((-F.col("score")).alias("s"), (-F.col("weight")).alias("w"), "canonical_id", "form")).alias("b"))
     return first.select("prefix", F.col("b.form").alias("form"), F.col("b.canonical_id").alias("canonical_id"), (-F.col("b.s")).alias("score"))

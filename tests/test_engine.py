@@ -318,6 +318,34 @@ def test_queries_match_sql(spark, name):
     assert left == right
 
 
+def _rest(spark, tmp_path, tables):
+    """A folder of the given tables, the others empty."""
+    import os
+
+    for f in os.listdir(DATA):
+        full = spark.read.parquet(f"{DATA}/{f}")
+        rows = tables.get(f[:-8], [])
+        spark.createDataFrame([tuple(r.get(c) for c in full.columns) for r in rows], full.schema).write.parquet(str(tmp_path / f))
+    return str(tmp_path)
+
+
+def test_whole_queries_keep_texts_beyond_ascii(spark, tmp_path):
+    texts = ["TNF-\u03b1 rose.\tIL-6 fell.", "plain. text", None, "Cafe\u0301 na\u00efve.\u2003Next"]
+    folder = _rest(spark, tmp_path, {
+        "evidence_items": [{"evidence_id": k, "source_sentence": t} for k, t in enumerate(texts)],
+        "sections": [{"section_id": 1, "content": "<b>\u03b2</b>\u00a0x"}],
+        "synonyms": [{"synonym_id": 1, "canonical_id": "a", "surface_form": "Cafe\u0301!"}, {"synonym_id": 2, "canonical_id": "b", "surface_form": "caf\u00e9"}],
+        "mentions": [{"mention_id": 1, "label": "gene", "paper_id": "p", "text": "CAF\u00c9"}],
+    })
+    run = lambda name: registry.QUERIES[name](spark, folder).collect()
+    assert sorted((r["evidence_id"], r["pos"], r["sentence"]) for r in run("relation_sentences_whole")) == [(0, 0, "TNF-\u03b1 rose"), (0, 1, "IL-6 fell."), (1, 0, "plain"), (1, 1, "text"), (3, 0, "Cafe\u0301 na\u00efve"), (3, 1, "Next")]
+    assert run("stripped_tags_whole")[0]["stripped"] == "\u03b2 x"
+    assert [r["form"] for r in run("surface_forms_whole")] == ["caf\u00e9"] * 2
+    assert [(r["form"], r["n_entities"]) for r in run("synonym_conflicts_whole")] == [("caf\u00e9", 2)]
+    assert [(r["form"], r["canonical_id"], r["strategy"]) for r in run("resolution_cascade_whole")] == [("CAF\u00c9", "a", "synonym")]
+    assert run("standalone_entities_whole")[0]["n_mentions"] == 1 and len(run("ranked_candidates_whole")) == 1
+
+
 def test_ml_verdicts_score_every_paper(spark):
     papers = spark.read.parquet(f"{DATA}/papers.parquet")
     assert papers.where("abstract is null or citation_count is null").count() > 0
