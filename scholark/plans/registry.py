@@ -323,28 +323,32 @@ s AS (SELECT evidence_id, paper_id, source_sentence AS raw, {PLAIN_SQL.format("s
 occ AS (SELECT evidence_id, paper_id, raw, label, term FROM s JOIN good ON contains(plain, ' ' || term || ' '))"""
 
 
-def _occurrences(spark, folder):
+def _occurrences(spark, folder, every=False):
     entities, mentions = table(spark, folder, "canonical_entities"), table(spark, folder, "mentions")
     terms = entities.select(F.col("entity_type").alias("label"), F.col("primary_name").alias("term"))
+    if every:
+        terms = terms.unionByName(mentions.where("label is not null and text is not null").select("label", F.col("text").alias("term")))
+        return extraction.every_mention(table(spark, folder, "evidence_items"), "evidence_id", "source_sentence", terms)
     terms = terms.unionByName(mentions.where(~F.col("label").isin("taxon", "disease", "method", "population") & F.col("text").isNotNull()).select("label", F.col("text").alias("term")))
     return extraction.dictionary_mentions(table(spark, folder, "evidence_items"), "evidence_id", "source_sentence", terms)
 
 
 @query(f"WITH {OCCURRENCES} SELECT evidence_id, label, term FROM occ")
-def dictionary_mentions(spark, folder):
-    return _occurrences(spark, folder)
+@whole
+def dictionary_mentions(spark, folder, every=False):
+    return _occurrences(spark, folder, every)
 
 
 def _pair_query(name: str, spec: extraction.Spec) -> None:
     sql = f"""WITH {OCCURRENCES}, r AS (SELECT x.evidence_id, x.term AS source, y.term AS target, {_case(spec.directions, "x.raw")} AS direction FROM occ x JOIN occ y ON x.evidence_id = y.evidence_id AND x.label = '{spec.source}' AND y.label = '{spec.target}')
       SELECT '{name}' AS relation_type, evidence_id, source, target, direction FROM r WHERE direction IS NOT NULL"""
 
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        got = extraction.pair_relations(table(spark, folder, "evidence_items"), _occurrences(spark, folder), spec)
+    def run(spark: SparkSession, folder: str, every: bool = False) -> DataFrame:
+        got = extraction.pair_relations(table(spark, folder, "evidence_items"), _occurrences(spark, folder, every), spec)
         return got.select(F.lit(name).alias("relation_type"), "evidence_id", "source", "target", "direction")
 
     run.__name__ = name
-    query(sql)(run)
+    query(sql)(whole(run))
 
 
 for _name, _spec in extraction.SPECS.items():

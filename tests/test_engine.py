@@ -346,6 +346,13 @@ def test_whole_queries_keep_texts_beyond_ascii(spark, tmp_path):
     assert run("standalone_entities_whole")[0]["n_mentions"] == 1 and len(run("ranked_candidates_whole")) == 1
 
 
+def test_every_mention_has_short_long_and_greek_terms(spark):
+    items = spark.createDataFrame([(1, "TNF-\u03b1 and IL-6 in A. bcd; the bile salt hydrolase gene of E. coli"), (2, None), (3, "")], "evidence_id long, source_sentence string")
+    terms = spark.createDataFrame([("gene", "TNF-\u03b1"), ("gene", "IL-6"), ("gene", "the bile salt hydrolase gene"), ("taxon", "E. coli"), ("gene", "x"), ("disease", "bcd"), ("gene", "TNF")], "label string, term string")
+    got = {(r["evidence_id"], r["label"], r["term"]) for r in extraction.every_mention(items, "evidence_id", "source_sentence", terms).collect()}
+    assert got == {(1, "gene", "tnf-\u03b1"), (1, "gene", "il-6"), (1, "gene", "the bile salt hydrolase gene"), (1, "taxon", "e coli")}
+
+
 def test_ml_verdicts_score_every_paper(spark):
     papers = spark.read.parquet(f"{DATA}/papers.parquet")
     assert papers.where("abstract is null or citation_count is null").count() > 0
