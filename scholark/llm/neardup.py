@@ -10,13 +10,13 @@ sorted by Gray rank and the remaining bits form the lower levels, one byte each:
 patterns, which are factored into one group per byte value; pairs of groups are descended together and pruned as soon
 as their accumulated differences exceed the radius.
 
-Verification.  Candidate pairs pass a sketch of minima first (bounded size, wide margin); what remains is verified by
-exact Jaccard over the runs of ``RUN`` words.
+Verification.  Candidate pairs pass a bound first: the number of runs of each text and a bitmap of them.  A bit that only
+one text has stands for at least one run that the other lacks, so the bound never rules out a pair that reaches the
+threshold.  What remains is verified by exact Jaccard over the runs of ``RUN`` words.
 
-Exact copies are one class from the start and never paired with each other inside the index.  More than ``HOT``
-texts under one fingerprint (a boilerplate passage) are not paired as a whole: they are split by the slots of their
-sketch, so that only texts that agree in two neighbouring minima meet (of two texts with half their runs in common
-97 of 100, through this passage alone); no text is dropped.
+Exact copies are one class from the start and never paired with each other inside the index.  All different texts under
+one fingerprint (a boilerplate passage) are compared by the bound, in blocks, whatever their number; only those whose
+numbers of runs are too far apart are skipped.
 
 Defined results: texts without a word run (null, empty, one or two words) are no candidates and each a group of its
 own; ties and repeated rows fall into one class; an empty table gives no pairs.
@@ -41,9 +41,8 @@ from .runtime import cut
 BLOCKS = 2
 RADIUS = BLOCKS - 1
 BLOCK_BITS = (32, 32)
-SLOTS = 16
-SKETCH_LEAST = 3  # of 16 one-byte minima; at similarity 1/2 a pair has 8 +- 2
-HOT = 64
+BITMAP_BITS = 512
+WORDS = BITMAP_BITS // 64 + 1  # of a sketch: the number of runs, then the bitmap
 LONGEST_PASSAGE = 60
 SLICE = 256  # at most 256, as a text's number is one byte
 CLASSES_KEPT = 200_000
@@ -51,9 +50,6 @@ CLASSES_KEPT = 200_000
 # a word, or (with an empty group) a sentence's end
 _PIECE = re.compile(r"(\w+)|[.!?](?=\s)|[。！？।]|\n(?=\s*\n|- |# )")
 _MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
-_RNG = np.random.default_rng(20240229)
-_MULT = _RNG.integers(1, 2**63, SLOTS, dtype=np.uint64) | np.uint64(1)
-_ADD = _RNG.integers(0, 2**63, SLOTS, dtype=np.uint64)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -124,18 +120,12 @@ class Fingerprints:
         keys = keys[np.r_[True, keys[1:] != keys[:-1]]] if len(keys) else keys
         owner, runs = (keys >> np.uint64(56)).astype(np.int64), keys << np.uint64(8)
         bounds = np.searchsorted(owner, np.arange(len(rows) + 1))
-        filled = np.flatnonzero(bounds[1:] > bounds[:-1])
-        sketches = np.zeros((len(rows), SLOTS), np.uint64)
-        if len(filled):
-            with np.errstate(over="ignore"):
-                sketches[filled] = np.minimum.reduceat(runs[:, None] * _MULT + _ADD, bounds[filled], axis=0)
-        small = (_mix(sketches) & np.uint64(0xFF)).astype(np.uint8)
         cuts = np.searchsorted(text_of_passage, np.arange(len(rows) + 1))
         for n in range(len(rows)):
             if bounds[n] == bounds[n + 1]:
                 yield None
             else:
-                yield np.unique(prints[cuts[n] : cuts[n + 1]]), runs[bounds[n] : bounds[n + 1]], small[n]
+                yield np.unique(prints[cuts[n] : cuts[n + 1]]), runs[bounds[n] : bounds[n + 1]], _sketch(runs[bounds[n] : bounds[n + 1]])
 
 
 class _WordHashes(dict):
@@ -175,10 +165,23 @@ def _simhash(h: np.ndarray, starts: np.ndarray, total: int) -> np.ndarray:
     return np.packbits(votes * 2 > n[:, None], axis=1, bitorder="little").reshape(-1, 8).view(np.uint64)[:, 0]
 
 
+def _short(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct 24-bit values of hashes."""
+    v = np.sort((x >> np.uint64(40)).astype(np.uint32))
+    return v[np.r_[True, v[1:] != v[:-1]]]
+
+
+def _sketch(x: np.ndarray) -> np.ndarray:
+    """Number of distinct 24-bit values, then the bitmap of their lowest bits."""
+    v = _short(x)
+    bits = np.zeros(BITMAP_BITS, np.uint8)
+    bits[v % np.uint32(BITMAP_BITS)] = 1
+    return np.r_[np.array([len(v)], np.uint64), np.packbits(bits, bitorder="little").view(np.uint64)]
+
+
 def _pack(x: np.ndarray) -> bytes:
     """Sorted distinct 24-bit values in Elias-Fano form: low 16 bits each, then the high bytes as a unary bitmap."""
-    v = np.sort((x >> np.uint64(40)).astype(np.uint32))
-    v = v[np.r_[True, v[1:] != v[:-1]]]
+    v = _short(x)
     high = np.zeros(len(v) + 256, np.uint8)
     high[(v >> np.uint32(16)).astype(np.int64) + np.arange(len(v))] = 1
     return v.astype("<u2").tobytes() + np.packbits(high).tobytes()
@@ -298,46 +301,55 @@ def near_pairs(codes: np.ndarray, node: np.ndarray, radius: int = RADIUS, budget
         stack.append((level + 1, ca[ok], cb[ok], d[ok]))
 
 
-def _groups(group: np.ndarray, cls: np.ndarray, sketch: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Class pairs of each group; in hot groups only those that agree in two neighbouring minima of the sketch."""
+def _groups(group: np.ndarray, cls: np.ndarray, sketch: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Class pairs of each group that the bound doesn't rule out, in blocks of bounded size.
+
+    A group is sorted by number of runs: of two texts with at least ``least`` in common, the smaller one has at least
+    that share of the larger one's runs.
+    """
     order = np.lexsort((cls, group))
     group, cls, sketch = group[order], cls[order], sketch[order]
     new = np.r_[True, (group[1:] != group[:-1]) | (cls[1:] != cls[:-1])] if len(group) else np.zeros(0, bool)
     group, cls, sketch = group[new], cls[new], sketch[new]
+    order = np.lexsort((sketch[:, 0], group))
+    group, cls, sketch = group[order], cls[order], sketch[order]
     start = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.zeros(0, np.int64)
-    size = np.r_[start[1:], len(group)] - start
-    cold = np.flatnonzero((size > 1) & (size <= HOT))
-    for lo in range(0, len(cold), 50_000):
-        g = cold[lo : lo + 50_000]
-        k, i, j = _cross(size[g], size[g])
-        p, q = start[g][k] + i, start[g][k] + j
-        keep = p < q
-        yield from _alike(p[keep], q[keep], cls, sketch)
-    for g in np.flatnonzero(size > HOT):
-        member = np.arange(start[g], start[g] + size[g])
-        for s in range(SLOTS):
-            v = sketch[member, s].astype(np.int64) << 8 | sketch[member, (s + 1) % SLOTS]
-            by = np.argsort(v, kind="stable")
-            v, m = v[by], member[by]
-            at = np.arange(len(v))
-            until = np.searchsorted(v, v, "right")
-            n = until - at - 1
-            for c in range(0, len(n), 2048):
-                w = n[c : c + 2048]
-                k = np.repeat(np.arange(len(w)), w)
-                off = np.arange(int(w.sum())) - np.repeat(np.cumsum(w) - w, w)
-                yield from _alike(m[c : c + 2048][k], m[at[c : c + 2048][k] + 1 + off], cls, sketch)
-
-
-def _alike(p: np.ndarray, q: np.ndarray, cls: np.ndarray, sketch: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    for lo in range(0, len(p), 500_000):
-        x, y = p[lo : lo + 500_000], q[lo : lo + 500_000]
-        ok = (sketch[x] == sketch[y]).sum(1) >= SKETCH_LEAST
+    end = np.r_[start[1:], len(group)] if len(group) else start
+    until = np.repeat(end, end - start)  # the first text of the group that is too large for this one
+    large = np.flatnonzero(end - start > 64)  # in small groups the bound alone is quicker
+    for lo, hi in zip(start[large], end[large], strict=True):
+        size = sketch[lo:hi, 0].astype(np.float64)
+        until[lo:hi] = lo + np.searchsorted(size, size / least + 1e-6, "right")
+    n = until - np.arange(len(group)) - 1
+    total = np.cumsum(n)
+    lo = 0
+    while lo < len(n):
+        done = total[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(total, done + 200_000, "right")))
+        w = n[lo:hi]
+        k = np.repeat(np.arange(len(w)), w)
+        p = lo + k
+        q = p + 1 + np.arange(len(k)) - np.repeat(np.cumsum(w) - w, w)
+        yield from _alike(p, q, cls, sketch, least)
+        lo = hi
+
+
+def _alike(p: np.ndarray, q: np.ndarray, cls: np.ndarray, sketch: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for lo in range(0, len(p), 200_000):
+        x, y = p[lo : lo + 200_000], q[lo : lo + 200_000]
+        own, other = np.zeros(len(x), np.int64), np.zeros(len(x), np.int64)
+        for k in range(1, WORDS):
+            a, b = sketch[x, k], sketch[y, k]
+            own += np.bitwise_count(a & ~b)
+            other += np.bitwise_count(b & ~a)
+        m, n = sketch[x, 0].astype(np.int64), sketch[y, 0].astype(np.int64)
+        both = np.minimum(m - own, n - other)
+        ok = both >= least * (m + n - both) - 1e-6
         a, b = cls[x[ok]], cls[y[ok]]
         yield np.minimum(a, b), np.maximum(a, b)
 
 
-def _pair_groups(posts: DataFrame) -> DataFrame:
+def _pair_groups(posts: DataFrame, least: float) -> DataFrame:
     """(a, b) of classes that share a group and whose sketches don't rule them out; ``posts`` is partitioned by group."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -346,9 +358,9 @@ def _pair_groups(posts: DataFrame) -> DataFrame:
             return
         rows = pa.Table.from_batches(got)
         group, cls = rows.column(0).to_numpy(), rows.column(1).to_numpy()
-        sketch = np.frombuffer(b"".join(rows.column(2).to_pylist()), np.uint8).reshape(-1, SLOTS)
+        sketch = np.frombuffer(b"".join(rows.column(2).to_pylist()), np.uint64).reshape(-1, WORDS)
         held_a, held_b, held = [], [], 0
-        for a, b in _groups(group, cls, sketch):
+        for a, b in _groups(group, cls, sketch, least):
             held_a.append(a)
             held_b.append(b)
             held += len(a)
@@ -399,7 +411,7 @@ def near_codes(codes: DataFrame, partitions: int) -> DataFrame:
     return posts.repartition(partitions, "blk", masked).select("blk", "code").mapInArrow(go, "c long, d long")
 
 
-def candidate_pairs(classes: DataFrame) -> DataFrame:
+def candidate_pairs(classes: DataFrame, least: float) -> DataFrame:
     """(a, b), a < b: classes with passages within the radius whose sketches do not rule the pair out.
 
     ``classes`` has cls long, prints array<long>, sketch binary; the rows of one class are alike.
@@ -410,7 +422,7 @@ def candidate_pairs(classes: DataFrame) -> DataFrame:
     group = F.xxhash64("c", "d").alias("grp")
     ends = near.select(F.col("c").alias("code"), group).unionByName(near.select(F.col("d").alias("code"), group))
     extra = posts.join(ends, "code").select("grp", "cls", "sketch").repartition(partitions, "grp")
-    return _pair_groups(posts).unionByName(_pair_groups(extra)).distinct()
+    return _pair_groups(posts, least).unionByName(_pair_groups(extra, least)).distinct()
 
 
 def _unique(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
@@ -425,7 +437,7 @@ def similar_classes(prepared: DataFrame, least: float) -> tuple[DataFrame, DataF
     """
     members = prepared.where("class_key is not null").select("id", F.col("class_key").alias("cls"))
     bearers = prepared.where("runs is not null")
-    pairs = cut(candidate_pairs(bearers.select(F.col("class_key").alias("cls"), "prints", "sketch")))
+    pairs = cut(candidate_pairs(bearers.select(F.col("class_key").alias("cls"), "prints", "sketch"), least))
     runs = bearers.select(F.col("class_key").alias("cls"), "runs").groupBy("cls").agg(F.max("runs").alias("runs"))
     joined = pairs.join(runs.select(F.col("cls").alias("a"), F.col("runs").alias("ra")), "a").join(runs.select(F.col("cls").alias("b"), F.col("runs").alias("rb")), "b")
 

@@ -108,6 +108,22 @@ def test_hot_passage_is_split_and_loses_nothing(spark):
     assert got == brute_pairs(rows, 3, 0.5)
 
 
+def test_no_pair_of_a_hot_group_is_lost():
+    """Families under one passage: every pair that reaches the threshold is a candidate, however large the group."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    base = rng.integers(1, 2**63, 80, dtype=np.uint64)
+    texts = [np.unique(np.r_[base[rng.permutation(80)[:64]], rng.integers(1, 2**63, 8, dtype=np.uint64)]) for _ in range(300)]
+    sets = [set((t >> np.uint64(40)).tolist()) for t in texts]
+    want = {(a, b) for a, b in itertools.combinations(range(300), 2) if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.5}
+    assert len(want) > 500
+    got = set()
+    for a, b in neardup._groups(np.zeros(300, np.int64), np.arange(300), np.stack([neardup._sketch(t) for t in texts]), 0.5):
+        got |= set(zip(a.tolist(), b.tolist(), strict=True))
+    assert got >= want
+
+
 def test_components(spark):
     chain = [(k, k + 1) for k in range(60)] + [(100, 101), (102, 101), (200, 200)] + [(300, 300 + k) for k in range(1, 200)]
     got = {r["node"]: r["root"] for r in components.connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}
