@@ -13,6 +13,7 @@ from . import adapters as a
 from .adapters import table
 
 Query = Callable[[SparkSession, str], DataFrame]
+CACHED_NAMES = 10_000  # per label, as the reference loads
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
@@ -819,10 +820,12 @@ def ml_verdicts(spark, folder):
 
 
 @query("SELECT label, name FROM (SELECT label, text AS name, row_number() OVER (PARTITION BY label ORDER BY text) AS r FROM (SELECT DISTINCT label, text FROM mentions WHERE trim(text) <> '' AND regexp_matches(text, '^[\\x20-\\x7E]*$'))) WHERE r <= 500".replace("\\\\", "\\"))
-def entity_name_cache(spark, folder):
-    """The first names per label that the request checks hold in memory; the number is the cache's own size."""
-    rows = table(spark, folder, "mentions").where((F.trim("text") != "") & F.col("text").rlike(r"^[\x20-\x7E]*$")).select("label", F.col("text").alias("name")).distinct()
-    return rows.withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy("name"))).where("r <= 500").select("label", "name")
+@whole
+def entity_name_cache(spark, folder, every=False):
+    """The first names per label that the request checks hold in memory: 500 in the SQL, the reference's 10,000 besides."""
+    rows = _texts(table(spark, folder, "mentions"), "text", every, r"^[\x20-\x7E]*$").where(F.trim("text") != "").select("label", F.col("text").alias("name")).distinct()
+    most = CACHED_NAMES if every else 500
+    return rows.withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy("name"))).where(F.col("r") <= most).select("label", "name")
 
 
 @query("SELECT canonical_id, count(DISTINCT surface_form) AS n_forms, min(surface_form) AS first_form, max(added_at) AS last_added FROM synonyms WHERE canonical_id IS NOT NULL GROUP BY canonical_id")

@@ -353,6 +353,13 @@ def test_every_mention_has_short_long_and_greek_terms(spark):
     assert got == {(1, "gene", "tnf-\u03b1"), (1, "gene", "il-6"), (1, "gene", "the bile salt hydrolase gene"), (1, "taxon", "e coli")}
 
 
+def test_name_cache_holds_as_many_names_as_the_reference(spark, tmp_path):
+    rows = [{"mention_id": k, "label": "taxon", "text": f"n{k:05d}"} for k in range(10_003)] + [{"mention_id": 20_000, "label": "gene", "text": "TNF-\u03b1"}]
+    got = registry.QUERIES["entity_name_cache_whole"](spark, _rest(spark, tmp_path, {"mentions": rows})).collect()
+    names = {label: [r["name"] for r in got if r["label"] == label] for label in ("taxon", "gene")}
+    assert sorted(names["taxon"]) == [f"n{k:05d}" for k in range(10_000)] and names["gene"] == ["TNF-\u03b1"]
+
+
 def test_ml_verdicts_score_every_paper(spark):
     papers = spark.read.parquet(f"{DATA}/papers.parquet")
     assert papers.where("abstract is null or citation_count is null").count() > 0
