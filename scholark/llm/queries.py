@@ -51,7 +51,7 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p3_groups(spark: SparkSession, folder: str) -> DataFrame:
-    groups = neardup.near_duplicate_groups(_titled(spark, folder), "paper_id", "title", "abstract", run=5, least=0.8)
+    groups = neardup.near_duplicate_groups(_titled(spark, folder), "paper_id", "title", "abstract", run=3, least=0.5)
     return groups.withColumnsRenamed({"id": "paper_id"})
 
 

@@ -16,6 +16,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         return
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         folder = os.path.join(tempfile.gettempdir(), "scholark-checkpoints")
     spark.sparkContext.setCheckpointDir(folder)
 
@@ -26,6 +28,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver collect what it no longer refers to, so that the shuffle files of finished, cut stages are deleted."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``mapInArrow`` over ``fn``, which turns one batch into one batch (or None for no rows)."""
 

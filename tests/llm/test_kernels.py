@@ -232,17 +232,19 @@ def test_prefix_filter_loses_no_candidate():
 
 
 # -- near duplicates
-def test_near_codes_match_brute_force():
+def test_near_pairs_match_brute_force():
     rng = np.random.default_rng(8)
-    base = rng.integers(0, 2**63, 400, dtype=np.uint64)
-    flipped = base[:150] ^ (np.uint64(1) << rng.integers(0, 63, 150).astype(np.uint64))
-    codes = np.unique(np.r_[base, flipped])
-    codes = codes[np.argsort(neardup.gray_rank(codes))]
-    node = np.zeros(len(codes), np.uint64)
-    for radius in (1, 2):
-        got = {frozenset((int(codes[i]), int(codes[j]))) for a, b in neardup.near_pairs(codes, node, radius) for i, j in zip(a, b, strict=True)}
-        want = {frozenset((int(x), int(y))) for k, x in enumerate(codes) for y in codes[k + 1 :] if int(x ^ y).bit_count() <= radius}
-        assert got == want
+    base = rng.integers(0, 2**30, 300, dtype=np.uint64)
+    flipped = base[:150] ^ (np.uint64(1) << rng.integers(0, 30, 150).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 30, 150).astype(np.uint64))
+    codes = np.r_[base, flipped, base[:40]]
+    node = rng.integers(0, 3, len(codes)).astype(np.uint64)
+    order = np.lexsort((neardup.gray_rank(codes), node))
+    codes, node = codes[order], node[order]
+    for radius in (0, 2, 8):
+        for budget in (50, 2_000_000):
+            got = [(int(i), int(j)) for a, b in neardup.near_pairs(codes, node, radius, budget=budget) for i, j in zip(a, b, strict=True)]
+            want = {(i, j) for i in range(len(codes)) for j in range(i + 1, len(codes)) if node[i] == node[j] and int(codes[i] ^ codes[j]).bit_count() <= radius}
+            assert set(got) == want and len(got) == len(want)
 
 
 def test_gray_rank_orders_gray_codes():
@@ -252,6 +254,6 @@ def test_gray_rank_orders_gray_codes():
 
 def test_runs_pack_and_unpack():
     rng = np.random.default_rng(9)
-    for n in (1, 2, 7, 130, 999, 40_000):
+    for n in (1, 2, 3, 7, 8, 130, 999, 40_000):
         x = rng.integers(0, 2**64 - 1, n, dtype=np.uint64)
-        assert (neardup._unpack(neardup._pack(x)) == np.unique((x >> np.uint64(40)).astype(np.uint32))).all()
+        assert (neardup._unpack(neardup._pack(x)) == np.unique((x >> np.uint64(32)).astype(np.uint32))).all()
