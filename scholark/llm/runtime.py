@@ -22,15 +22,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     spark.sparkContext.setCheckpointDir(folder)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint, so that lost executors cost no recomputation from the start."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def release(spark: SparkSession) -> None:
-    """Let the driver collect what it no longer refers to, so that the shuffle files of finished, cut stages are deleted."""
-    spark.sparkContext._jvm.System.gc()
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint, so that lost executors cost no recomputation from the start.
+
+    What comes after reads the checkpoint, so the shuffle files that led to it are deleted with the action's end.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint()  # the setting holds for plans made from here on
+    finally:
+        spark.conf.set(CLEANUP, before)
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
