@@ -66,6 +66,8 @@ _MD_INLINE = re.compile(
     re.M,
 )
 _INLINE_SIGN = re.compile(r"[*`]|[^\w;_]_\w|^_\w|\]\(|\[\^|~~|^> ", re.M)
+# no trace of markup without one of these, but for a mark or number that opens the text
+_ANY = re.compile(r"[\\&`*$<'\[\]{|_~\n]")
 _QUICK = re.compile(r"[\\&`*$]|<[/A-Za-z!?]|''|\[[\[^!]|\]\(|\[http|\{[{|]|[^\w;_]_|~~|\n(?:[+=>#|-]|\d{1,2}[.)] |---)")
 
 
@@ -81,7 +83,7 @@ class Scan:
         self.kinds: set[str] = set()
         self.trace = False
         self.wiki = False
-        if not _QUICK.search("\n" + text):
+        if not _ANY.search(text) and text[0] not in "+=>#|-0123456789" or not _QUICK.search("\n" + text):
             return
         add = self.kinds.add
         angle = "<" in text
