@@ -96,6 +96,8 @@ def test_split_round_trip(text, limit, overlap):
     got = splitting.split(text, limit, overlap)
     assert "".join(text[c:b] for _, c, b, _ in got) == text
     assert all(b - a <= limit and 0 <= c - a <= overlap for a, c, b, _ in got)
+    if overlap:  # every following piece shares something, unless its new part fills it
+        assert all(c > a or (b - c == limit and k != "hard") for (*_, k), (a, c, b, _) in zip(got, got[1:], strict=False))
 
 
 def test_split_hard_only_where_needed():
@@ -106,6 +108,40 @@ def test_split_hard_only_where_needed():
         assert got == bool(re.search(r"[^\s.!?。！？।؟]{101,}", text))
 
 
+def test_split_over_all_boundaries_is_the_cheapest():
+    """Brute force over every chain of boundaries of short texts."""
+    rng = random.Random(12)
+    for _ in range(60):
+        text = "".join(rng.choice(["xxxx ", "yy, ", "zzz. ", "\n\n", "wwwwwww"]) for _ in range(12)).rstrip()
+        limit, overlap = 24, 5
+        if len(text) <= limit:
+            continue
+        coarse, every = splitting._boundaries(text, limit)
+        marks = [(0, 0), *every, (len(text), 0)]
+        starts = [0, *splitting._starts([p for p, _ in every], [p for p, _ in coarse], [p for p, _ in every], overlap), len(text)]
+        target = len(text) / -(-len(text) // (limit - overlap))
+        best = {0: 0.0}
+        for j in range(1, len(marks)):
+            for i in range(j):
+                size = marks[j][0] - marks[i][0]
+                if i in best and size <= limit:
+                    c = best[i] + splitting.PENALTY[marks[j][1]] + 4 * ((size - target) / target) ** 2 + (0.5 if marks[j][0] - starts[i] > limit else 0) + (50 if i and size == limit else 0)
+                    best[j] = min(best.get(j, c), c)
+        got = splitting.split(text, limit, overlap)
+        kinds = dict(marks)
+        cost = 0.0
+        for a, c, b, _ in got:
+            i = [p for p, _ in marks].index(c)
+            cost += splitting.PENALTY[kinds[b]] + 4 * ((b - c - target) / target) ** 2 + (0.5 if b - starts[i] > limit else 0) + (50 if c and b - c == limit else 0)
+        assert abs(cost - best[len(marks) - 1]) < 1e-6
+
+
+def test_split_plain_words_overlap():
+    text = ("word " * 1500).strip()
+    got = splitting.split(text)
+    assert len(got) > 3 and all(0 < c - a <= 200 and text[a - 1] == " " for a, c, _, _ in got[1:])
+
+
 def test_split_defined_cases():
     assert splitting.split(None) == [] and splitting.split("") == [] and splitting.split("short") == [(0, 0, 5, "end")]
 
