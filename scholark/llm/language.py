@@ -80,6 +80,11 @@ def grams(token: str) -> Iterator[str]:
         yield w
 
 
+def sequence(token: str) -> bool:
+    """Whether a long token is a sequence or a code, not a word: in capitals throughout, or of few different letters."""
+    return len(token) > LONGEST_WORD and (token.isupper() or len(set(token)) < 8)
+
+
 def _places(gram: str) -> list[int]:
     b = gram.encode("utf-8", "replace")
     h, g = zlib.crc32(b), zlib.adler32(b[::-1], 1) * 2654435761 | 1
@@ -87,16 +92,16 @@ def _places(gram: str) -> list[int]:
 
 
 class Filters:
-    """The bit-sliced filters and their languages; picklable, ``SLOTS`` words of 32 bits."""
+    """The bit-sliced filters and their languages; picklable, ``SLOTS`` rows of one bit a language, in whole bytes."""
 
     def __init__(self, sets: dict[str, Iterable[str]]) -> None:
         self.langs = sorted(sets)
-        self.slots = np.zeros(SLOTS, np.uint32)
+        self.slots = np.zeros((SLOTS, max(1, -(-len(self.langs) // 8))), np.uint8)
         for bit, lang in enumerate(self.langs):
             at = np.array([p for g in sets[lang] for p in _places(g)], np.int64)
             if len(at):
-                self.slots[at] |= np.uint32(1 << bit)
-        fill = np.array([float(np.mean(self.slots >> np.uint32(b) & np.uint32(1))) for b in range(len(self.langs))])
+                self.slots[at, bit // 8] |= np.uint8(1 << bit % 8)
+        fill = np.array([float(np.mean(self.slots[:, b // 8] >> np.uint8(b % 8) & np.uint8(1))) for b in range(len(self.langs))])
         self.false_positive = fill**HASHES
         self._start()
 
@@ -115,13 +120,13 @@ class Filters:
         if len(self.index) >= WORDS_KEPT:
             self._start()
         k = self.index[token] = len(self.index)
-        if not token or len(token) > LONGEST_WORD:  # sequences and codes are no words
-            return k
         if k >= len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        if not token or sequence(token):
+            return k
         places = np.array([_places(g) for g in grams(token)], np.int64)
         masks = np.bitwise_and.reduce(self.slots[places], axis=1)
-        hits = (masks[:, None] >> np.arange(len(self.langs), dtype=np.uint32) & np.uint32(1)).sum(0)
+        hits = np.unpackbits(masks, axis=1, count=len(self.langs), bitorder="little").sum(0)
         n = len(masks)
         weight = 3.0 if token[0] >= "฀" else 1.0  # unspaced scripts: few grams a sign
         # of n grams, false positives alone set n * p bits; the rest is stretched to n again

@@ -221,6 +221,18 @@ def test_language_filters_find_stretches_and_drop_false_labels():
     assert language.stretches(language.Filters({}), "the samples were taken") == []
 
 
+def test_language_takes_long_tokens_and_many_languages():
+    """A long token where the table grows, long words and sequences, and more languages than a machine word has bits."""
+    model = language.Filters({f"l{k:02d}": {f"x{k}", f" q{k}"} for k in range(70)})
+    tokens = [f"t{k}" for k in range(4096)]
+    assert model.scores([*tokens, "a" * 45, "ACGT" * 20]).shape == (4098, 71)
+    got = model.scores(["q69"])[0]
+    assert got[model.langs.index("l69")] > 0.9 and got[model.langs.index("l05")] < 0.1
+    again = language.Filters({"de": set(language.grams("verfassungs" * 4))})
+    assert again.scores(["verfassungs" * 4])[0, 0] > 40 and again.scores(["ACGT" * 20])[0].sum() == 0
+    assert language.Filters({}).scores(["x"]).shape == (1, 1)
+
+
 @pytest.mark.parametrize(("label", "code"), [("en-US", "en"), (" English ", "en"), ("eng", "en"), ("pt-BR", "pt"), ("zho", "zh"), ("unknown", None), ("", None), (None, None), ("und", None), ("JA", "ja")])
 def test_labels(label, code):
     assert language.label_code(label) == code
