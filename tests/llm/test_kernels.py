@@ -41,7 +41,20 @@ def test_normalise_settles(text):
 
 
 def test_table_has_no_conflicts():
-    assert len(chars.compile_table()) > 200
+    tables = chars.compile_table()
+    assert all(len(t) > 200 for t in tables.values())
+    assert max(len(src) for src in tables[chars.TO_LATIN]) > 2 and sum(len(src) > 1 for src in tables[chars.TO_LATIN]) > 1000
+
+
+@pytest.mark.parametrize(
+    ("given_", "want"),
+    [
+        ("\uff76\uff9e\uff77", "\u30ac\u30ad"), ("type \u2163 and \u216b", "type IV and XII"), ("\u0585ral b\u0585wel", "oral bowel"), ("\u13a0NA", "DNA"), ("Z\u0430\u0301lka", "Z\u00e1lka"), ("\u1ec7 e\u0323\u0302 e\u0302\u0323", "\u1ec7 \u1ec7 \u1ec7"),
+        ("\uff25\u0301cole", "\u00c9cole"), ("e\u200b\u0301", "\u00e9"), ("\u1112\u1161\u11ab", "\ud55c"), ("\u0570\u0561\u0575", "\u0570\u0561\u0575"), ("\u13a0\u13b5", "\u13a0\u13b5"), ("\u0440x\u043e\u0436\u0435", "\u0440\u0445\u043e\u0436\u0435"),
+    ],
+)
+def test_normalise_longest_match(given_, want):
+    assert chars.normalise(given_) == want
 
 
 # -- markup
