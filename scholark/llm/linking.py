@@ -2,7 +2,8 @@
 
 A name is the set of its letter pairs (numbered where they repeat).  Tokens are ordered by global rarity, only the rare
 prefix of each set is joined, length and positional filters cut the candidates, Jaccard is computed exactly, and the
-best entry that also agrees part by part (each word within a few edits) is kept; the rest is reported as unmatched.
+entry of the highest Jaccard that agrees part by part (each word within a few edits, or as its abbreviation) is kept; the
+rest is reported as unmatched.  Words that add a detail are learned from the values: they stand beside whole listed names.
 
 The reference lists are of fixed size and go to every worker; the free-entered side is reduced to its distinct values
 first, so a value that holds a third of all rows is linked once.
@@ -23,31 +24,50 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chars import normalise
+from .runtime import cut
 
 THRESHOLD = 0.45
 MOST_EDITS = 2
 NONE = "none"
-# Words that add a detail to a listed name, or join its parts.
+# Words that add a detail to a listed name, or join its parts, in any such list; others are learned.
 DETAIL = frozenset(
-    "strain subsp var spp sp complex type isolate dsx in remission stage i ii iii iv syndrome severe modified mild acute chronic suspected probable "
-    "patients patient with kit velk assay version v v1 v2 v3 house inhouse electronic online print open access edition issn "
+    "strain subsp var spp sp complex type isolate in remission stage i ii iii iv syndrome severe modified mild acute chronic suspected probable "
+    "patients patient with kit assay version v house inhouse electronic online print open access edition issn "
     "vol volume issue the of and for on minor major protocol cases case s l nov cf aff like".split()
 )
 SMALL = frozenset("the of and for on in a an".split())
-# Abbreviations of words in journal names.
-SHORT = {
-    "annals": "ann", "archives": "arch", "bulletin": "bull", "frontier": "front", "notes": "nts", "journal": "j", "letters": "lett",
-    "proceedings": "proc", "reports": "rep", "research": "res", "comparative": "comp", "computational": "comput",
-    "dynamics": "dyn", "ecology": "ecol", "epidemiology": "epidemiol", "epithelial": "epithel", "genomics": "genom", "immunity": "immun",
-    "intestinal": "intest", "metabolic": "metab", "microbial": "microb", "nutrition": "nutr",
-    "physiology": "physiol", "therapeutics": "ther",
-}
+LEAST_NAMES = 3  # a word is a detail if it stands beside so many different listed names
 _WORDS = re.compile(r"[^\W_]+")
 _PAREN = re.compile(r"[(\[]([^()\[\]]{1,40})[)\]]")
 
 
-def words_of(value: str) -> list[str]:
-    return _WORDS.findall(normalise(value).casefold().replace("-", " ").replace("co abundance", "coabundance").replace("single cell", "singlecell"))
+_VOWELS = re.compile(r"[aeiouy]+")
+_CODE = re.compile(r"[a-z]?\d+[a-z]?")
+
+
+def words_of(value: str, gap: str = "") -> list[str]:
+    """Words in one form; parts joined by a hyphen are one word, or words of their own with a blank as ``gap``."""
+    return _WORDS.findall(normalise(value).casefold().replace("-", gap))
+
+
+def stem(word: str, groups: int) -> str:
+    """A word cut before its vowel group number ``groups``, as abbreviations of titles are; ``journal`` is always j."""
+    if word == "journal":
+        return "j"
+    for k, m in enumerate(_VOWELS.finditer(word)):
+        if k >= groups and m.start() > 2:
+            return word[: m.start()]
+    return word
+
+
+def shortens(short: str, word: str) -> bool:
+    """Whether ``short`` abbreviates ``word``: its beginning, or a contraction of three letters or more."""
+    if word.startswith(short):
+        return len(short) > 1 or word == "journal"
+    if len(short) < 3 or len(short) >= len(word) or (short[0], short[-1]) != (word[0], word[-1]):
+        return False
+    rest = iter(word)
+    return all(c in rest for c in short)
 
 
 def pairs(text: str) -> list[str]:
@@ -92,6 +112,7 @@ class Reference:
             if full in by_name:
                 self.acronyms.setdefault("".join(words_of(form)), by_name[full])
         self.forms: list[tuple[str, list[str], str]] = []  # (reference id, words, letters)
+        self.full: dict[int, list[str]] = {}  # the whole words of abbreviated forms
         for ref, name in names:
             w = [x for x in words_of(name) if x not in SMALL]
             forms = [w]
@@ -100,12 +121,33 @@ class Reference:
             if len(w) == 2 or kind == "method":
                 forms.append(w[1:] + w[:1])
             if kind == "journal":
-                forms.append([SHORT.get(x, x) for x in w])
+                for cut in ([x if len(x) <= keep else stem(x, groups) for x in w] for keep, groups in ((0, 1), (6, 2), (7, 1), (7, 2), (8, 2))):
+                    self.full[len(self.forms) + len(forms)] = w
+                    forms.append(cut)
             if kind == "method":
                 forms += [[x if x != "sequencing" else "seq" for x in w]]
             for f in forms:
                 self.forms.append((ref, f, "".join(f)))
         self.order: dict[str, int] = {}
+        self.vocabulary = {x for _, f, _ in self.forms for x in f}
+        self.detail = DETAIL
+        self.starts: dict[str, list[tuple[str, list[str]]]] = defaultdict(list)
+        for ref, name in names:
+            if w := words_of(name):
+                self.starts[w[0]].append((ref, w))
+
+    def beside(self, value: str) -> Iterator[tuple[str, str]]:
+        """(word, reference id): what stands beside a whole listed name in ``value``."""
+        words = words_of(value)
+        for k, first in enumerate(words):
+            for ref, w in self.starts.get(first, ()):
+                if len(words) > len(w) and words[k : k + len(w)] == w:
+                    for x in (*words[:k], *words[k + len(w) :]):
+                        yield x, ref
+
+    def learn(self, details: Iterable[str]) -> None:
+        """Take words as details, unless they belong to a listed name."""
+        self.detail = DETAIL | {w for w in details if w not in self.vocabulary}
 
     def rank(self, frequency: Counter[str]) -> None:
         """Order tokens by global rarity and index the rare prefix of every form."""
@@ -155,55 +197,50 @@ class Reference:
         out.sort(key=lambda x: (-x[0], self.forms[x[1]][0], x[1]))
         return out
 
-    def _agrees(self, words: list[str], letters: str, n: int) -> int | None:
-        """Edits between the value and form ``n`` if every part agrees, else None."""
+    def _agrees(self, words: list[str], letters: str, n: int) -> bool:
+        """Whether the value and form ``n`` agree part by part, each word within a few edits or as an abbreviation."""
         _, form, whole = self.forms[n]
+        if n in self.full:
+            full = self.full[n]
+            return len(words) == len(full) and all(shortens(w, f) or edits(w, f, 1) <= 1 for w, f in zip(words, full, strict=True))
         most = 1 if len(whole) < 8 else MOST_EDITS
-        d = edits(letters, whole, most)
-        if d > most:
-            return None
+        if edits(letters, whole, most) > most:
+            return False
         if len(words) == len(form):
             for w, f in zip(words, form, strict=True):
                 room = 0 if len(f) == 1 else max(1, min(MOST_EDITS, len(f) // 4))
                 if edits(w, f, room) > room:
-                    return None
+                    return False
         elif self.kind == "taxon" and len(form[0]) <= 3 and letters[: len(form[0])] != form[0]:
-            return None
-        return d
+            return False
+        return True
 
     def _match(self, words: list[str]) -> tuple[str, float] | None:
+        """The agreeing entry of the highest exact Jaccard; the smaller reference id on ties."""
         letters = "".join(words)
         n = self.exact.get(letters)
         if n is not None:
             return self.forms[n][0], 1.0
-        best: tuple[int, float, str] | None = None
         for j, n in self.candidates(letters):
-            if best is not None and j < best[1] - 0.25:
-                break
-            d = self._agrees(words, letters, n)
-            if d is not None:
-                key = (d, -j, self.forms[n][0])
-                if best is None or key < (best[0], -best[1], best[2]):
-                    best = (d, j, self.forms[n][0])
-        return None if best is None else (best[2], best[1])
+            if self._agrees(words, letters, n):
+                return self.forms[n][0], j
+        return None
 
     def link(self, value: str) -> tuple[str, float]:
         """(reference id or 'none', Jaccard of the letter pairs)."""
         words = words_of(value)
         if not words:
             return NONE, 0.0
-        joined = "".join(words)
-        if joined in self.acronyms:
-            return self.acronyms[joined], 1.0
-        tries = [[w for w in words if w not in SMALL]]
         outside = words_of(_PAREN.sub(" ", normalise(value)))
-        tries.append([w for w in outside if w not in SMALL])
-        keep = {"strain"} if self.kind == "method" else set()
-        for base in (words, outside):
-            cut = [w for w in base if (w not in DETAIL or w in keep) and not w.isdigit() and not re.fullmatch(r"[a-z]?\d+[a-z]?", w)]
-            tries.append(cut)
-            if self.kind == "method":
-                tries.append([w for w, after in zip(base, [*base[1:], ""], strict=False) if (w not in DETAIL or w in ("strain", "assay")) and w != after and not re.fullmatch(r"v?\d+", w)])
+        tries = []
+        for base in (words, outside, words_of(value, " "), words_of(_PAREN.sub(" ", normalise(value)), " ")):
+            once = [w for w, after in zip(base, [*base[1:], ""], strict=False) if w != after]
+            tries.append(base)
+            tries.append([w for w in base if w not in SMALL])
+            # details go, first those that belong to no listed name
+            tries.append([w for w in once if (w not in self.detail or w in self.vocabulary) and not _CODE.fullmatch(w)])
+            tries.append([w for w in once if w not in self.detail and not _CODE.fullmatch(w)])
+            tries += [[w for w in tries[-2] if w != x] for x in dict.fromkeys(once) if x in self.detail and x in self.vocabulary]
         seen: set[str] = set()
         best: tuple[str, float] | None = None
         for t in tries:
@@ -211,7 +248,7 @@ class Reference:
             if not t or key in seen:
                 continue
             seen.add(key)
-            if t and "".join(t) in self.acronyms:
+            if "".join(t) in self.acronyms:
                 return self.acronyms["".join(t)], 1.0
             got = self._match(t)
             if got and (best is None or got[1] > best[1]):
@@ -227,7 +264,7 @@ class Reference:
         for n in (2, 1):
             if len(words) > n:
                 got = self._match(words[:n])
-                if got and (n == 2 or len(words[0]) > 14):
+                if got:
                     return got
         return None
 
@@ -251,29 +288,41 @@ def link_any(refs: dict[str, Reference], kind: str, value: str) -> tuple[str, fl
     return max(got, key=lambda g: (g[0] != NONE, g[1])) if got else (NONE, 0.0)
 
 
+def _counts(rows: list[tuple[str, str | None, str | None, int]]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
+    return pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.string(), pa.int64()), strict=True)], names=["token", "kind", "ref", "n"])
+
+
 def link_values(values: DataFrame, refs: dict[str, Reference]) -> DataFrame:
     """(kind, value, ref_id, similarity) for the distinct (kind, value) rows of ``values``.
 
-    Token frequencies are counted over all distinct values; only tokens of the reference lists are collected, a number
-    fixed by the lists' size.
+    Token frequencies and detail words are counted over all distinct values.  Collected are only tokens of the reference
+    lists, a number fixed by the lists' size, and words that stand beside ``LEAST_NAMES`` listed names or more.
     """
     spark = values.sparkSession
     # few bytes but much work a row: spread over all cores, where adaptive execution would join the partitions
     spread = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
-    distinct = values.select("kind", "value").distinct().repartition(spread, "kind", "value")
+    distinct = cut(values.select("kind", "value").distinct().repartition(spread))
     known = sorted({t for r in refs.values() for _, _, s in r.forms for t in pairs(s)})
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep, total = set(known), Counter()
+        seen: set[tuple[str, str, str]] = set()
         for batch in batches:
-            for v in batch.column(0).to_pylist():
+            for kind, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 total.update(t for t in pairs("".join(words_of(v))) if t in keep)
-        if total:
-            yield pa.record_batch([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["token", "n"])
-
-    counted = distinct.select("value").mapInArrow(tokens, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    frequency = Counter({r["token"]: r["n"] for r in counted.collect()})
-    for r in refs.values():
+                for k in (kind,) if kind in refs else refs:
+                    seen.update((k, w, ref) for w, ref in refs[k].beside(v))
+            if len(seen) > 100_000:
+                yield _counts([(w, k, ref, 1) for k, w, ref in seen])
+                seen.clear()
+        yield _counts([(t, None, None, n) for t, n in total.items()] + [(w, k, ref, 1) for k, w, ref in seen])
+
+    counted = cut(distinct.mapInArrow(tokens, "token string, kind string, ref string, n long").groupBy("token", "kind", "ref").agg(F.sum("n").alias("n")))
+    frequency = Counter({r["token"]: r["n"] for r in counted.where("kind is null").collect()})
+    details = counted.where("kind is not null").groupBy("kind", "token").agg(F.count("*").alias("names")).where(F.col("names") >= LEAST_NAMES).collect()
+    for kind, r in refs.items():
+        r.learn(d["token"] for d in details if d["kind"] == kind)
         r.rank(frequency)
     shared = spark.sparkContext.broadcast(refs)
 

@@ -274,6 +274,22 @@ def test_links(kind, value, want):
     assert linking.link_any(_refs(), kind, value)[0] == want
 
 
+def test_details_are_learned_from_values():
+    refs = _refs()
+    taxon = refs["taxon"]
+    assert set(taxon.beside("Bezibplasma sodnafalis Qux9 zorb")) == {("qux9", "t2"), ("zorb", "t2")} and not list(taxon.beside("Bezibplasma turbicola zorb"))
+    assert taxon.link("Bezibplasma sodnfalis zorbentic quality")[0] == "t2"  # further words after a name of two
+    method = refs["method"]
+    assert method.link("zorb Metm strain trackin")[0] == "none"
+    method.learn(["zorb", "strain"])
+    assert method.link("zorb Metm strain trackin")[0] == "m1" and "strain" not in method.detail - linking.DETAIL
+
+
+@pytest.mark.parametrize(("short", "word", "want"), [("nutr", "nutrition", True), ("nts", "notes", True), ("j", "journal", True), ("n", "notes", False), ("dyn", "dietary", False), ("ntr", "notes", False)])
+def test_abbreviated_words(short, word, want):
+    assert linking.shortens(short, word) == want
+
+
 def test_prefix_filter_loses_no_candidate():
     rng = random.Random(7)
     names = [("r%d" % k, "".join(rng.choice("abcdefgh") for _ in range(rng.randint(6, 14)))) for k in range(60)]
