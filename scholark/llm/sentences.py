@@ -1,8 +1,9 @@
 """Sentence spans by semi-Markov dynamic programming.
 
-Whole spans between candidate ends are scored jointly: the span's length, its opening word, its closing word and
-whether its quotations and brackets balance.  The best chain of spans through a paragraph is found by dynamic
-programming over the candidates (bounded look-back of ``LOOKBACK`` candidates).
+Whole spans between candidate ends are scored jointly: the span's length, its opening word, its closing word, whether its
+quotations and brackets balance and whether it begins or ends inside one.  The best chain of spans through a paragraph is
+found by dynamic programming over all candidates; how far it looks back is bounded by the length score alone: it stops
+where no span that begins earlier can win.
 
 Defined results: null, empty and blank texts give no sentence; a text without any ending is one sentence; blank lines
 end a paragraph and so a sentence, a single line break does not; in Thai, white space ends a sentence.
@@ -18,7 +19,8 @@ from pyspark.sql import functions as F
 
 from .runtime import map_batches
 
-LOOKBACK = 14
+UNLIKELY = -8.0  # of an opening or closing word that doesn't belong to a boundary
+LONG_QUOTE = 1200  # from this length on, a quotation or bracket may be a pairing by mistake
 
 # Words after which a full stop is part of the word; a name, number or reference follows.
 LEADING = frozenset(
@@ -119,9 +121,37 @@ def _closing(text: str, start: int, m: re.Match) -> float:
     return 1.7
 
 
+def _quoted(text: str, lo: int, hi: int, ends: list[tuple[int, float, float]]) -> list[tuple[int, float, float]]:
+    """Candidates inside a quotation or bracket that closes in the paragraph lose what speaks for them, the less the longer it is."""
+    stack: list[tuple[str, int]] = []
+    inside: list[tuple[int, int]] = []
+    for m in _MARKS.finditer(text, lo, hi):
+        c = m.group()
+        if c == '"' and m.start() and text[m.start() - 1].isdigit():  # inches, seconds
+            continue
+        if stack and c == stack[-1][0]:
+            at = stack.pop()[1]
+            if not stack:
+                inside.append((at, m.start()))
+        elif c == '"':
+            stack.append(('"', m.start()))
+        elif c in _PAIRS:
+            stack.append((_PAIRS[c], m.start()))
+    out = []
+    k = 0
+    for at, close, start in ends:
+        while k < len(inside) and inside[k][1] < at:
+            k += 1
+        if k < len(inside) and inside[k][0] < at - 1 and inside[k][1] >= at:
+            keep = min(1.0, max(0.0, (inside[k][1] - inside[k][0] - LONG_QUOTE) / LONG_QUOTE))
+            close, start = (v * keep if v > 0 else v for v in (close, start))
+        out.append((at, close, start))
+    return out
+
+
 def _paragraph(text: str, lo: int, hi: int, out: list[tuple[int, int]]) -> None:
     thai = _THAI.search(text, lo, hi) is not None
-    ends: list[tuple[int, float]] = []  # (offset after the end, boundary score)
+    ends: list[tuple[int, float, float]] = []  # (offset after the end, scores of the words that close and open there)
     for m in _END.finditer(text, lo, hi):
         e = m.end()
         mark = m.group()
@@ -151,41 +181,48 @@ def _paragraph(text: str, lo: int, hi: int, out: list[tuple[int, int]]) -> None:
         close = _closing(text, lo, m)
         start = _opening(text, k, hi)
         if close < -3 and (start < 0.9 or not text[m.start() - 1 : m.start()].islower()):
-            continue
+            close = UNLIKELY
         if t == "." and close < 1 and start > 0:
             start *= 0.4
         if start <= -3 and t not in _STRONG:
-            continue
-        ends.append((k, close + start))
+            start = UNLIKELY
+        ends.append((k, close, start))
     if thai:
-        have = {k for k, _ in ends}
-        ends += [(m.end(), 4.0) for m in _THAI_GAP.finditer(text, lo, hi) if m.end() not in have]
+        have = {k for k, _, _ in ends}
+        ends += [(m.end(), 4.0, 0.0) for m in _THAI_GAP.finditer(text, lo, hi) if m.end() not in have]
         ends.sort()
-    if not ends:
+    marks = _MARKS.search(text, lo, hi) is not None
+    if marks and ends:
+        ends = _quoted(text, lo, hi, ends)
+    if not any(close + start > 0 for _, close, start in ends):
         out.append((lo, hi))
         return
-    cuts = [lo] + [k for k, _ in ends] + [hi]
-    gain = [0.0] + [s for _, s in ends] + [0.0]
+    cuts = [lo] + [k for k, _, _ in ends] + [hi]
+    closing = [0.0] + [c for _, c, _ in ends] + [0.0]
+    opening = [0.0] + [s for _, _, s in ends] + [0.0]
     n = len(cuts)
-    marks = _MARKS.search(text, lo, hi) is not None
-    best = [0.0] + [-1e18] * (n - 1)
+    best = [0.0] + [-1e18] * (n - 1)  # of the chains up to a candidate, without the word that opens the next span
+    most = [0.0] * n  # the best of any chain up to here, with that word
     back = [0] * n
     for j in range(1, n):
-        for i in range(j - 1, max(-1, j - 1 - LOOKBACK), -1):
-            a, b = cuts[i], cuts[j]
-            size = b - a
-            uneven = _balance(text[a:b]) if marks else 0
-            s = best[i] + gain[j] - 6.0 * uneven
-            if size < 12 and not any(c in _STRONG for c in text[a:b]):
+        sure = j == n - 1 or closing[j] + opening[j] > 2.4
+        for i in range(j - 1, -1, -1):
+            size = cuts[j] - cuts[i]
+            long = (size - 600) / 300 if size > 600 else 0.0
+            if most[i] + closing[j] - long <= best[j]:
+                break  # neither this span nor one that begins earlier
+            s = best[i] + opening[i] + closing[j] - long
+            if s <= best[j]:
+                continue
+            uneven = _balance(text[cuts[i] : cuts[j]]) if marks else 0
+            s -= 6.0 * uneven
+            if size < 12 and not any(c in _STRONG for c in text[cuts[i] : cuts[j]]):
                 s -= 0.5
-            elif size > 600:
-                s -= (size - 600) / 300
             if s > best[j]:
                 best[j], back[j] = s, i
-            if j - i > 1 and size > 2500:
-                break
-            if i == j - 1 and not uneven and (gain[j] > 2.4 or j == n - 1) and (gain[i] > 2.4 or i == 0):
+            if i == j - 1 and not uneven and sure and (i == 0 or closing[i] + opening[i] > 2.4):
                 break  # a sure span between two sure boundaries: no longer one can win
+        most[j] = max(most[j - 1], best[j] + opening[j])
     spans = []
     j = n - 1
     while j > 0:

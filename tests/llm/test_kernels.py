@@ -83,6 +83,8 @@ def test_markup_keeps_structure():
         (None, []), ("", []), (" \n ", []), ("fragment without end", ["fragment without end"]), ("It rose. It fell.", ["It rose.", "It fell."]), ("See Fig. 3A and Suppl. Table 2. Next one.", ["See Fig. 3A and Suppl. Table 2.", "Next one."]),
         ("At 37.5 °C it grew. pH fell.", ["At 37.5 °C it grew.", "pH fell."]), ('Asked "Is it a cause? Or not!" and left. End.', ['Asked "Is it a cause? Or not!" and left.', "End."]), ("One\nline goes on. Two.", ["One\nline goes on.", "Two."]),
         ("结果令人意外！我们分析了。", ["结果令人意外！", "我们分析了。"]), ("(All were two-sided.) Then more.", ["(All were two-sided.)", "Then more."]), ("Reported 5%.[3] Then more.", ["Reported 5%.[3]", "Then more."]), ("¡No volvió! El Dr. Velk midió.", ["¡No volvió!", "El Dr. Velk midió."]),
+        ('He wrote "One rose. Two fell. Three held. Four went. Five came. Six stayed." and left. End.', ['He wrote "One rose. Two fell. Three held. Four went. Five came. Six stayed." and left.', "End."]), ("It held (see A. Then B rose. Then C fell. D too) at 5%. Next.", ["It held (see A. Then B rose. Then C fell. D too) at 5%.", "Next."]),
+        ("See Fig. 1, Fig. 2, Fig. 3, Fig. 4, Fig. 5, Fig. 6, Fig. 7, Fig. 8, Fig. 9, Fig. 10, Fig. 11, Fig. 12, Fig. 13, Fig. 14, Fig. 15, Fig. 16 and Fig. 17 here. Next.", ["See Fig. 1, Fig. 2, Fig. 3, Fig. 4, Fig. 5, Fig. 6, Fig. 7, Fig. 8, Fig. 9, Fig. 10, Fig. 11, Fig. 12, Fig. 13, Fig. 14, Fig. 15, Fig. 16 and Fig. 17 here.", "Next."]),
         ("เราตรวจ ไม่พบ", ["เราตรวจ", "ไม่พบ"]), ("no answer.Colonisation went on.", ["no answer.", "Colonisation went on."]), ("T. minor and B. major rose.", ["T. minor and B. major rose."]),
     ],
 )
