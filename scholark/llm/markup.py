@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -44,7 +45,7 @@ _CMD = "|".join(sorted(COMMANDS, key=len, reverse=True))
 _LATEX = re.compile(rf"(?<![A-Za-z0-9:\\])(?:\\[A-Za-z]+\*?(?:\[[^\]\n]*\])?\{{|\\(?:{_CMD})(?![A-Za-z]))|\\[%&#$_,;](?![\w\\])|\\[%&#$_](?=[A-Za-z0-9\s)])|\\begin\{{|(?<=[)~\w-])\\(?:cite|ref|footnote)[a-z]*\{{")
 _MATH_ENV = r"equation|align|gather|eqnarray|displaymath|math|multline"
 _TEX_FORMULA = re.compile(
-    rf"\\\[(.+?)\\\]|\\\((.+?)\\\)|\$\$(.+?)\$\$|(?<![\\$\w])\$(?=[^\s$])([^$\n]{{0,200}}?[^\s$\\])\$(?![\d$])|(?<=\w)\$([_^][^$\n]{{1,40}}?)\$(?!\d)|\\begin\{{(?:{_MATH_ENV})\*?\}}(.+?)\\end\{{(?:{_MATH_ENV})\*?\}}",
+    rf"\\\[(.+?)\\\]|\\\((.+?)\\\)|\$\$(.+?)\$\$|(?<![\\$\w])\$(?=[^\s$])([^$\n]*?[^\s$\\])\$(?![\d$])|(?<=\w)\$([_^][^$\n]+?)\$(?!\d)|\\begin\{{(?:{_MATH_ENV})\*?\}}(.+?)\\end\{{(?:{_MATH_ENV})\*?\}}",
     re.S,
 )
 _XML_FORMULA = re.compile(r"<(?:mml:)?math\b|<(?:jats:)?(?:disp|inline)-formula\b|<(?:jats:)?tex-math\b", re.I)
@@ -54,7 +55,7 @@ _WIKI = re.compile(r"'''?[^'\n]+?'''?|\[\[[^\[\]\n]+\]\]|\{\{[^{}\n]+\}\}|^\{\||
 _WIKI_SIGN = re.compile(r"''|\[\[|\{[{|]|\n==|\[http")
 _WIKI_HEAD = re.compile(r"^(={1,6})[ \t]*([^=\n]+?)[ \t]*\1[ \t]*\r?$", re.M)
 _MD_HEAD = re.compile(r"^(#{1,6})[ \t]+(\S[^\n]*?)[ \t]*#*[ \t]*\r?$", re.M)
-_SETEXT = re.compile(r"^(\S[^\n]{0,80})\n(?:={3,}|-{3,})[ \t]*\r?$", re.M)
+_SETEXT = re.compile(r"^(\S[^\n]*)\n(?:={3,}|-{3,})[ \t]*\r?$", re.M)
 _MD_LIST = re.compile(r"^[ \t]{0,3}(?:[*+-]|\d{1,2}[.)])[ \t]+(?=\S)", re.M)
 _LIST_SIGN = re.compile(r"\n[ \t]{0,3}(?:[*+-]|\d{1,2}[.)])[ \t]")
 _WIKI_LIST = re.compile(r"^[*#]+[ \t]*(?=[^\s*#])", re.M)
@@ -143,6 +144,13 @@ def _rows(body: str, row: str, cell: str) -> str:
     return "\n\n" + "\n".join(lines) + "\n\n"
 
 
+def _settled(text: str, step: Callable[[str], str]) -> str:
+    """``step`` until nothing changes: every step takes a layer of nesting away."""
+    while (after := step(text)) != text:
+        text = after
+    return text
+
+
 def clean(text: str | None) -> tuple[str | None, list[str] | None]:
     """(clean text, kinds of structure); the kinds are None where the text holds no markup."""
     if not text:
@@ -196,8 +204,7 @@ def clean(text: str | None) -> tuple[str | None, list[str] | None]:
         t = re.sub(r"\\item\b(?:\[[^\]]*\])?[ \t]*", lambda m: keep("- "), t)
         t = re.sub(r"[ ~]?\\(?:cite|ref|label|footnote|pageref|citep|citet)[a-z]*\*?(?:\[[^\]]*\])?\{[^{}]*\}", " ", t)
         t = re.sub(r"\\textless(?:\{\})?", "<", re.sub(r"\\textgreater(?:\{\})?", ">", t))
-        for _ in range(3):
-            t = re.sub(r"(?<![A-Za-z0-9:])\\[A-Za-z]+\*?\{([^{}]*)\}", r"\1", t)
+        t = _settled(t, lambda x: re.sub(r"(?<![A-Za-z0-9:])\\[A-Za-z]+\*?\{([^{}]*)\}", r"\1", x))
         t = re.sub(r"\{\\(?:it|bf|em|sc|rm|tt|sl|itshape|bfseries)\s+([^{}]*)\}", r"\1", t)
         t = re.sub(rf"(?<![A-Za-z0-9:])\\(?:{_CMD})(?![A-Za-z])[ ]?", "", t)
         t = re.sub(r"\\[,;]", " ", re.sub(r"\\([%&#$_])", r"\1", t)).replace("\\\\", "\n")
@@ -206,8 +213,7 @@ def clean(text: str | None) -> tuple[str | None, list[str] | None]:
     t = re.sub(r"<br\b[^>]*>", "\n", t, flags=re.I)
     t = re.sub(r"</(?:jats:)?(?:p|div|ul|ol|list|sec|section)>", "\n\n", t, flags=re.I)
     t = _TAG.sub("", t)
-    for _ in range(2):
-        t = _ENTITY.sub(lambda m: html.unescape(m.group()).replace("\xa0", " "), t)
+    t = _settled(t, lambda x: _ENTITY.sub(lambda m: html.unescape(m.group()).replace("\xa0", " "), x))
     while "\x00" in t:
         t = re.sub(r"\x00(\d+)\x00", lambda m: kept[int(m.group(1))], t)
     t = re.sub(r"[ \t]+(?=\n)", "", re.sub(r"\n{3,}", "\n\n", t)).strip()
