@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Primary studies, sections by weight, and scores of journals.
 PRIMARY = ("original_research", "clinical_trial", "RCT")
 WEAK_SECTIONS = ("abstract", "introduction")
 STRONG_SECTIONS = ("results", "discussion")
@@ -18,6 +19,11 @@ def strength_from_p(p: Column, article_type: Column, conflicting: Column | None
     return ladder if conflicting is None else F.when(conflicting, "conflicting").otherwise(ladder)
 
 
+def strength_of_pair(p: Column, article_type: Column) -> Column:
+    """Of an extracted pair: strong below .01 in original research or a meta-analysis, moderate below .05, else weak."""
+    return F.when((p < 0.01) & article_type.isin("original_research", "meta_analysis"), "strong").when(p < 0.05, "moderate").otherwise("weak")
+
+
 def strength_of_triple(confidence: Column, section: Column, article_type: Column) -> Column:
     s = F.lower(F.trim(section))
     return (
@@ -50,6 +56,11 @@ def association_confidence(direction: Column, p: Column, effect: Column, measure
     return F.least(F.lit(1.0), part(direction, 0.5) + part(p, 0.3) + part(effect, 0.15) + part(measure, 0.05))
 
 
+def intervention_confidence(direction: Column, p: Column, duration: Column, dosage: Column) -> Column:
+    part = lambda c, v: F.when(c.isNotNull(), v).otherwise(0.0)
+    return F.least(F.lit(1.0), part(direction, 0.3) + part(p, 0.3) + 0.2 + part(duration, 0.1) + part(dosage, 0.1))
+
+
 def quality(quartile: Column, design: Column, sample: Column, available: Column, methods: Column) -> Column:
     """Quartile, design, sample size, data availability and methods, capped at 1 and rounded to 3 digits."""
     q = F.lit(0.0)

@@ -10,24 +10,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from . import lexicon
+
 ASCII = r"^[\x00-\x7F]*$"
 _PUNCTUATION = str.maketrans("", "", string.punctuation)
 
 SPLIT_DROPPING = r"(?U)[.!?]+\s+"
-SPLIT_KEEPING = r"(?<=[.?!])\s+"
-
-# Direction words, in the order in which they are tried.
-DIRECTIONS = (
-    ("increased", r"(?i)\b(increas\w*|elevat\w*|enrich\w*|higher|raised|rose|doubled|over-represented|climbed|expanded)\b"),
-    ("decreased", r"(?i)\b(decreas\w*|reduc\w*|deplet\w*|lower|fell|shrank|halved|declined|waned|dropped)\b"),
-    ("no_change", r"(?i)\b(no change|unchanged|no difference|did not differ|unrelated)\b"),
-    ("associated", r"(?i)\b(associat\w*|correlat\w*|linked|relat\w* to)\b"),
-)
-MEASURES = (("odds_ratio", r"(?i)\bodds ratio\b"), ("hazard_ratio", r"(?i)\bhazard ratio\b"), ("fold_change", r"(?i)\bfold[ -]change\b"), ("correlation", r"(?i)\bcorrelat"), ("mean", r"(?i)\bmean\b"), ("median", r"(?i)\bmedian\b"), ("variance", r"(?i)\bvariance\b"))
-CONTEXTS = (("vs_healthy", r"(?i)\bhealthy\b"), ("pre_post", r"(?i)\b(before and after|baseline|after treatment)\b"), ("vs_control", r"(?i)\bcontrols?\b"))
+SPLIT_KEEPING = r"(?U)(?<=[.?!])\s+"
+
+DIRECTIONS = lexicon.pairs(lexicon.DIRECTIONS)
+MEASURES = lexicon.pairs(lexicon.MEASURES)
 SECTION_TYPES = ("abstract", "introduction", "methods", "results", "discussion", "conclusion", "limitations", "supplementary", "data_availability")
-ACCESSIONS = r"\b(SRX|PRJX|GSX)[0-9]{7}\b"
-NUMBER = r"([0-9]*\.?[0-9]+)"
 
 
 def first_match(col: Column, table: tuple[tuple[str, str], ...]) -> Column:
@@ -49,30 +42,51 @@ def extract_number(col: Column, pattern: str) -> Column:
 
 def p_value(col: Column) -> Column:
     """The exact form first, then the bounded one; only values from 0 to 1 count."""
-    exact = extract_number(col, r"(?i)\bp\s*=\s*" + NUMBER)
-    bound = extract_number(col, r"(?i)\bp\s*<\s*" + NUMBER)
-    v = F.coalesce(exact, bound)
-    return F.when(v.between(0.0, 1.0), v)
+    forms = (extract_number(col, "(?i)" + p) for p in lexicon.P_FORMS)
+    return F.coalesce(*[F.when(v.between(0.0, 1.0), v) for v in forms])
 
 
 def effect_size(col: Column) -> Column:
-    return F.coalesce(*[extract_number(col, p) for p in (r"(?i)odds ratio\s*" + NUMBER, r"(?i)fold[ -]change\s*(?:of|=)?\s*" + NUMBER, r"(?i)area of\s*" + NUMBER)])
+    return F.coalesce(*[extract_number(col, "(?i)" + p) for p in lexicon.EFFECTS])
+
+
+def comparison(col: Column) -> Column:
+    """``vs healthy``, ``pre vs post`` or, also without any comparison, ``vs control``."""
+    low = F.lower(col)
+    healthy = low.contains("healthy") | low.contains("control")
+    return F.when(col.rlike("(?i)" + lexicon.COMPARED) & healthy, "vs healthy").when(col.rlike("(?i)" + lexicon.COMPARED) & low.contains("pre") & low.contains("post"), "pre vs post").otherwise("vs control")
+
+
+def significant(col: Column) -> Column:
+    return col.rlike("(?i)" + lexicon.SIGNIFICANT)
 
 
 def sample_size(col: Column) -> Column:
-    """``n = 12`` first, then enrolled people, then samples; 2 to 500,000."""
-    v = F.coalesce(*[extract_number(col, p) for p in (r"(?i)\bn\s*=\s*([0-9]+)", r"(?i)\benrolled ([0-9]+)", r"(?i)\b([0-9]+) (?:samples|aliquots|participants)")]).cast("bigint")
-    return F.when(v.between(2, 500_000), v)
+    """Size of the sample that a methods text states, by the first form that is found."""
+    return F.coalesce(*[extract_number(col, "(?i)" + p) for p in lexicon.SAMPLE_FORMS]).cast("bigint")
+
+
+def duration(col: Column) -> Column:
+    n = F.regexp_extract(col, "(?i)" + lexicon.DURATION, 1)
+    return F.when(n != "", F.concat(n, F.lit(" "), F.lower(F.regexp_extract(col, "(?i)" + lexicon.DURATION, 2)), F.lit("s")))
+
+
+def dosage(col: Column) -> Column:
+    return F.coalesce(*[F.nullif(F.regexp_extract(F.lower(col), p, 1), F.lit("")) for p in lexicon.DOSAGES])
 
 
 def sentences_dropping(col: Column) -> Column:
     """Sentences without their closing marks, as the relation extractor cuts them; blanks dropped."""
-    return F.filter(F.transform(F.split(col, SPLIT_DROPPING), lambda s: F.regexp_replace(s, r"(?U)^\s+|\s+$", "")), lambda s: s != "")
+    return _pieces(col, SPLIT_DROPPING)
 
 
 def sentences_keeping(col: Column) -> Column:
     """Sentences with their closing marks, as the triple promoter cuts them."""
-    return F.filter(F.transform(F.split(col, SPLIT_KEEPING), lambda s: F.trim(s)), lambda s: s != "")
+    return _pieces(col, SPLIT_KEEPING)
+
+
+def _pieces(col: Column, pattern: str) -> Column:
+    return F.filter(F.transform(F.split(col, pattern), lambda s: F.regexp_replace(s, r"(?U)^\s+|\s+$", "")), lambda s: s != "")
 
 
 def context(sentences: Column, at: Column, width: int) -> Column:
@@ -113,7 +127,7 @@ def surface_form(col: Column) -> Column:
 
 
 def _ascii_form(col: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(col), r"[!-/:-@\[-`{-~]", ""), r"\s+", " "))
+    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(col), r"[!-/:-@\[-`{-~]", ""), r"[\s\x1c-\x1f]+", " "))
 
 
 def strip_tags(col: Column) -> Column:
@@ -152,6 +166,11 @@ def dedup_key(doi: Column, pmid: Column, title: Column) -> Column:
     return F.coalesce(F.concat(F.lit("doi:"), F.lower(d)), F.concat(F.lit("pmid:"), p), F.concat(F.lit("title:"), F.substring(F.lower(t), 1, 80)))
 
 
+def change_hash(title: Column, abstract: Column, mesh: Column) -> Column:
+    """MD5 of title, abstract and subject headings; tells whether a stored record has changed."""
+    return F.md5(F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(abstract, F.lit("")), F.coalesce(F.array_join(mesh, "|"), F.lit(""))))
+
+
 def content_hash(title: Column, abstract: Column, authors: Column) -> Column:
     """MD5 of title, abstract and authors joined by bars; a missing abstract is written as None."""
     return F.md5(F.concat_ws("|", F.coalesce(title, F.lit("None")), F.coalesce(abstract, F.lit("None")), F.array_join(F.coalesce(authors, F.array().cast("array<string>")), "|")))

@@ -5,17 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import text
+from ..functions import lexicon, scoring, text
 
 # Priority tiers of sections for entity recognition; others are tier 5 and dropped.
 TIERS = (("results", 1), ("discussion", 2), ("conclusion", 2), ("methods", 3), ("introduction", 4))
-# Intervention types and their keywords, the first of which that is found names the intervention.
-INTERVENTIONS = (
-    ("fibre", ("inulin", "resistant starch", "chicory root", "polyphenol extract")), ("diet", ("gluten-free diet", "low-salt diet", "time-restricted meals", "red meat", "fish oil", "goat whey", "fermented oats", "almond skins")),
-    ("biotic", ("live biotherapeutic", "probiotic blend", "donor stool capsules", "phage cocktail")), ("drug", ("metformin-like therapy", "acid blockers", "bile binder", "narrow-spectrum antibiotic", "topical steroids")), ("control", ("placebo",)),
-)
-WEIGHTS = (("override", 1.0), ("exact", 0.95), ("abbreviation", 0.85), ("synonym", 0.8), ("fuzzy", 0.6))
-DURATION = r"(?i)\bfor ((?:[0-9]+|[a-z]+) (?:hours|days|weeks|months|visits|years))\b"
+# Weights of the resolution strategies.
+WEIGHTS = (("manual_override", 1.0), ("exact", 0.95), ("normalized", 0.85), ("abbreviation", 0.80), ("synonym", 0.75), ("fuzzy", 0.60), ("ontology", 0.50))
 
 
 def ranked_sections(sections: DataFrame) -> DataFrame:
@@ -27,27 +22,56 @@ def ranked_sections(sections: DataFrame) -> DataFrame:
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy("paper_id").orderBy("tier", "sec_pos", "section_id")))
 
 
-def ranked_candidates(candidates: DataFrame, form: str) -> DataFrame:
+def ranked_candidates(candidates: DataFrame, *form: str) -> DataFrame:
     """Candidates per form by weight times confidence, then weight, then id."""
     weight = F.lit(0.5)
     for name, w in WEIGHTS:
         weight = F.when(F.col("strategy") == name, w).otherwise(weight)
     rows = candidates.withColumn("weight", weight).withColumn("score", F.round(F.col("weight") * F.col("confidence"), 6))
-    return rows.withColumn("rank", F.row_number().over(Window.partitionBy(form).orderBy(F.desc("score"), F.desc("weight"), "canonical_id")))
+    return rows.withColumn("rank", F.row_number().over(Window.partitionBy(*form).orderBy(F.desc("score"), F.desc("weight"), "canonical_id")))
 
 
 def interventions(sections: DataFrame) -> DataFrame:
-    """One row per section and intervention type: the first keyword found, duration and sample size."""
+    """One row per methods section and kind of intervention: the first word found, duration, dosage and sample size."""
     low = F.lower("content")
     found = []
-    for kind, words in INTERVENTIONS:
+    for kind, words in lexicon.INTERVENTIONS:
         first = F.lit(None).cast("string")
         for w in reversed(words):
             first = F.when(low.contains(w), w).otherwise(first)
         found.append(F.when(first.isNotNull(), F.struct(F.lit(kind).alias("kind"), first.alias("keyword"))))
     rows = sections.where("section_type = 'methods' and content is not null")
-    rows = rows.select("section_id", "paper_id", F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("i"), F.nullif(F.regexp_extract("content", DURATION, 1), F.lit("")).alias("duration"), text.sample_size(F.col("content")).alias("sample_size"))
-    return rows.select("section_id", "paper_id", F.col("i.kind").alias("intervention_type"), F.col("i.keyword").alias("keyword"), "duration", "sample_size")
+    c = F.col("content")
+    rows = rows.select("section_id", "paper_id", "content", F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("i"))
+    return rows.select("section_id", "paper_id", F.col("i.kind").alias("intervention_type"), F.col("i.keyword").alias("keyword"), text.duration(c).alias("duration"), text.dosage(c).alias("dosage"), text.sample_size(c).alias("sample_size"))
+
+
+def intervention_effects(items: DataFrame, taxa: DataFrame, found: DataFrame) -> DataFrame:
+    """Effects of a paper's interventions on taxa: a sentence that names both, gives a direction and is significant.
+
+    ``items`` (evidence_id, paper_id, source_sentence), ``taxa`` (evidence_id, taxon), ``found`` of ``interventions``.  A
+    p-value of .05 or more rules a sentence out; without one it must say so in words.
+    """
+    s = F.col("source_sentence")
+    rows = items.where(s.isNotNull()).select("evidence_id", "paper_id", s.alias("s"), text.direction(s).alias("effect_direction"), text.p_value(s).alias("p_value"))
+    rows = rows.where(F.col("effect_direction").isin("increased", "decreased", "no_change") & F.coalesce(F.col("p_value") < 0.05, text.significant(F.col("s"))))
+    once = found.groupBy("paper_id", "intervention_type", "keyword").agg(F.min_by(F.struct("duration", "dosage", "sample_size"), "section_id").alias("d"))
+    got = rows.join(taxa, "evidence_id").join(once, "paper_id").where(F.lower("s").contains(F.col("keyword")))
+    confidence = scoring.intervention_confidence(F.col("effect_direction"), F.col("p_value"), F.col("d.duration"), F.col("d.dosage"))
+    got = got.select("evidence_id", "taxon", "intervention_type", "effect_direction", "p_value", "d.duration", "d.dosage", "d.sample_size", F.round(confidence, 6).alias("confidence"))
+    return got.where("confidence >= 0.5")
+
+
+def methodology_usage(sections: DataFrame, mentions: DataFrame, kind: str = "method") -> DataFrame:
+    """One row per paper and method: the first methods section that names it, with platform, sample size and its beginning."""
+    c = F.col("content")
+    methods = mentions.where((F.col("label") == kind) & (F.trim("text") != "")).select("paper_id", F.lower(F.trim("text")).alias("method")).distinct()
+    rows = sections.where("section_type = 'methods' and content is not null").select("paper_id", "section_id", "sec_pos", "content")
+    hits = rows.join(methods, "paper_id").where(F.lower("content").contains(F.col("method")))
+    first = hits.groupBy("paper_id", "method").agg(F.min(F.struct(F.coalesce("sec_pos", F.lit(2**31 - 1)).alias("p"), "section_id")).alias("at"))
+    got = first.select("paper_id", "method", F.col("at.section_id").alias("section_id")).join(rows.select("section_id", "content"), "section_id")
+    platform = text.first_match(c, lexicon.pairs(lexicon.PLATFORMS))
+    return got.select("paper_id", "method", "section_id", platform.alias("platform"), text.sample_size(c).alias("sample_size"), F.substring("content", 1, 200).alias("source_sentence"), F.lit(0.8).alias("confidence"), F.lit("moderate").alias("evidence_strength"))
 
 
 def provenance(items: DataFrame, papers: DataFrame) -> DataFrame:

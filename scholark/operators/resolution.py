@@ -57,37 +57,78 @@ def synonym_conflicts(synonyms: DataFrame) -> DataFrame:
     return rows.groupBy("form").agg(F.count_distinct("canonical_id").alias("n_entities"), F.count("*").alias("n_rows")).where("n_entities > 1")
 
 
-def resolve(forms: DataFrame, entities: DataFrame, synonyms: DataFrame, abbreviations: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
-    """(form, canonical_id, strategy, confidence) of distinct forms by the first strategy that reaches .5.
+# The strategies in order, with the confidence of those that have one of their own.
+STRATEGIES = ("manual_override", "exact", "abbreviation", "synonym", "fuzzy", "ontology")
+SYNONYM, LEAST = 0.95, 0.5
 
-    Override, exact, abbreviation, synonym, genus initial; later strategies see only what earlier ones left (anti
-    joins), as the early exit demands.  Ambiguous synonyms take the smallest id.
+
+def candidates(forms: DataFrame, entities: DataFrame, synonyms: DataFrame, abbreviations: DataFrame, overrides: DataFrame | None = None, hierarchy: DataFrame | None = None) -> DataFrame:
+    """(form, entity_type, canonical_id, strategy, confidence): what every strategy finds for each distinct form.
+
+    Overrides (of the same type), names, expansions of abbreviations and of genus initials (each 1/N; the table's first),
+    synonyms, names of the same type within two edits, and known ancestors (``hierarchy`` of child and parent ids, for forms
+    that name a child).  Of one strategy and form, every entity is a candidate.
     """
-    left = forms.select("form").where("form is not null").distinct().withColumn("norm", surface_form(F.col("form"))).where("norm <> ''")
-    names = entities.groupBy(surface_form(F.col("primary_name")).alias("norm")).agg(F.min("canonical_id").alias("canonical_id"))
-    spoken = synonyms.where("canonical_id is not null").groupBy(surface_form(F.col("surface_form")).alias("norm")).agg(F.min("canonical_id").alias("canonical_id"))
-    short = abbreviations.groupBy(surface_form(F.col("abbreviated_form")).alias("norm")).agg(F.min("full_form").alias("full"), F.count_distinct("full_form").alias("n"))
-    short = short.where("n <= 2").join(entities.select(F.col("primary_name").alias("full"), "canonical_id"), "full").select("norm", "canonical_id", (1.0 / F.col("n")).alias("c"))
-    steps = [("exact", names.withColumn("c", F.lit(1.0))), ("abbreviation", short), ("synonym", spoken.withColumn("c", F.lit(0.95)))]
+    left = forms.select("form", "entity_type").where("form is not null").distinct().withColumn("norm", surface_form(F.col("form"))).where("norm <> ''")
+    names = entities.select("canonical_id", F.col("entity_type").alias("kind"), "primary_name", surface_form(F.col("primary_name")).alias("norm"))
+    keys = left.select("form", "entity_type", "norm")
+
+    def rows(df: DataFrame, strategy: str, confidence: Column) -> DataFrame:
+        return df.select("form", "entity_type", "canonical_id", F.lit(strategy).alias("strategy"), confidence.cast("double").alias("confidence")).distinct()
+
+    found = [rows(keys.join(names, "norm"), "exact", F.lit(1.0))]
     if overrides is not None:
-        steps.insert(0, ("override", overrides.select(surface_form(F.col("surface_form")).alias("norm"), "canonical_id", F.lit(1.0).alias("c"))))
-    got = left
-    ids, strategies, confidences = [], [], []
-    for n, (name, table) in enumerate(steps):
-        got = got.join(table.where("c >= 0.5").select("norm", F.col("canonical_id").alias(f"id{n}"), F.col("c").alias(f"c{n}")), "norm", "left")
-        ids.append(F.col(f"id{n}"))
-        strategies.append(F.when(F.col(f"id{n}").isNotNull(), name))
-        confidences.append(F.col(f"c{n}"))
-    return got.select("form", F.coalesce(*ids).alias("canonical_id"), F.coalesce(*strategies, F.lit("unresolved")).alias("strategy"), F.coalesce(*confidences, F.lit(0.0)).alias("confidence"))
-
-
-def resolution_metrics(resolved: DataFrame, kind: str) -> DataFrame:
-    """Rate, mean confidence of the resolved and unresolved numbers per kind, and over all (kind null)."""
-    return resolved.rollup(kind).agg(
-        F.count("*").alias("n_total"), F.count_if(F.col("canonical_id").isNotNull()).alias("n_resolved"), F.count_if(F.col("canonical_id").isNull()).alias("n_unresolved"),
-        F.round(F.avg(F.when(F.col("canonical_id").isNotNull(), F.col("confidence"))), 6).alias("avg_confidence"),
-        F.round(F.avg(F.col("canonical_id").isNotNull().cast("int")), 6).alias("resolution_rate"),
-    )
+        said = overrides.select(surface_form(F.col("surface_form")).alias("norm"), "entity_type", "canonical_id")
+        found.append(rows(keys.join(said, ["norm", "entity_type"]), "manual_override", F.lit(1.0)))
+    short = abbreviations.select(surface_form(F.col("abbreviated_form")).alias("norm"), "full_form").distinct()
+    spelled = keys.join(short, "norm").select("form", "entity_type", F.col("full_form").alias("full"))
+    # initials stand for a genus only where the table has no expansion
+    rest = keys.join(spelled.select("form", "entity_type").distinct(), ["form", "entity_type"], "left_anti").withColumn("g", genus_initial(F.col("form"))).where("g is not null")
+    taxa = names.where("kind = 'taxon'").select(F.lower(F.substring("primary_name", 1, 1)).alias("initial"), F.lower(F.element_at(F.split("primary_name", " "), -1)).alias("species"), F.col("primary_name").alias("full"))
+    spelled = spelled.unionByName(rest.select("form", "entity_type", "g.initial", "g.species").join(taxa, ["initial", "species"]).select("form", "entity_type", "full")).distinct()
+    n = spelled.groupBy("form", "entity_type").agg(F.count("*").alias("n"))
+    expanded = spelled.join(n, ["form", "entity_type"]).withColumn("norm", surface_form(F.col("full"))).join(names.select("norm", "canonical_id"), "norm")
+    found.append(rows(expanded, "abbreviation", 1.0 / F.col("n")))
+    spoken = synonyms.where("canonical_id is not null").select(surface_form(F.col("surface_form")).alias("norm"), "canonical_id").distinct()
+    found.append(rows(keys.join(spoken, "norm"), "synonym", F.lit(SYNONYM)))
+    near = fuzzy_join(keys.select("entity_type", "norm"), names.select(F.col("kind").alias("entity_type"), "norm"), "norm", "norm", "entity_type").where("distance > 0")
+    near = near.select("entity_type", F.col("form").alias("norm"), F.col("name"), F.col("confidence").alias("c"))
+    fuzzy = keys.join(near, ["entity_type", "norm"]).join(names.select(F.col("norm").alias("name"), F.col("kind").alias("entity_type"), "canonical_id"), ["name", "entity_type"])
+    found.append(rows(fuzzy, "fuzzy", F.col("c")))
+    if hierarchy is not None:
+        up = ancestors(hierarchy, "child", "parent").select(F.col("node").alias("canonical_id"), "ancestor", F.col("confidence").alias("c"))
+        known = keys.join(names, "norm").join(up, "canonical_id").select("form", "entity_type", F.col("ancestor").alias("canonical_id"), "c")
+        found.append(rows(known, "ontology", F.col("c")))
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def resolve(forms: DataFrame, entities: DataFrame, synonyms: DataFrame, abbreviations: DataFrame, overrides: DataFrame | None = None, hierarchy: DataFrame | None = None) -> DataFrame:
+    """(form, entity_type, canonical_id, strategy, confidence) of distinct forms: the first strategy that reaches .5 wins.
+
+    Within a strategy the highest confidence wins, then the smallest id; of an abbreviation's expansions the same.  Later
+    strategies count for nothing where an earlier one wins; forms that no strategy reaches are ``unresolved``.
+    """
+    order = F.lit(len(STRATEGIES))
+    for k, name in reversed(list(enumerate(STRATEGIES))):
+        order = F.when(F.col("strategy") == name, k).otherwise(order)
+    got = candidates(forms, entities, synonyms, abbreviations, overrides, hierarchy).where(F.col("confidence") >= LEAST)
+    best = got.groupBy("form", "entity_type").agg(F.min(F.struct(order.alias("o"), (-F.col("confidence")).alias("c"), "canonical_id", "strategy")).alias("b"))
+    every = forms.select("form", "entity_type").where("form is not null").distinct().where(surface_form(F.col("form")) != "")
+    out = every.join(best, ["form", "entity_type"], "left")
+    return out.select("form", "entity_type", F.col("b.canonical_id").alias("canonical_id"), F.coalesce("b.strategy", F.lit("unresolved")).alias("strategy"), F.coalesce(-F.col("b.c"), F.lit(0.0)).alias("confidence"))
+
+
+def resolution_metrics(resolved: DataFrame) -> DataFrame:
+    """Rate, mean confidence of the resolved and unresolved numbers per strategy, per entity type and over all (both null)."""
+    known = F.col("canonical_id").isNotNull()
+    measures = [
+        F.count("*").alias("n_total"), F.count_if(known).alias("n_resolved"), F.count_if(~known).alias("n_unresolved"),
+        F.round(F.avg(F.when(known, F.col("confidence"))), 6).alias("avg_confidence"), F.round(F.avg(known.cast("int")), 6).alias("resolution_rate"),
+    ]
+    return resolved.groupingSets([["strategy"], ["entity_type"], []], "strategy", "entity_type").agg(*measures)
 
 
 def degradation(snapshots: DataFrame, kind: str, at: str, rate: str, points: float = 0.05) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import scoring, text
+from ..functions import lexicon, scoring, text
 from ..operators import audit, claims, dedup, enrichment, extraction, graph, relevance, research, resolution, similarity
 from . import adapters as a
 from .adapters import table
@@ -30,34 +30,17 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-def whole(f: Query) -> Query:
-    """Register ``<name>_whole`` besides: the query over all rows, without the cuts of its SQL (which DuckDB can't match)."""
-
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        return f(spark, folder, every=True)
-
-    run.__name__ = f"{f.__name__}_whole"
-    run.__doc__ = f.__doc__
-    query()(run)
-    return f
-
-
-def _texts(rows: DataFrame, col: str, every: bool, pattern: str = text.ASCII) -> DataFrame:
-    """Rows with a text: every one, or those of the characters in which the SQL agrees."""
-    return rows.where(F.col(col).isNotNull() if every else F.col(col).rlike(pattern))
-
-
 def re2(pattern: str) -> str:
     """The pattern as a DuckDB string literal's content."""
     return pattern.replace("'", "''")
 
 
 COUNTS = "count(*) FILTER (direction = 'increased') AS n_increased, count(*) FILTER (direction = 'decreased') AS n_decreased, count(*) FILTER (direction = 'no_change') AS n_no_change, count(*) FILTER (direction = 'associated') AS n_associated"
-SURFACE_SQL = r"trim(regexp_replace(regexp_replace(lower({0}), '[!-/:-@\[-`{{-~]', '', 'g'), '\s+', ' ', 'g'))"
+BLANK = r"[\t-\r \x1c-\x1f\x{85}\p{Z}]"  # white space of every script
 
 
 def surface_sql(col: str) -> str:
-    return SURFACE_SQL.format(col)
+    return rf"trim(regexp_replace(regexp_replace(lower(nfc_normalize({col})), '[!-/:-@\[-`{{-~]', '', 'g'), '{BLANK}+', ' ', 'g'))"
 
 
 # ---- research questions -------------------------------------------------------------------------------------------
@@ -276,22 +259,31 @@ def store_membership(spark, folder):
 # ---- sentences and extraction -------------------------------------------------------------------------------------
 
 
-@query(r"""
-WITH l AS (SELECT evidence_id, list_filter(list_transform(regexp_split_to_array(source_sentence, '[.!?]+\s+'), lambda s: trim(s)), lambda s: s <> '') AS parts FROM evidence_items WHERE regexp_matches(source_sentence, '^[\x20-\x7E]*$'))
+SPACE = r"[\t-\r \x{85}\p{Z}]"  # white space as Unicode has it
+
+
+def _pieces_sql(table_: str, key: str, col: str) -> str:
+    """Sentences with their closing marks: a blank behind a mark is marked first, as RE2 looks at nothing behind."""
+    cut = rf"string_split(regexp_replace({col}, '([.?!]){SPACE}+', '\1' || chr(1), 'g'), chr(1))"
+    return rf"l AS (SELECT {key}, {col} AS whole, list_filter(list_transform({cut}, lambda s: regexp_replace(s, '^{SPACE}+|{SPACE}+$', '', 'g')), lambda s: s <> '') AS parts FROM {table_} WHERE {col} IS NOT NULL)"
+
+
+@query(rf"""
+WITH l AS (SELECT evidence_id, list_filter(list_transform(regexp_split_to_array(source_sentence, '[.!?]+{SPACE}+'), lambda s: regexp_replace(s, '^{SPACE}+|{SPACE}+$', '', 'g')), lambda s: s <> '') AS parts FROM evidence_items WHERE source_sentence IS NOT NULL)
 SELECT evidence_id, CAST(p - 1 AS INT) AS pos, parts[p] AS sentence FROM (SELECT evidence_id, parts, unnest(range(1, len(parts) + 1)) AS p FROM l)""")
-@whole
-def relation_sentences(spark, folder, every=False):
-    rows = _texts(table(spark, folder, "evidence_items"), "source_sentence", every, r"^[\x20-\x7E]*$")
+def relation_sentences(spark, folder):
+    rows = table(spark, folder, "evidence_items").where("source_sentence is not null")
     return rows.select("evidence_id", F.posexplode(text.sentences_dropping(F.col("source_sentence"))).alias("pos", "sentence"))
 
 
-@query()
+@query(f"WITH {_pieces_sql('sections', 'section_id', 'content')} SELECT section_id, CAST(p - 1 AS INT) AS pos, parts[p] AS sentence FROM (SELECT section_id, parts, unnest(range(1, len(parts) + 1)) AS p FROM l)")
 def promoter_sentences(spark, folder):
     rows = table(spark, folder, "sections").where("content is not null")
     return rows.select("section_id", F.posexplode(text.sentences_keeping(F.col("content"))).alias("pos", "sentence"))
 
 
-@query()
+@query(f"""WITH {_pieces_sql('sections', 'section_id', 'content')}
+SELECT section_id, CAST(p - 1 AS INT) AS pos, CAST(nullif(strpos(whole, parts[p]) - 1, -1) AS INT) AS char_offset, array_to_string(parts[greatest(p - 2, 1):p + 2], ' ') AS context FROM (SELECT section_id, whole, parts, unnest(range(1, len(parts) + 1)) AS p FROM l)""")
 def sentence_context(spark, folder):
     rows = table(spark, folder, "sections").where("content is not null").select("section_id", "content", text.sentences_keeping(F.col("content")).alias("all"))
     got = rows.select("section_id", "content", "all", F.posexplode("all").alias("pos", "sentence"))
@@ -302,78 +294,125 @@ def _case(table_: tuple[tuple[str, str], ...], col: str) -> str:
     return "CASE " + " ".join(f"WHEN regexp_matches({col}, '{re2(p)}') THEN '{n}'" for n, p in table_) + " END"
 
 
-P_SQL = r"coalesce(try_cast(nullif(regexp_extract(s, '(?i)\bp\s*=\s*([0-9]*\.?[0-9]+)', 1), '') AS DOUBLE), try_cast(nullif(regexp_extract(s, '(?i)\bp\s*<\s*([0-9]*\.?[0-9]+)', 1), '') AS DOUBLE))"
-E_SQL = r"coalesce(try_cast(nullif(regexp_extract(s, '(?i)odds ratio\s*([0-9]*\.?[0-9]+)', 1), '') AS DOUBLE), try_cast(nullif(regexp_extract(s, '(?i)fold[ -]change\s*(?:of|=)?\s*([0-9]*\.?[0-9]+)', 1), '') AS DOUBLE), try_cast(nullif(regexp_extract(s, '(?i)area of\s*([0-9]*\.?[0-9]+)', 1), '') AS DOUBLE))"
-N_SQL = r"coalesce(try_cast(nullif(regexp_extract(s, '(?i)\bn\s*=\s*([0-9]+)', 1), '') AS DOUBLE), try_cast(nullif(regexp_extract(s, '(?i)\benrolled ([0-9]+)', 1), '') AS DOUBLE), try_cast(nullif(regexp_extract(s, '(?i)\b([0-9]+) (?:samples|aliquots|participants)', 1), '') AS DOUBLE))"
+def _number_sql(pattern: str) -> str:
+    return f"try_cast(nullif(regexp_extract(s, '(?i){pattern}', 1), '') AS DOUBLE)"
+
+
+def _joined_sql(patterns: tuple[str, ...], col: str = "s") -> str:
+    return f"regexp_matches({col}, '{re2(lexicon.joined(patterns))}')"
+
+
+P_SQL = "coalesce(" + ", ".join(f"CASE WHEN {_number_sql(p)} BETWEEN 0 AND 1 THEN {_number_sql(p)} END" for p in lexicon.P_FORMS) + ")"
+E_SQL = "coalesce(" + ", ".join(_number_sql(p) for p in lexicon.EFFECTS) + ")"
+N_SQL = "CAST(coalesce(" + ", ".join(_number_sql(p) for p in lexicon.SAMPLE_FORMS) + ") AS BIGINT)"
+COMPARED_SQL = f"regexp_matches(s, '(?i){lexicon.COMPARED}')"
+COMPARISON_SQL = f"CASE WHEN {COMPARED_SQL} AND (contains(lower(s), 'healthy') OR contains(lower(s), 'control')) THEN 'vs healthy' WHEN {COMPARED_SQL} AND contains(lower(s), 'pre') AND contains(lower(s), 'post') THEN 'pre vs post' ELSE 'vs control' END"
+SIGNIFICANT_SQL = f"regexp_matches(s, '(?i){lexicon.SIGNIFICANT}')"
+DURATION_SQL = f"CASE WHEN regexp_extract(s, '(?i){lexicon.DURATION}', 1) <> '' THEN regexp_extract(s, '(?i){lexicon.DURATION}', 1) || ' ' || lower(regexp_extract(s, '(?i){lexicon.DURATION}', 2)) || 's' END"
+DOSAGE_SQL = "coalesce(" + ", ".join(f"nullif(regexp_extract(lower(s), '{p}', 1), '')" for p in lexicon.DOSAGES) + ")"
 STATEMENTS = f"""e AS (SELECT evidence_id, paper_id, source_sentence AS s FROM evidence_items WHERE source_sentence IS NOT NULL),
-x AS (SELECT evidence_id, paper_id, {_case(text.DIRECTIONS, "s")} AS direction, CASE WHEN {P_SQL} BETWEEN 0 AND 1 THEN {P_SQL} END AS p_value, {E_SQL} AS effect_size, {_case(text.MEASURES, "s")} AS measure, {_case(text.CONTEXTS, "s")} AS comparison,
-  CASE WHEN {N_SQL} BETWEEN 2 AND 500000 THEN CAST({N_SQL} AS BIGINT) END AS sample_size FROM e)"""
+x AS (SELECT evidence_id, paper_id, {_case(text.DIRECTIONS, "s")} AS direction, {P_SQL} AS p_value, {E_SQL} AS effect_size, {_case(text.MEASURES, "s")} AS measure, {COMPARISON_SQL} AS comparison, {SIGNIFICANT_SQL} AS significant, {N_SQL} AS sample_size FROM e)"""
 
 
-@query(f"""WITH {STATEMENTS} SELECT evidence_id, direction, p_value, effect_size, measure, comparison, sample_size,
+@query(f"""WITH {STATEMENTS} SELECT evidence_id, direction, p_value, effect_size, measure, comparison, significant, sample_size,
   round(least(1.0, CASE WHEN direction IS NOT NULL THEN 0.5 ELSE 0.0 END + CASE WHEN p_value IS NOT NULL THEN 0.3 ELSE 0.0 END + CASE WHEN effect_size IS NOT NULL THEN 0.15 ELSE 0.0 END + CASE WHEN measure IS NOT NULL THEN 0.05 ELSE 0.0 END), 6)::DOUBLE AS confidence FROM x""")
 def association_statements(spark, folder):
     return extraction.statements(table(spark, folder, "evidence_items"), "evidence_id", "source_sentence")
 
 
-PLAIN_SQL = "' ' || trim(regexp_replace(lower({0}), '[^a-z0-9-]+', ' ', 'g')) || ' '"
-OCCURRENCES = f"""dict AS (SELECT DISTINCT entity_type AS label, trim({PLAIN_SQL.format("primary_name")}, ' ') AS term FROM canonical_entities
-  UNION SELECT DISTINCT label, trim({PLAIN_SQL.format("text")}, ' ') FROM mentions WHERE label NOT IN ('taxon', 'disease', 'method', 'population') AND text IS NOT NULL),
-good AS (SELECT * FROM dict WHERE length(term) >= {extraction.LEAST} AND len(string_split(term, ' ')) <= {extraction.LONGEST_TERM}),
-s AS (SELECT evidence_id, paper_id, source_sentence AS raw, {PLAIN_SQL.format("source_sentence")} AS plain FROM evidence_items WHERE source_sentence IS NOT NULL),
-occ AS (SELECT evidence_id, paper_id, raw, label, term FROM s JOIN good ON contains(plain, ' ' || term || ' '))"""
+def plain_sql(col: str) -> str:
+    return rf"trim(regexp_replace(lower(nfc_normalize({col})), '[^\p{{L}}\p{{M}}\p{{N}}-]+', ' ', 'g'))"
 
 
-def _occurrences(spark, folder, every=False):
+OCCURRENCES = f"""dict AS (SELECT entity_type AS label, {plain_sql("primary_name")} AS term FROM canonical_entities UNION SELECT label, {plain_sql("text")} FROM (SELECT DISTINCT label, text FROM mentions WHERE label IS NOT NULL AND text IS NOT NULL)),
+good AS (SELECT * FROM dict WHERE length(term) >= 2 AND NOT (label = 'disease' AND length(term) <= 3)),
+s AS (SELECT evidence_id, paper_id, source_sentence AS raw, string_split({plain_sql("source_sentence")}, ' ') AS w FROM evidence_items WHERE source_sentence IS NOT NULL),
+sizes AS (SELECT DISTINCT len(string_split(term, ' ')) AS n FROM good),
+runs AS (SELECT DISTINCT evidence_id, paper_id, raw, array_to_string(w[i:i + n - 1], ' ') AS term FROM (SELECT evidence_id, paper_id, raw, w, unnest(range(1, len(w) + 1)) AS i FROM s) JOIN sizes ON i + n - 1 <= len(w)),
+occ AS (SELECT evidence_id, paper_id, raw, label, term FROM runs JOIN good USING (term))"""
+
+
+def _occurrences(spark, folder):
     entities, mentions = table(spark, folder, "canonical_entities"), table(spark, folder, "mentions")
     terms = entities.select(F.col("entity_type").alias("label"), F.col("primary_name").alias("term"))
-    if every:
-        terms = terms.unionByName(mentions.where("label is not null and text is not null").select("label", F.col("text").alias("term")))
-        return extraction.every_mention(table(spark, folder, "evidence_items"), "evidence_id", "source_sentence", terms)
-    terms = terms.unionByName(mentions.where(~F.col("label").isin("taxon", "disease", "method", "population") & F.col("text").isNotNull()).select("label", F.col("text").alias("term")))
+    terms = terms.unionByName(mentions.where("label is not null and text is not null").select("label", F.col("text").alias("term")).distinct())
     return extraction.dictionary_mentions(table(spark, folder, "evidence_items"), "evidence_id", "source_sentence", terms)
 
 
 @query(f"WITH {OCCURRENCES} SELECT evidence_id, label, term FROM occ")
-@whole
-def dictionary_mentions(spark, folder, every=False):
-    return _occurrences(spark, folder, every)
+def dictionary_mentions(spark, folder):
+    return _occurrences(spark, folder)
 
 
 def _pair_query(name: str, spec: extraction.Spec) -> None:
-    sql = f"""WITH {OCCURRENCES}, r AS (SELECT x.evidence_id, x.term AS source, y.term AS target, {_case(spec.directions, "x.raw")} AS direction FROM occ x JOIN occ y ON x.evidence_id = y.evidence_id AND x.label = '{spec.source}' AND y.label = '{spec.target}')
-      SELECT '{name}' AS relation_type, evidence_id, source, target, direction FROM r WHERE direction IS NOT NULL"""
+    prop = _case(spec.properties, "x.raw") if spec.properties else "NULL::VARCHAR"
+    sql = f"""WITH {OCCURRENCES}, r AS (SELECT x.evidence_id, x.paper_id, x.raw AS s, x.term AS source, y.term AS target, {_case(spec.directions, "x.raw")} AS direction, {prop} AS property FROM occ x JOIN occ y ON x.evidence_id = y.evidence_id AND x.label = '{spec.source}' AND y.label = '{spec.target}'),
+      q AS (SELECT *, {P_SQL} AS p_value FROM r WHERE direction IS NOT NULL), k AS ({ARTICLE_SQL})
+      SELECT '{name}' AS relation_type, evidence_id, source, target, direction, property, p_value, CASE WHEN p_value IS NULL THEN 0.5::DOUBLE ELSE 0.8::DOUBLE END AS confidence,
+        CASE WHEN p_value < 0.01 AND article_type IN ('original_research', 'meta_analysis') THEN 'strong' WHEN p_value < 0.05 THEN 'moderate' ELSE 'weak' END AS evidence_strength FROM q LEFT JOIN k USING (paper_id)"""
 
-    def run(spark: SparkSession, folder: str, every: bool = False) -> DataFrame:
-        got = extraction.pair_relations(table(spark, folder, "evidence_items"), _occurrences(spark, folder, every), spec)
-        return got.select(F.lit(name).alias("relation_type"), "evidence_id", "source", "target", "direction")
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        types = extraction.article_type(table(spark, folder, "papers"))
+        got = extraction.pair_relations(table(spark, folder, "evidence_items"), _occurrences(spark, folder), spec, types)
+        return got.select(F.lit(name).alias("relation_type"), "evidence_id", "source", "target", "direction", "property", "p_value", "confidence", "evidence_strength")
 
     run.__name__ = name
-    query(sql)(whole(run))
+    query(sql)(run)
+
+
+ARTICLE_SQL = r"""
+SELECT paper_id, CASE WHEN len(list_filter(article_types, lambda t: lower(t) LIKE '%meta-analysis%')) > 0 THEN 'meta_analysis' WHEN len(list_filter(article_types, lambda t: lower(t) LIKE '%review%')) > 0 THEN 'review'
+  WHEN len(list_filter(article_types, lambda t: lower(t) LIKE '%trial%')) > 0 THEN 'clinical_trial' WHEN is_preprint THEN 'preprint' WHEN regexp_matches(coalesce(title, ''), '(?i)\b(meta-analysis|systematic review)\b') THEN 'meta_analysis'
+  WHEN regexp_matches(coalesce(abstract, ''), '(?i)\bwe (?:enrolled|compared|analy[sz]ed|profiled)\b') THEN 'original_research' ELSE 'unknown' END AS article_type FROM papers"""
 
 
 for _name, _spec in extraction.SPECS.items():
     _pair_query(_name, _spec)
 
 
-@query(r"SELECT section_id, list_distinct(regexp_extract_all(content, '\b(?:SRX|PRJX|GSX)[0-9]{7}\b')) IS NOT NULL AND len(regexp_extract_all(content, '\b(?:SRX|PRJX|GSX)[0-9]{7}\b')) > 0 AS has_accession, CAST(len(list_distinct(regexp_extract_all(content, '\b(?:SRX|PRJX|GSX)[0-9]{7}\b'))) AS INT) AS n_accessions, CASE WHEN len(regexp_extract_all(content, '\b(?:SRX|PRJX|GSX)[0-9]{7}\b')) > 0 THEN 'accession_linked' WHEN regexp_matches(content, 'https?://') THEN 'url' WHEN regexp_matches(content, '(?i)upon (?:reasonable )?request') THEN 'restricted' ELSE 'not_stated' END AS status FROM sections WHERE section_type = 'data_availability' AND content IS NOT NULL")
+def _found_sql(table_: lexicon.Table, col: str) -> str:
+    every = [f"regexp_extract_all({col}, '(?i){p}')" for _, patterns in table_ for p in patterns]
+    out = every[0]
+    for e in every[1:]:
+        out = f"list_concat({out}, {e})"
+    return out
+
+
+def _names_sql(table_: lexicon.Table, col: str) -> str:
+    return ", ".join(f"CASE WHEN {_joined_sql(p, col)} THEN '{n}' END" for n, p in table_)
+
+
+def _ordered_sql(expr: str) -> str:
+    """A list without repeats, in the order of first places."""
+    return f"list_transform(list_filter(list_zip({expr}, range(1, len({expr}) + 1)), lambda z: list_position({expr}, z[1]) = z[2]), lambda z: z[1])"
+
+
+AVAILABILITY_SQL = f"""WITH r AS (SELECT section_id, content AS s, {_found_sql(lexicon.ACCESSIONS, "content")} AS a0, {_found_sql(lexicon.ADDRESSES, "content")} AS u0, list_filter([{_names_sql(lexicon.ACCESSIONS, "content")}, {_names_sql(lexicon.ADDRESSES, "content")}], lambda x: x IS NOT NULL) AS n0
+  FROM sections WHERE section_type = 'data_availability' AND content IS NOT NULL),
+q AS (SELECT *, {_joined_sql(lexicon.NOT_APPLICABLE, "lower(s)")} AS nothing FROM r),
+t AS (SELECT *, CASE WHEN nothing THEN 'not_stated' WHEN len(a0) > 0 THEN 'accession_linked' WHEN len(u0) > 0 THEN 'open' WHEN {_joined_sql(lexicon.OPEN, "lower(s)")} THEN 'open' WHEN {_joined_sql(lexicon.RESTRICTED, "lower(s)")} THEN 'restricted' ELSE 'not_stated' END AS status FROM q)
+SELECT section_id, status, CASE WHEN nothing THEN '' ELSE array_to_string({_ordered_sql("a0")}, '|') END AS accessions, CASE WHEN nothing THEN '' ELSE array_to_string({_ordered_sql("u0")}, '|') END AS addresses, CASE WHEN nothing THEN '' ELSE array_to_string({_ordered_sql("n0")}, '|') END AS repositories,
+  CASE WHEN status = 'restricted' AND regexp_extract(s, '{lexicon.EMAIL}') <> '' THEN 'Contact: ' || regexp_extract(s, '{lexicon.EMAIL}') END AS contact FROM t"""
+
+
+@query(AVAILABILITY_SQL)
 def data_availability(spark, folder):
     rows = table(spark, folder, "sections").where("section_type = 'data_availability' and content is not null")
-    return extraction.availability(rows, "section_id", "content")
+    got = extraction.availability(rows, "section_id", "content")
+    return got.withColumns({c: F.array_join(c, "|") for c in ("accessions", "addresses", "repositories")})
 
 
-DESIGN_SQL = "CASE " + " ".join(f"WHEN regexp_matches(t, '{re2(p)}') THEN '{n}'" for n, p, _ in extraction.DESIGNS) + " END"
+DESIGN_ROWS = ", ".join(f"CASE WHEN regexp_matches(t, '(?is){re2(p)}') THEN {{'c': {c}::DOUBLE, 'k': {-k}, 'n': '{n}'}} END" for k, (n, c, p) in enumerate(lexicon.DESIGNS))
 
 
-@query(f"SELECT paper_id, {DESIGN_SQL} AS design, coalesce(regexp_matches(t, '(?i)\\b(crossover|randomi[sz]ed|blinded|stepped-wedge)\\b'), false) AS is_trial FROM (SELECT paper_id, coalesce(title, '') || ' ' || coalesce(abstract, '') AS t FROM papers)")
+@query(f"""WITH x AS (SELECT paper_id, regexp_replace(coalesce(title, '') || ' ' || coalesce(abstract, ''), '(?i){lexicon.REGISTRATION}', ' ', 'g') AS t FROM papers),
+y AS (SELECT paper_id, t, list_filter([{DESIGN_ROWS}], lambda z: z IS NOT NULL) AS found FROM x), b AS (SELECT *, list_max(found) AS best FROM y)
+SELECT paper_id, best.n AS design, best.c AS confidence, CAST(len(found) AS INT) AS n_designs, len(found) > 0 AND regexp_matches(t, '(?i){lexicon.IS_RCT}') AS is_rct, len(found) > 0 AND regexp_matches(t, '(?i){lexicon.IS_PROSPECTIVE}') AS is_prospective FROM b""")
 def study_design(spark, folder):
     return extraction.study_design(table(spark, folder, "papers"))
 
 
-@query("""
-SELECT paper_id, CASE WHEN len(list_filter(article_types, lambda t: lower(t) LIKE '%meta-analysis%')) > 0 THEN 'meta_analysis' WHEN len(list_filter(article_types, lambda t: lower(t) LIKE '%review%')) > 0 THEN 'review'
-  WHEN len(list_filter(article_types, lambda t: lower(t) LIKE '%trial%')) > 0 THEN 'clinical_trial' WHEN is_preprint THEN 'preprint' WHEN regexp_matches(coalesce(title, ''), '(?i)\\b(meta-analysis|systematic review)\\b') THEN 'meta_analysis'
-  WHEN regexp_matches(coalesce(abstract, ''), '(?i)\\bwe (?:enrolled|compared|analy[sz]ed|profiled)\\b') THEN 'original_research' ELSE 'unknown' END AS article_type FROM papers""".replace("\\\\", "\\"))
+@query(ARTICLE_SQL)
 def article_types(spark, folder):
     return extraction.article_type(table(spark, folder, "papers"))
 
@@ -406,10 +445,9 @@ def section_parse(spark, folder):
     return extraction.header_sections(table(spark, folder, "sections").where("content is not null"), "section_id", "content")
 
 
-@query(r"SELECT section_id, trim(regexp_replace(regexp_replace(content, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS stripped FROM sections WHERE content IS NOT NULL AND regexp_matches(content, '^[\x00-\x7F]*$')")
-@whole
-def stripped_tags(spark, folder, every=False):
-    rows = _texts(table(spark, folder, "sections"), "content", every)
+@query(rf"SELECT section_id, trim(regexp_replace(regexp_replace(content, '<[^>]+>', ' ', 'g'), '{SPACE}+', ' ', 'g')) AS stripped FROM sections WHERE content IS NOT NULL")
+def stripped_tags(spark, folder):
+    rows = table(spark, folder, "sections").where("content is not null")
     return rows.select("section_id", text.strip_tags(F.col("content")).alias("stripped"))
 
 
@@ -514,40 +552,36 @@ def semantic_cache_hits(spark, folder):
 # ---- entity resolution --------------------------------------------------------------------------------------------
 
 
-@query(f"SELECT synonym_id, {surface_sql('surface_form')} AS form FROM synonyms WHERE regexp_matches(surface_form, '^[\\x00-\\x7F]*$')".replace("\\\\", "\\"))
-@whole
-def surface_forms(spark, folder, every=False):
-    rows = _synonyms(spark, folder, every)
+@query(f"SELECT synonym_id, {surface_sql('surface_form')} AS form FROM synonyms WHERE surface_form IS NOT NULL")
+def surface_forms(spark, folder):
+    rows = _synonyms(spark, folder)
     return rows.select("synonym_id", text.surface_form(F.col("surface_form")).alias("form"))
 
 
-ASCII = "regexp_matches(surface_form, '^[\\x00-\\x7F]*$')"
+GIVEN = "surface_form IS NOT NULL"
 
 
-def _synonyms(spark, folder, every):
-    return _texts(table(spark, folder, "synonyms"), "surface_form", every)
+def _synonyms(spark, folder):
+    return table(spark, folder, "synonyms").where("surface_form is not null")
 
 
-@query(f"WITH s AS (SELECT {surface_sql('surface_form')} AS form, canonical_id FROM synonyms WHERE canonical_id IS NOT NULL AND {ASCII}) SELECT form, count(DISTINCT canonical_id) AS n_entities, count(*) AS n_rows FROM s WHERE form <> '' GROUP BY form HAVING count(DISTINCT canonical_id) > 1")
-@whole
-def synonym_conflicts(spark, folder, every=False):
-    return resolution.synonym_conflicts(_synonyms(spark, folder, every))
+@query(f"WITH s AS (SELECT {surface_sql('surface_form')} AS form, canonical_id FROM synonyms WHERE canonical_id IS NOT NULL AND {GIVEN}) SELECT form, count(DISTINCT canonical_id) AS n_entities, count(*) AS n_rows FROM s WHERE form <> '' GROUP BY form HAVING count(DISTINCT canonical_id) > 1")
+def synonym_conflicts(spark, folder):
+    return resolution.synonym_conflicts(_synonyms(spark, folder))
 
 
-@query(f"""WITH f AS (SELECT DISTINCT entity_type, {surface_sql('surface_form')} AS form FROM synonyms JOIN canonical_entities USING (canonical_id) WHERE {ASCII}), n AS (SELECT DISTINCT entity_type, {surface_sql('primary_name')} AS name FROM canonical_entities)
+@query(f"""WITH f AS (SELECT DISTINCT entity_type, {surface_sql('surface_form')} AS form FROM synonyms JOIN canonical_entities USING (canonical_id) WHERE {GIVEN}), n AS (SELECT DISTINCT entity_type, {surface_sql('primary_name')} AS name FROM canonical_entities)
 SELECT entity_type, form, name, CAST(levenshtein(form, name) AS INT) AS distance, round(1 - levenshtein(form, name)::DOUBLE / greatest(length(form), length(name)) * 0.5, 6) AS confidence
 FROM f JOIN n USING (entity_type) WHERE length(form) >= 4 AND length(name) >= 4 AND levenshtein(form, name) <= 2""")
-@whole
-def fuzzy_matches(spark, folder, every=False):
+def fuzzy_matches(spark, folder):
     entities = table(spark, folder, "canonical_entities").select("canonical_id", "entity_type", text.surface_form(F.col("primary_name")).alias("n"))
-    forms = _synonyms(spark, folder, every).join(entities, "canonical_id").select("entity_type", text.surface_form(F.col("surface_form")).alias("f"))
+    forms = _synonyms(spark, folder).join(entities, "canonical_id").select("entity_type", text.surface_form(F.col("surface_form")).alias("f"))
     return resolution.fuzzy_join(forms, entities, "f", "n", "entity_type")
 
 
-@query(f"WITH s AS (SELECT DISTINCT {surface_sql('surface_form')} AS form FROM synonyms WHERE {ASCII}) SELECT form FROM s WHERE starts_with(form, 'bez') ORDER BY form LIMIT 50")
-@whole
-def prefix_lookup(spark, folder, every=False):
-    return resolution.prefix_lookup(_synonyms(spark, folder, every).select(text.surface_form(F.col("surface_form")).alias("form")), "bez")
+@query(f"WITH s AS (SELECT DISTINCT {surface_sql('surface_form')} AS form FROM synonyms WHERE {GIVEN}) SELECT form FROM s WHERE starts_with(form, 'bez') ORDER BY form LIMIT 50")
+def prefix_lookup(spark, folder):
+    return resolution.prefix_lookup(_synonyms(spark, folder).select(text.surface_form(F.col("surface_form")).alias("form")), "bez")
 
 
 @query("WITH f AS (SELECT DISTINCT trim(text) AS form FROM mentions WHERE text IS NOT NULL), j AS (SELECT form, full_form FROM f JOIN abbreviations ON lower(form) = lower(abbreviated_form)) SELECT form, full_form, round(1.0 / count(*) OVER (PARTITION BY form), 6)::DOUBLE AS confidence FROM j")
@@ -564,29 +598,36 @@ def genus_expansions(spark, folder):
     return resolution.expand_genus(forms, table(spark, folder, "canonical_entities").where("entity_type = 'taxon'"))
 
 
-RESOLVE_SQL = f"""f AS (SELECT DISTINCT text AS form FROM mentions WHERE text IS NOT NULL AND regexp_matches(text, '^[\\x00-\\x7F]*$')), n AS (SELECT form, {surface_sql('form')} AS norm FROM f),
-e AS (SELECT {surface_sql('primary_name')} AS norm, min(canonical_id) AS id FROM canonical_entities GROUP BY 1),
-ab0 AS (SELECT {surface_sql('abbreviated_form')} AS norm, min(full_form) AS fu, count(DISTINCT full_form) AS k FROM abbreviations GROUP BY 1), ab AS (SELECT norm, canonical_id AS id, 1.0::DOUBLE / k AS c FROM ab0 JOIN canonical_entities ON fu = primary_name WHERE k <= 2),
-sy AS (SELECT {surface_sql('surface_form')} AS norm, min(canonical_id) AS id FROM synonyms WHERE canonical_id IS NOT NULL GROUP BY 1),
-resolved AS (SELECT form, coalesce(e.id, ab.id, sy.id) AS canonical_id, CASE WHEN e.id IS NOT NULL THEN 'exact' WHEN ab.id IS NOT NULL THEN 'abbreviation' WHEN sy.id IS NOT NULL THEN 'synonym' ELSE 'unresolved' END AS strategy,
-  coalesce(CASE WHEN e.id IS NOT NULL THEN 1.0::DOUBLE END, ab.c, CASE WHEN sy.id IS NOT NULL THEN 0.95::DOUBLE END, 0.0::DOUBLE) AS confidence FROM n LEFT JOIN e USING (norm) LEFT JOIN ab USING (norm) LEFT JOIN sy USING (norm) WHERE norm <> '')"""
+RESOLVE_SQL = f"""f AS (SELECT DISTINCT text AS form, label AS entity_type, {surface_sql('text')} AS norm FROM mentions WHERE text IS NOT NULL AND label IS NOT NULL AND {surface_sql('text')} <> ''),
+e AS (SELECT {surface_sql('primary_name')} AS norm, canonical_id, entity_type AS kind, primary_name, lower(substr(primary_name, 1, 1)) AS initial, lower(list_last(string_split(primary_name, ' '))) AS species FROM canonical_entities),
+c_exact AS (SELECT DISTINCT form, entity_type, canonical_id, 'exact' AS strategy, 1.0::DOUBLE AS confidence FROM f JOIN e USING (norm)),
+ab AS (SELECT DISTINCT {surface_sql('abbreviated_form')} AS norm, full_form AS full_name FROM abbreviations),
+sp0 AS (SELECT form, entity_type, full_name FROM f JOIN ab USING (norm)),
+gi AS (SELECT form, entity_type, primary_name AS full_name FROM f JOIN e ON kind = 'taxon' AND regexp_matches(lower(trim(form)), '^[a-z]\\. ?[a-z]{{3,}}$') AND initial = substr(lower(trim(form)), 1, 1) AND species = regexp_extract(lower(trim(form)), '([a-z]{{3,}})$', 1)
+  WHERE NOT EXISTS (SELECT 1 FROM sp0 WHERE sp0.form = f.form AND sp0.entity_type = f.entity_type)),
+sp AS (SELECT * FROM sp0 UNION SELECT * FROM gi), spn AS (SELECT *, count(*) OVER (PARTITION BY form, entity_type) AS n FROM sp),
+c_abbr AS (SELECT DISTINCT form, entity_type, canonical_id, 'abbreviation' AS strategy, 1.0::DOUBLE / n AS confidence FROM spn JOIN e ON {surface_sql('full_name')} = e.norm),
+c_syn AS (SELECT DISTINCT form, entity_type, canonical_id, 'synonym' AS strategy, 0.95::DOUBLE AS confidence FROM f JOIN (SELECT DISTINCT {surface_sql('surface_form')} AS norm, canonical_id FROM synonyms WHERE canonical_id IS NOT NULL) USING (norm)),
+c_fuzzy AS (SELECT DISTINCT form, entity_type, canonical_id, 'fuzzy' AS strategy, round(1 - levenshtein(single, e.norm)::DOUBLE / greatest(length(single), length(e.norm)) * 0.5, 6) AS confidence
+  FROM (SELECT *, regexp_replace(norm, '[^\\x00-\\x7F]', chr(1), 'g') AS single FROM f) JOIN e ON entity_type = kind AND abs(length(single) - length(e.norm)) <= 2 WHERE length(single) >= 4 AND length(e.norm) >= 4 AND levenshtein(single, e.norm) BETWEEN 1 AND 2),
+cands AS (SELECT * FROM c_exact UNION ALL SELECT * FROM c_abbr UNION ALL SELECT * FROM c_syn UNION ALL SELECT * FROM c_fuzzy),
+firsts AS (SELECT *, row_number() OVER (PARTITION BY form, entity_type ORDER BY CASE strategy WHEN 'exact' THEN 1 WHEN 'abbreviation' THEN 2 WHEN 'synonym' THEN 3 ELSE 4 END, confidence DESC, canonical_id) AS k FROM cands WHERE confidence >= 0.5),
+resolved AS (SELECT form, entity_type, canonical_id, coalesce(strategy, 'unresolved') AS strategy, coalesce(confidence, 0.0::DOUBLE) AS confidence FROM f LEFT JOIN (SELECT * FROM firsts WHERE k = 1) USING (form, entity_type))"""
 
 
-def _resolved(spark, folder, every):
-    forms = _texts(table(spark, folder, "mentions"), "text", every).select(F.col("text").alias("form"))
-    return resolution.resolve(forms, table(spark, folder, "canonical_entities"), table(spark, folder, "synonyms"), table(spark, folder, "abbreviations"))
+def _resolution_inputs(spark, folder):
+    forms = table(spark, folder, "mentions").where("text is not null and label is not null").select(F.col("text").alias("form"), F.col("label").alias("entity_type"))
+    return forms, table(spark, folder, "canonical_entities"), table(spark, folder, "synonyms"), table(spark, folder, "abbreviations")
 
 
-@query(f"WITH {RESOLVE_SQL} SELECT * FROM resolved")
-@whole
-def resolution_cascade(spark, folder, every=False):
-    return _resolved(spark, folder, every)
+@query(f"WITH {RESOLVE_SQL} SELECT form, entity_type, canonical_id, strategy, confidence FROM resolved")
+def resolution_cascade(spark, folder):
+    return resolution.resolve(*_resolution_inputs(spark, folder))
 
 
-@query(f"WITH {RESOLVE_SQL} SELECT strategy, count(*) AS n_total, count(canonical_id) AS n_resolved, count(*) - count(canonical_id) AS n_unresolved, round(avg(confidence) FILTER (canonical_id IS NOT NULL), 6) AS avg_confidence, round(avg(CASE WHEN canonical_id IS NOT NULL THEN 1 ELSE 0 END), 6) AS resolution_rate FROM resolved GROUP BY ROLLUP (strategy)")
-@whole
-def resolution_metrics(spark, folder, every=False):
-    return resolution.resolution_metrics(_resolved(spark, folder, every), "strategy")
+@query(f"WITH {RESOLVE_SQL} SELECT strategy, entity_type, count(*) AS n_total, count(canonical_id) AS n_resolved, count(*) - count(canonical_id) AS n_unresolved, round(avg(confidence) FILTER (canonical_id IS NOT NULL), 6) AS avg_confidence, round(avg(CASE WHEN canonical_id IS NOT NULL THEN 1 ELSE 0 END), 6) AS resolution_rate FROM resolved GROUP BY GROUPING SETS ((strategy), (entity_type), ())")
+def resolution_metrics(spark, folder):
+    return resolution.resolution_metrics(resolution_cascade(spark, folder))
 
 
 SNAP_SQL = "snap AS (SELECT event_type, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, avg(value) / 100 AS rate FROM events GROUP BY 1, 2)"
@@ -609,10 +650,9 @@ def ontology_ancestors(spark, folder):
     return resolution.ancestors(edges, "c", "p")
 
 
-@query(f"SELECT synonym_id, {surface_sql('surface_form')} AS ours, surface_form_normalized AS theirs FROM synonyms WHERE {ASCII} AND {surface_sql('surface_form')} IS DISTINCT FROM surface_form_normalized")
-@whole
-def shadow_differences(spark, folder, every=False):
-    rows = _synonyms(spark, folder, every).select("synonym_id", text.surface_form(F.col("surface_form")).alias("ours"), F.col("surface_form_normalized").alias("theirs"))
+@query(f"SELECT synonym_id, {surface_sql('surface_form')} AS ours, surface_form_normalized AS theirs FROM synonyms WHERE {GIVEN} AND {surface_sql('surface_form')} IS DISTINCT FROM surface_form_normalized")
+def shadow_differences(spark, folder):
+    rows = _synonyms(spark, folder).select("synonym_id", text.surface_form(F.col("surface_form")).alias("ours"), F.col("surface_form_normalized").alias("theirs"))
     return rows.where(~F.col("ours").eqNullSafe(F.col("theirs")))
 
 
@@ -649,16 +689,15 @@ def merged_nodes(spark, folder):
     return graph.merge_nodes(edges, mapping).withColumn("confidence", F.round("confidence", 6))
 
 
-@query("SELECT label, count(DISTINCT lower(trim(text))) AS n_forms, count(DISTINCT paper_id) AS n_papers, count(*) AS n_mentions FROM mentions WHERE trim(text) <> '' AND regexp_matches(text, '^[\\x00-\\x7F]*$') GROUP BY label".replace("\\\\", "\\"))
-@whole
-def standalone_entities(spark, folder, every=False):
-    rows = _texts(table(spark, folder, "mentions"), "text", every).where(F.trim("text") != "")
+@query("SELECT label, count(DISTINCT lower(trim(text, ' '))) AS n_forms, count(DISTINCT paper_id) AS n_papers, count(*) AS n_mentions FROM mentions WHERE trim(text, ' ') <> '' GROUP BY label")
+def standalone_entities(spark, folder):
+    rows = table(spark, folder, "mentions").where(F.trim("text") != "")
     return rows.groupBy("label").agg(F.count_distinct(F.lower(F.trim("text"))).alias("n_forms"), F.count_distinct("paper_id").alias("n_papers"), F.count("*").alias("n_mentions"))
 
 
-@query(r"SELECT header, regexp_replace(upper(trim(header)), '[^A-Z0-9_]', '_', 'g') AS rel FROM (SELECT DISTINCT header FROM sections WHERE regexp_matches(header, '^[A-Za-z]')) ")
+@query(r"WITH h AS (SELECT DISTINCT header FROM sections WHERE header IS NOT NULL), v AS (SELECT header, regexp_replace(upper(trim(header)), '[^A-Z0-9_]', '_', 'g') AS rel FROM h) SELECT header, CASE WHEN regexp_matches(rel, '^[A-Z]') THEN rel ELSE 'REL_' || rel END AS rel FROM v")
 def relation_names(spark, folder):
-    rows = table(spark, folder, "sections").where(F.col("header").rlike("^[A-Za-z]")).select("header").distinct()
+    rows = table(spark, folder, "sections").where("header is not null").select("header").distinct()
     return rows.select("header", text.relation_name(F.col("header")).alias("rel"))
 
 
@@ -735,27 +774,67 @@ def ranked_sections(spark, folder):
     return enrichment.ranked_sections(table(spark, folder, "sections"))
 
 
-@query(f"""WITH {RESOLVE_SQL}, c AS (SELECT form, canonical_id, strategy, confidence, CASE strategy WHEN 'exact' THEN 0.95::DOUBLE WHEN 'abbreviation' THEN 0.85::DOUBLE WHEN 'synonym' THEN 0.8::DOUBLE ELSE 0.5::DOUBLE END AS weight, lower(substr(form, 1, 3)) AS prefix FROM resolved WHERE canonical_id IS NOT NULL)
-SELECT prefix, form, canonical_id, round(weight * confidence, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY prefix ORDER BY round(weight * confidence, 6) DESC, weight DESC, canonical_id, form) AS rank FROM c) WHERE rank = 1""")
-@whole
-def ranked_candidates(spark, folder, every=False):
-    rows = _resolved(spark, folder, every).where("canonical_id is not null").withColumn("prefix", F.lower(F.substring("form", 1, 3)))
-    got = enrichment.ranked_candidates(rows, "prefix")
-    first = got.groupBy("prefix").agg(F.min(F.struct((-F.col("score")).alias("s"), (-F.col("weight")).alias("w"), "canonical_id", "form")).alias("b"))
-    return first.select("prefix", F.col("b.form").alias("form"), F.col("b.canonical_id").alias("canonical_id"), (-F.col("b.s")).alias("score"))
+@query(f"""WITH {RESOLVE_SQL}, w AS (SELECT *, CASE strategy WHEN 'exact' THEN 0.95::DOUBLE WHEN 'abbreviation' THEN 0.80::DOUBLE WHEN 'synonym' THEN 0.75::DOUBLE ELSE 0.60::DOUBLE END AS weight FROM cands),
+r AS (SELECT *, round(weight * confidence, 6) AS score, row_number() OVER (PARTITION BY form, entity_type ORDER BY round(weight * confidence, 6) DESC, weight DESC, canonical_id) AS rank FROM w)
+SELECT form, entity_type, canonical_id, strategy, score, CAST(rank AS INT) AS rank FROM r WHERE rank <= 5""")
+def ranked_candidates(spark, folder):
+    """The candidates of each form from all strategies, best first."""
+    got = enrichment.ranked_candidates(resolution.candidates(*_resolution_inputs(spark, folder)), "form", "entity_type")
+    return got.where("rank <= 5").select("form", "entity_type", "canonical_id", "strategy", "score", "rank")
 
 
 INTERVENTION_SQL = " UNION ALL ".join(
-    f"SELECT section_id, paper_id, content, '{kind}' AS intervention_type, CASE " + " ".join(f"WHEN contains(lower(content), '{w}') THEN '{w}'" for w in words) + " END AS keyword FROM m" for kind, words in enrichment.INTERVENTIONS
+    f"SELECT section_id, paper_id, content, '{kind}' AS intervention_type, CASE " + " ".join(f"WHEN contains(lower(content), '{w}') THEN '{w}'" for w in words) + " END AS keyword FROM m" for kind, words in lexicon.INTERVENTIONS
 )
+INTERVENTIONS_FOUND = f"""m AS (SELECT section_id, paper_id, content FROM sections WHERE section_type = 'methods' AND content IS NOT NULL), u AS ({INTERVENTION_SQL}), v AS (SELECT section_id, paper_id, intervention_type, keyword, content AS s FROM u WHERE keyword IS NOT NULL),
+found AS (SELECT section_id, paper_id, intervention_type, keyword, {DURATION_SQL} AS duration, {DOSAGE_SQL} AS dosage, {N_SQL} AS sample_size FROM v)"""
 
 
-@query(f"""WITH m AS (SELECT section_id, paper_id, content FROM sections WHERE section_type = 'methods' AND content IS NOT NULL), u AS ({INTERVENTION_SQL}), x AS (SELECT section_id, paper_id, intervention_type, keyword, content AS s FROM u WHERE keyword IS NOT NULL)
-SELECT section_id, paper_id, intervention_type, keyword, nullif(regexp_extract(s, '{enrichment.DURATION}', 1), '') AS duration, CASE WHEN {N_SQL} BETWEEN 2 AND 500000 THEN CAST({N_SQL} AS BIGINT) END AS sample_size FROM x""")
+@query(f"WITH {INTERVENTIONS_FOUND} SELECT * FROM found")
 def intervention_mentions(spark, folder):
     return enrichment.interventions(table(spark, folder, "sections"))
 
 
+@query(f"""WITH {OCCURRENCES.replace("s AS (SELECT evidence_id", "sent AS (SELECT evidence_id").replace("FROM s)", "FROM sent)")}, {INTERVENTIONS_FOUND},
+t AS (SELECT evidence_id, paper_id, source_sentence AS s FROM evidence_items WHERE source_sentence IS NOT NULL), d AS (SELECT *, {_case(text.DIRECTIONS, "s")} AS effect_direction, {P_SQL} AS p_value FROM t),
+o AS (SELECT paper_id, intervention_type, keyword, arg_min({{'a': duration, 'b': dosage, 'c': sample_size}}, section_id) AS x FROM found GROUP BY ALL),
+z AS (SELECT d.evidence_id, occ.term AS taxon, intervention_type, effect_direction, p_value, x.a AS duration, x.b AS dosage, x.c AS sample_size,
+  round(least(1.0, 0.3 + CASE WHEN p_value IS NOT NULL THEN 0.3 ELSE 0.0 END + 0.2 + CASE WHEN x.a IS NOT NULL THEN 0.1 ELSE 0.0 END + CASE WHEN x.b IS NOT NULL THEN 0.1 ELSE 0.0 END), 6)::DOUBLE AS confidence
+  FROM d JOIN occ ON occ.evidence_id = d.evidence_id AND label = 'taxon' JOIN o ON o.paper_id = d.paper_id
+  WHERE effect_direction IN ('increased', 'decreased', 'no_change') AND coalesce(p_value < 0.05, {SIGNIFICANT_SQL}) AND contains(lower(s), keyword))
+SELECT * FROM z WHERE confidence >= 0.5""")
+def intervention_effects(spark, folder):
+    items = table(spark, folder, "evidence_items")
+    taxa = _occurrences(spark, folder).where("label = 'taxon'").select("evidence_id", F.col("term").alias("taxon"))
+    return enrichment.intervention_effects(items, taxa, enrichment.interventions(table(spark, folder, "sections")))
+
+
+@query(f"""WITH m AS (SELECT DISTINCT paper_id, lower(trim(text)) AS method FROM mentions WHERE label = 'method' AND trim(text) <> ''), r AS (SELECT paper_id, section_id, sec_pos, content AS s FROM sections WHERE section_type = 'methods' AND content IS NOT NULL),
+h AS (SELECT *, row_number() OVER (PARTITION BY paper_id, method ORDER BY coalesce(sec_pos, 2147483647), section_id) AS k FROM r JOIN m USING (paper_id) WHERE contains(lower(s), method))
+SELECT paper_id, method, section_id, {_case(lexicon.pairs(lexicon.PLATFORMS), "s")} AS platform, {N_SQL} AS sample_size, left(s, 200) AS source_sentence, 0.8::DOUBLE AS confidence, 'moderate' AS evidence_strength FROM h WHERE k = 1""")
+def methodology_usage(spark, folder):
+    return enrichment.methodology_usage(table(spark, folder, "sections"), table(spark, folder, "mentions"))
+
+
+def _tier_sql(tier: tuple[str, ...]) -> str:
+    lists = [f"regexp_extract_all(c, '(?i){p}', 1)" for p in tier]
+    whole = lists[0]
+    for one in lists[1:]:
+        whole = f"list_concat({whole}, {one})"
+    return f"list_max(list_filter(list_transform({whole}, lambda x: try_cast(x AS BIGINT)), lambda n: n BETWEEN 2 AND 500000))"
+
+
+@query(f"""WITH x AS (SELECT section_id, content, regexp_replace(regexp_replace(content, '(?i){lexicon.SEARCH_COUNTS[0]}', ' ', 'g'), '(?i){lexicon.SEARCH_COUNTS[1]}', ' ', 'g') AS c, regexp_matches(content, '(?i){lexicon.META}') AS pooled FROM sections WHERE content IS NOT NULL),
+y AS (SELECT *, {", ".join(f"{_tier_sql(t)} AS t{k}" for k, t in enumerate(lexicon.SAMPLE_TIERS))} FROM x), z AS (SELECT * REPLACE (CASE WHEN NOT pooled THEN t6 END AS t6) FROM y)
+SELECT section_id, coalesce(t0, t1, t2, t3, t4, t5, t6, 0) AS sample_size, CASE WHEN t0 IS NOT NULL THEN 1 WHEN t1 IS NOT NULL THEN 2 WHEN t2 IS NOT NULL THEN 3 WHEN t3 IS NOT NULL THEN 4 WHEN t4 IS NOT NULL THEN 5 WHEN t5 IS NOT NULL THEN 6 WHEN t6 IS NOT NULL THEN 7 ELSE 99 END AS tier,
+  array_to_string(list_filter([{", ".join(f"CASE WHEN regexp_matches(content, '{re2(p)}') THEN '{n}' END" for n, p in lexicon.pairs(lexicon.METHODS))}], lambda v: v IS NOT NULL), '|') AS methods,
+  CAST(len(list_distinct(list_transform(regexp_extract_all(content, '(?i){lexicon.DATASETS}'), lambda v: upper(v)))) AS INT) AS n_datasets,
+  CASE WHEN regexp_matches(left(content, 2000), '(?i){lexicon.SURE_DESIGN}') THEN 0.9::DOUBLE WHEN regexp_matches(left(content, 2000), '(?i){lexicon.LIKELY_DESIGN}') THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS study_confidence, pooled AS is_meta_analysis FROM z""")
+def evidence_signals(spark, folder):
+    got = extraction.evidence_signals(table(spark, folder, "sections").where("content is not null"), "section_id", "content")
+    return got.select("section_id", "sample_size", "tier", F.array_join("methods", "|").alias("methods"), F.size("datasets").alias("n_datasets"), "study_confidence", "is_meta_analysis")
+
+
 @query(f"""SELECT evidence_id, {KEY_SQL} AS source_key, CASE WHEN lower(trim(section_type)) IN ({", ".join(repr(s) for s in text.SECTION_TYPES)}) THEN lower(trim(section_type)) ELSE 'other' END AS section_type,
   coalesce(trim(source_sentence), '') <> '' AND coalesce(confidence BETWEEN 0 AND 1, false) AND {KEY_SQL} IS NOT NULL AS valid FROM evidence_items e LEFT JOIN papers p USING (paper_id)""".replace("coalesce(confidence", "coalesce(e.confidence"))
 def provenance_checks(spark, folder):
@@ -819,13 +898,16 @@ def ml_verdicts(spark, folder):
     return got.select("paper_id", enrichment.ml_verdict(vector_to_array("probability")[1]).alias("verdict"))
 
 
-@query("SELECT label, name FROM (SELECT label, text AS name, row_number() OVER (PARTITION BY label ORDER BY text) AS r FROM (SELECT DISTINCT label, text FROM mentions WHERE trim(text) <> '' AND regexp_matches(text, '^[\\x20-\\x7E]*$'))) WHERE r <= 500".replace("\\\\", "\\"))
-@whole
-def entity_name_cache(spark, folder, every=False):
-    """The first names per label that the request checks hold in memory: 500 in the SQL, the reference's 10,000 besides."""
-    rows = _texts(table(spark, folder, "mentions"), "text", every, r"^[\x20-\x7E]*$").where(F.trim("text") != "").select("label", F.col("text").alias("name")).distinct()
-    most = CACHED_NAMES if every else 500
-    return rows.withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy("name"))).where(F.col("r") <= most).select("label", "name")
+@query(f"SELECT label, name FROM (SELECT label, text AS name, row_number() OVER (PARTITION BY label ORDER BY text) AS r FROM (SELECT DISTINCT label, text FROM mentions WHERE trim(text) <> '')) WHERE r <= {CACHED_NAMES}")
+def entity_name_cache(spark, folder):
+    """The first names per label that the request checks hold in memory."""
+    rows = table(spark, folder, "mentions").where(F.trim("text") != "").select("label", F.col("text").alias("name")).distinct()
+    return rows.withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy("name"))).where(F.col("r") <= CACHED_NAMES).select("label", "name")
+
+
+@query("SELECT paper_id, md5(coalesce(title, '') || ' ' || coalesce(abstract, '') || ' ' || coalesce(array_to_string(mesh_terms, '|'), '')) AS hash FROM papers")
+def change_hashes(spark, folder):
+    return table(spark, folder, "papers").select("paper_id", text.change_hash(F.col("title"), F.col("abstract"), F.col("mesh_terms")).alias("hash"))
 
 
 @query("SELECT canonical_id, count(DISTINCT surface_form) AS n_forms, min(surface_form) AS first_form, max(added_at) AS last_added FROM synonyms WHERE canonical_id IS NOT NULL GROUP BY canonical_id")

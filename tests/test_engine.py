@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scholark.functions import scoring, text
-from scholark.operators import audit, claims, dedup, extraction, graph, relevance, research, resolution, similarity
+from scholark.operators import audit, claims, dedup, enrichment, extraction, graph, relevance, research, resolution, similarity
 from scholark.plans import engine, extractors, registry
 from scholark.sources import readers, sinks
 from scholark.streaming import state, windows
@@ -20,7 +20,7 @@ def one(spark, expr, **values):
     return spark.range(1).select(*[F.lit(v).alias(k) for k, v in values.items()]).select(expr.alias("x")).first()["x"]
 
 
-@pytest.mark.parametrize(("sentence", "want"), [("levels increased in stool", "increased"), ("was reduced", "decreased"), ("no change in lactate", "no_change"), ("was associated with pain", "associated"), ("increased and was associated", "increased"), ("nothing here", None), ("", None), (None, None)])
+@pytest.mark.parametrize(("sentence", "want"), [("levels increased in stool", "increased"), ("was reduced", "decreased"), ("no change in lactate", "no_change"), ("was linked to pain", "associated"), ("was associated with pain", None), ("a biomarker that increased", "increased"), ("nothing here", None), ("", None), (None, None)])
 def test_directions(spark, sentence, want):
     assert spark.createDataFrame([(sentence,)], "s string").select(text.direction(F.col("s")).alias("x")).first()["x"] == want
 
@@ -329,7 +329,7 @@ def _rest(spark, tmp_path, tables):
     return str(tmp_path)
 
 
-def test_whole_queries_keep_texts_beyond_ascii(spark, tmp_path):
+def test_queries_keep_texts_beyond_ascii(spark, tmp_path):
     texts = ["TNF-\u03b1 rose.\tIL-6 fell.", "plain. text", None, "Cafe\u0301 na\u00efve.\u2003Next"]
     folder = _rest(spark, tmp_path, {
         "evidence_items": [{"evidence_id": k, "source_sentence": t} for k, t in enumerate(texts)],
@@ -338,24 +338,74 @@ def test_whole_queries_keep_texts_beyond_ascii(spark, tmp_path):
         "mentions": [{"mention_id": 1, "label": "gene", "paper_id": "p", "text": "CAF\u00c9"}],
     })
     run = lambda name: registry.QUERIES[name](spark, folder).collect()
-    assert sorted((r["evidence_id"], r["pos"], r["sentence"]) for r in run("relation_sentences_whole")) == [(0, 0, "TNF-\u03b1 rose"), (0, 1, "IL-6 fell."), (1, 0, "plain"), (1, 1, "text"), (3, 0, "Cafe\u0301 na\u00efve"), (3, 1, "Next")]
-    assert run("stripped_tags_whole")[0]["stripped"] == "\u03b2 x"
-    assert [r["form"] for r in run("surface_forms_whole")] == ["caf\u00e9"] * 2
-    assert [(r["form"], r["n_entities"]) for r in run("synonym_conflicts_whole")] == [("caf\u00e9", 2)]
-    assert [(r["form"], r["canonical_id"], r["strategy"]) for r in run("resolution_cascade_whole")] == [("CAF\u00c9", "a", "synonym")]
-    assert run("standalone_entities_whole")[0]["n_mentions"] == 1 and len(run("ranked_candidates_whole")) == 1
+    assert sorted((r["evidence_id"], r["pos"], r["sentence"]) for r in run("relation_sentences")) == [(0, 0, "TNF-\u03b1 rose"), (0, 1, "IL-6 fell."), (1, 0, "plain"), (1, 1, "text"), (3, 0, "Cafe\u0301 na\u00efve"), (3, 1, "Next")]
+    assert run("stripped_tags")[0]["stripped"] == "\u03b2 x"
+    assert [r["form"] for r in run("surface_forms")] == ["caf\u00e9"] * 2
+    assert [(r["form"], r["n_entities"]) for r in run("synonym_conflicts")] == [("caf\u00e9", 2)]
+    assert [(r["form"], r["canonical_id"], r["strategy"]) for r in run("resolution_cascade")] == [("CAF\u00c9", "a", "synonym")]
+    assert run("standalone_entities")[0]["n_mentions"] == 1 and [(r["canonical_id"], r["rank"]) for r in sorted(run("ranked_candidates"), key=lambda r: r["rank"])] == [("a", 1), ("b", 2)]
 
 
 def test_every_mention_has_short_long_and_greek_terms(spark):
     items = spark.createDataFrame([(1, "TNF-\u03b1 and IL-6 in A. bcd; the bile salt hydrolase gene of E. coli"), (2, None), (3, "")], "evidence_id long, source_sentence string")
     terms = spark.createDataFrame([("gene", "TNF-\u03b1"), ("gene", "IL-6"), ("gene", "the bile salt hydrolase gene"), ("taxon", "E. coli"), ("gene", "x"), ("disease", "bcd"), ("gene", "TNF")], "label string, term string")
-    got = {(r["evidence_id"], r["label"], r["term"]) for r in extraction.every_mention(items, "evidence_id", "source_sentence", terms).collect()}
+    got = {(r["evidence_id"], r["label"], r["term"]) for r in extraction.dictionary_mentions(items, "evidence_id", "source_sentence", terms).collect()}
     assert got == {(1, "gene", "tnf-\u03b1"), (1, "gene", "il-6"), (1, "gene", "the bile salt hydrolase gene"), (1, "taxon", "e coli")}
 
 
+def test_resolution_strategies_in_order(spark):
+    forms = spark.createDataFrame([(f, "taxon") for f in ("Rosa canina", "ROSA  CANINA!", "RC", "R. canina", "R. alba", "dog rose", "Rosa canima", "Ros canima", "zzz", "R. minor", None)], "form string, entity_type string")
+    entities = spark.createDataFrame([("t1", "Rosa canina", "taxon"), ("t2", "Rosa alba", "taxon"), ("t3", "Rumex alba", "taxon"), ("t4", "Rubus minor", "taxon"), ("t5", "Rheum minor", "taxon"), ("t6", "Ruta minor", "taxon")], "canonical_id string, primary_name string, entity_type string")
+    synonyms = spark.createDataFrame([("t1", "dog rose"), ("t2", "dog rose"), (None, "zzz")], "canonical_id string, surface_form string")
+    short = spark.createDataFrame([("RC", "Rosa canina")], "abbreviated_form string, full_form string")
+    said = spark.createDataFrame([("Dog Rose", "taxon", "t9")], "surface_form string, entity_type string, canonical_id string")
+    got = {r["form"]: (r["canonical_id"], r["strategy"]) for r in resolution.resolve(forms, entities, synonyms, short).collect()}
+    assert got == {
+        "Rosa canina": ("t1", "exact"), "ROSA  CANINA!": ("t1", "exact"), "RC": ("t1", "abbreviation"), "R. canina": ("t1", "abbreviation"), "R. alba": ("t2", "abbreviation"), "dog rose": ("t1", "synonym"),
+        "Rosa canima": ("t1", "fuzzy"), "Ros canima": ("t1", "fuzzy"), "zzz": (None, "unresolved"), "R. minor": (None, "unresolved"),
+    }
+    over = resolution.resolve(forms, entities, synonyms, short, overrides=said, hierarchy=spark.createDataFrame([("t1", "g1")], "child string, parent string"))
+    assert {r["form"]: (r["canonical_id"], r["strategy"]) for r in over.collect()}["dog rose"] == ("t9", "manual_override")
+
+
+def test_evidence_signals_by_tier(spark):
+    rows = [(1, "We screened 4,000 and 3200 abstracts. We enrolled 120; 45 patients left."), (2, "(n = 30), enrolled 500"), (3, "a cohort of 77"), (4, "forest plot of 90 people"), (5, "90 people gave stool; 16S rRNA and RNA-seq, PRJNA123456"), (6, ""), (7, None), (8, "n=1, n=700000")]
+    got = {r["k"]: r for r in extraction.evidence_signals(spark.createDataFrame(rows, "k int, t string"), "k", "t").collect()}
+    assert [(got[k]["sample_size"], got[k]["tier"]) for k in range(1, 9)] == [(120, 2), (30, 1), (77, 4), (0, 99), (90, 7), (0, 99), (0, 99), (0, 99)]
+    assert got[5]["methods"] == ["16S rRNA sequencing", "RNA-seq"] and got[5]["datasets"] == ["PRJNA123456"] and got[4]["is_meta_analysis"]
+
+
+def test_availability_order(spark):
+    rows = [(1, "No new data were generated. SRP123456"), (2, "See SRR1234567 and srr1234567, PRJEB12345 at https://zenodo.org/record/12"), (3, "at https://osf.io/abcde"), (4, "Data are publicly available"), (5, "upon reasonable request to a.b@uni.example"), (6, "nothing"), (7, "E-MTAB-1234 and GSE12345")]
+    got = {r["k"]: r for r in extraction.availability(spark.createDataFrame(rows, "k int, t string"), "k", "t").collect()}
+    assert [got[k]["status"] for k in range(1, 8)] == ["not_stated", "accession_linked", "open", "open", "restricted", "not_stated", "accession_linked"]
+    assert got[2]["repositories"] == ["SRA", "NCBI BioProject", "Zenodo"] and got[1]["accessions"] == [] and got[7]["repositories"] == ["GEO", "ArrayExpress"]
+    assert got[5]["contact"] == "Contact: a.b@uni.example"
+
+
+def test_study_designs(spark):
+    rows = [("a", "A double-blind, placebo-controlled trial", None), ("b", "cohort study", "prospective cohort"), ("c", None, None), ("d", "x", "clinical trial registration only"), ("e", "pilot study of a case report", "")]
+    got = {r["paper_id"]: (r["design"], r["confidence"]) for r in extraction.study_design(spark.createDataFrame(rows, "paper_id string, title string, abstract string")).collect()}
+    assert got == {"a": ("rct", 0.95), "b": ("cohort", 0.85), "c": (None, None), "d": (None, None), "e": ("case_report", 0.9)}
+
+
+def test_interventions_and_effects(spark):
+    sections = spark.createDataFrame([(1, "p", "methods", 0, "40 participants took inulin and kefir, 10^9 CFU daily for 6 weeks on Illumina; Metm sorting"), (2, "p", "results", 1, "kefir"), (3, "q", "methods", None, None)], "section_id long, paper_id string, section_type string, sec_pos int, content string")
+    found = enrichment.interventions(sections)
+    got = {r["intervention_type"]: (r["keyword"], r["duration"], r["dosage"], r["sample_size"]) for r in found.collect()}
+    assert got == {"probiotic": ("kefir", "6 weeks", "10^9 cfu", 40), "prebiotic": ("inulin", "6 weeks", "10^9 cfu", 40), "fermented_food": ("kefir", "6 weeks", "10^9 cfu", 40)}
+    items = spark.createDataFrame([(1, "p", "B. minor increased with inulin (p = 0.01)"), (2, "p", "B. minor increased with inulin (p = 0.2)"), (3, "p", "B. minor rose with inulin"), (4, "p", None)], "evidence_id long, paper_id string, source_sentence string")
+    taxa = spark.createDataFrame([(k, "b minor") for k in (1, 2, 3)], "evidence_id long, taxon string")
+    rows = enrichment.intervention_effects(items, taxa, found).collect()
+    assert [(r["evidence_id"], r["intervention_type"], r["confidence"]) for r in rows] == [(1, "prebiotic", 1.0)]
+    mentions = spark.createDataFrame([("p", "method", "Metm Sorting"), ("p", "taxon", "kefir")], "paper_id string, label string, text string")
+    used = enrichment.methodology_usage(sections, mentions).collect()
+    assert [(r["method"], r["platform"], r["sample_size"]) for r in used] == [("metm sorting", "Illumina", 40)]
+
+
 def test_name_cache_holds_as_many_names_as_the_reference(spark, tmp_path):
     rows = [{"mention_id": k, "label": "taxon", "text": f"n{k:05d}"} for k in range(10_003)] + [{"mention_id": 20_000, "label": "gene", "text": "TNF-\u03b1"}]
-    got = registry.QUERIES["entity_name_cache_whole"](spark, _rest(spark, tmp_path, {"mentions": rows})).collect()
+    got = registry.QUERIES["entity_name_cache"](spark, _rest(spark, tmp_path, {"mentions": rows})).collect()
     names = {label: [r["name"] for r in got if r["label"] == label] for label in ("taxon", "gene")}
     assert sorted(names["taxon"]) == [f"n{k:05d}" for k in range(10_000)] and names["gene"] == ["TNF-\u03b1"]
 
