@@ -49,29 +49,42 @@ def promote_triples(triples: DataFrame, papers: DataFrame) -> DataFrame:
 
 
 def aggregate_open_world(promoted: DataFrame, min_papers: int = 2) -> DataFrame:
-    """One claim per (subject, predicate, object) over all papers; names from the first triple."""
-    got = promoted.groupBy("subject_id", "canonical_predicate", "object_id").agg(
-        F.min_by("subject_name", "ord").alias("subject_name"), F.min_by("object_name", "ord").alias("object_name"), F.min_by("object_type", "ord").alias("object_type"),
-        F.count_distinct("paper_id").alias("paper_count"), F.avg("confidence").alias("consensus_confidence"), scoring.claim_strength(F.col("evidence_strength")).alias("evidence_strength"),
+    """One claim per (subject, predicate, object) over all papers; names from the first triple.
+
+    Triples of one paper are combined first, so papers are counted without a distinct aggregate, and no buffer holds a
+    string (hash aggregates throughout); names are looked up for the claims that remain.
+    """
+    key = ["subject_id", "canonical_predicate", "object_id"]
+    rank = scoring.strength_rank(F.col("evidence_strength"))
+    papers = promoted.groupBy(*key, "paper_id").agg(
+        F.sum("confidence").alias("c"), F.count("confidence").alias("n"), F.count_if(rank >= 2).alias("fair"), F.max(rank).alias("best"), F.min("ord").alias("ord"),
         F.min("extracted_at").alias("first_reported"), F.max("extracted_at").alias("last_updated"),
     )
-    key = F.concat_ws("|", "subject_id", "canonical_predicate", "object_id")
-    return got.where(F.col("paper_count") >= min_papers).withColumn("claim_id", F.sha2(key, 256))
+    got = papers.groupBy(*key).agg(
+        F.count("paper_id").alias("paper_count"), F.try_divide(F.sum("c"), F.sum("n")).alias("consensus_confidence"), F.sum("fair").alias("fair"), F.max("best").alias("best"), F.min("ord").alias("ord"),
+        F.min("first_reported").alias("first_reported"), F.max("last_updated").alias("last_updated"),
+    ).where(F.col("paper_count") >= min_papers)
+    strength = F.when(F.col("fair") >= 3, "strong").otherwise(scoring.strength_name(F.col("best")))
+    # ``ord`` numbers the triples; where it repeats, the first of a claim's own rows counts
+    names = promoted.select("ord", *key, "subject_name", "object_name", "object_type")
+    got = got.join(names, ["ord", *key])
+    return got.select(*key, "subject_name", "object_name", "object_type", "paper_count", "consensus_confidence", strength.alias("evidence_strength"), "first_reported", "last_updated", F.sha2(F.concat_ws("|", *key), 256).alias("claim_id"))
 
 
 def reify(relations: DataFrame, papers: DataFrame) -> DataFrame:
     """Claims per (source, predicate, target): mean confidence, distinct papers, strength from the first p-value.
 
-    A claim with any supporting evidence below .5 is rejected as a whole.
+    A claim with any supporting evidence below .5 is rejected as a whole.  Combined per paper first, without strings in a
+    buffer; of the first paper's first relation the article type is looked up for the claims that remain.
     """
-    rows = relations.join(papers.select("paper_id", "article_type"), "paper_id", "left")
-    got = rows.groupBy("taxon_id", "direction", "disease").agg(
-        F.avg("confidence").alias("c"), F.min("confidence").alias("least"), F.count_distinct("paper_id").alias("paper_count"),
-        F.min_by(F.struct("p_value", "article_type"), F.struct("paper_id", "ord")).alias("first"),
-    )
-    got = got.where((F.col("least") >= 0.5) & F.col("direction").isNotNull())
-    strength = scoring.strength_from_p(F.col("first.p_value"), F.col("first.article_type"))
-    return got.select("taxon_id", "direction", "disease", F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), "c")), 6).alias("consensus_confidence"), "paper_count", strength.alias("evidence_strength"))
+    key = ["taxon_id", "direction", "disease"]
+    rows = relations.where("direction is not null")
+    first = F.min(F.struct("ord", "p_value"))
+    papers_of = rows.groupBy(*key, "paper_id").agg(F.sum("confidence").alias("c"), F.count("confidence").alias("n"), F.min("confidence").alias("least"), first.alias("f"))
+    got = papers_of.groupBy(*key).agg(F.try_divide(F.sum("c"), F.sum("n")).alias("c"), F.min("least").alias("least"), F.count("paper_id").alias("paper_count"), F.min(F.struct("paper_id", "f.p_value")).alias("first"))
+    got = got.where(F.col("least") >= 0.5).select(*key, "c", "paper_count", F.col("first.paper_id").alias("paper_id"), F.col("first.p_value").alias("p_value"))
+    got = got.join(papers.select("paper_id", "article_type"), "paper_id", "left")
+    return got.select(*key, F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), "c")), 6).alias("consensus_confidence"), "paper_count", scoring.strength_from_p(F.col("p_value"), F.col("article_type")).alias("evidence_strength"))
 
 
 def folded_confidence(items: DataFrame, claim: str, confidence: str, order: list[str]) -> DataFrame:
