@@ -73,8 +73,54 @@ def latency_percentiles(log: DataFrame, source: str, value: str) -> DataFrame:
     return log.groupBy(source).agg(F.round(F.percentile(value, 0.5), 6).alias("p50"), F.round(F.percentile(value, 0.95), 6).alias("p95"), F.count("*").alias("n_rows"))
 
 
-def accepted_in_window(requests: DataFrame, client: str, ts: str, seconds: int, most: int) -> DataFrame:
-    """Approximate limiter over a batch: a request passes while fewer than ``most`` came in the window before it."""
-    at = F.unix_micros(F.col(ts).cast("timestamp"))
-    w = Window.partitionBy(client).orderBy(at).rangeBetween(-(seconds * 1_000_000 - 1), 0)
-    return requests.select("event_id", client, (F.count("*").over(w) <= most).alias("accepted"))
+def accepted_in_window(requests: DataFrame, client: str, ts: str, seconds: int, most: int, key: str = "event_id") -> DataFrame:
+    """(key, client, accepted): a request passes while fewer than ``most`` accepted ones lie within ``seconds`` before it.
+
+    Clients come one after the other in time (a sorted partition), so a task holds the accepted times of one client in
+    the window, at most ``most`` numbers, however many requests the client makes.
+    """
+    from collections import deque
+    from collections.abc import Iterator
+
+    import pyarrow as pa
+
+    kinds = dict(requests.select(key, client).dtypes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, kept = object(), deque()
+        for batch in batches:
+            verdicts = []
+            for c, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if c != now:
+                    now, kept = c, deque()
+                while kept and kept[0] <= t - seconds * 1_000_000:
+                    kept.popleft()
+                ok = len(kept) < most
+                if ok:
+                    kept.append(t)
+                verdicts.append(ok)
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(verdicts, pa.bool_())], names=[key, client, "accepted"])
+
+    rows = requests.where(F.col(client).isNotNull() & F.col(ts).isNotNull()).select(key, client, F.unix_micros(F.col(ts).cast("timestamp")).alias("at"))
+    return rows.repartition(client).sortWithinPartitions(client, "at", key).mapInArrow(run, f"{key} {kinds[key]}, {client} {kinds[client]}, accepted boolean")
+
+
+# Required properties and allowed directions of each relation type.
+RELATIONS = (
+    ("REPORTS_ASSOCIATION", ("increased", "decreased", "no_change", "associated")), ("REPORTS_INTERVENTION_EFFECT", ("increased", "decreased", "no_change")), ("TAXON_PRODUCES_METABOLITE", ("produces", "inhibits", "associated")),
+    ("TAXON_MODULATES_PATHWAY", ("activates", "inhibits", "associated")), ("TAXON_REGULATES_GENE", ("upregulates", "downregulates", "associated")), ("TAXON_INFLUENCES_IMMUNE_CELL", ("activates", "suppresses", "recruits", "associated")),
+    ("TAXON_AFFECTS_CLINICAL_OUTCOME", ("improves", "worsens", "associated")), ("METABOLITE_LINKED_TO_DISEASE", ("increased", "decreased", "associated")), ("METABOLITE_INDUCES_IMMUNE_RESPONSE", ("activates", "suppresses", "associated")),
+    ("GENE_PREDISPOSES_TO_DISEASE", ("predisposes", "protective", "associated")), ("DIET_SHAPES_TAXON", ("enriches", "depletes", "associated")), ("ENVIRONMENT_SHAPES_TAXON", ("enriches", "depletes", "associated")),
+)
+
+
+def typed_errors(rel: Column, direction: Column, p_value: Column, sample_size: Column | None = None) -> Column:
+    """Names of the checks a typed relation fails: its type, a direction of the type, p in [0, 1], a positive sample."""
+    allowed = F.lit(False)
+    for name, directions in RELATIONS:
+        allowed = F.when(rel == name, F.coalesce(direction.isin(*directions), F.lit(False))).otherwise(allowed)
+    known = F.coalesce(rel.isin(*[n for n, _ in RELATIONS]), F.lit(False))
+    checks = [("type", ~known), ("direction", known & ~allowed), ("p_value", p_value.isNotNull() & ~p_value.between(0.0, 1.0))]
+    if sample_size is not None:
+        checks.append(("sample_size", sample_size.isNotNull() & (sample_size <= 0)))
+    return F.filter(F.array(*[F.when(bad, F.lit(name)) for name, bad in checks]), lambda x: x.isNotNull())

@@ -5,11 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import scoring
+from ..functions import lexicon, scoring
 
-# Known predicates, in the order in which they are tried.
-PREDICATES = (("associated with", "ASSOCIATED_WITH"), ("correlates", "ASSOCIATED_WITH"), ("inhibits", "INHIBITS"), ("suppresses", "INHIBITS"), ("promotes", "PROMOTES"), ("activates", "PROMOTES"), ("increases", "INCREASES"), ("decreases", "DECREASES"))
-CATEGORY_WORDS = (("regulation", ("inhibits", "promotes", "activates", "suppresses", "regulates")), ("change", ("increases", "decreases", "alters")), ("association", ("associated", "correlates", "linked")))
 OPPOSITES = (("INHIBITS", "PROMOTES"), ("INCREASES", "DECREASES"))
 
 
@@ -17,25 +14,35 @@ def canonical_predicate(raw: Column) -> Column:
     """Exact entry, else the first entry that contains or is contained in the phrase, else RELATES_TO."""
     low = F.lower(F.trim(raw))
     loose = F.lit("RELATES_TO")
-    for known, name in reversed(PREDICATES):
+    for known, name in reversed(lexicon.PREDICATES):
         loose = F.when(low.contains(known) | F.contains(F.lit(known), low), name).otherwise(loose)
     exact = F.lit(None).cast("string")
-    for known, name in PREDICATES:
+    for known, name in reversed(lexicon.PREDICATES):
         exact = F.when(low == known, name).otherwise(exact)
     return F.coalesce(exact, loose)
 
 
 def predicate_category(raw: Column) -> Column:
-    """Category with the most keyword votes; the first on ties; ``other`` without votes."""
-    words = F.split(F.lower(raw), r"[^a-z]+")
-    votes = [F.size(F.array_intersect(words, F.array(*[F.lit(x) for x in k]))) for _, k in CATEGORY_WORDS]
+    """Category with the most votes of words; the first on ties; ``generic`` without votes."""
+    words = F.split(F.translate(F.lower(raw), "_-", "  "), r"\s+")
+    count = lambda known: F.size(F.filter(words, lambda w: w.isin(*known.split())))
+    votes = [count(known) for _, known in lexicon.CATEGORIES]
     top = F.greatest(*votes)
-    out = F.lit("other")
-    for (name, _), v in reversed(list(zip(CATEGORY_WORDS, votes, strict=True))):
+    out = F.lit("generic")
+    for (name, _), v in reversed(list(zip(lexicon.CATEGORIES, votes, strict=True))):
         out = F.when((v == top) & (top > 0), name).otherwise(out)
     return out
 
 
+def promoted_predicate(raw: Column) -> Column:
+    """The canonical form of a promoted predicate; fragments, stop words and words about records are RELATES_TO."""
+    v = F.lower(F.trim(raw))
+    bad = (F.length(v) > lexicon.LONGEST_PREDICATE) | v.isin(*lexicon.NO_PREDICATES.split())
+    for w in lexicon.RECORD_WORDS:
+        bad = bad | v.contains(w)
+    return F.when(bad, "RELATES_TO").otherwise(F.translate(F.upper(v), " -", "__"))
+
+
 def promote_triples(triples: DataFrame, papers: DataFrame) -> DataFrame:
     """Triples with evidence and a confidence of at least .5, with canonical predicate, category and strength."""
     rows = triples.where((F.col("confidence") >= 0.5) & (F.trim("evidence") != ""))

@@ -9,8 +9,8 @@ from ..functions.text import dedup_key
 
 # Source priority of the collectors.
 PRIORITY = ("pubmed", "europepmc", "semantic_scholar", "openalex", "crossref", "core")
-FILLED = ("title", "abstract", "doi", "pmid", "pmcid", "journal", "issn", "publication_date", "publication_year", "citation_count")
-LISTS = ("authors", "keywords", "mesh_terms")
+FILLED = ("title", "doi", "pmid", "pmcid", "abstract", "journal", "issn", "publication_date", "publication_year", "volume", "issue", "pages", "citation_count", "reference_count", "full_text_url", "pdf_url")
+LISTS = ("authors", "keywords", "mesh_terms", "article_types")
 DEPOSIT = "10.5281/zenodo."
 
 
@@ -41,12 +41,19 @@ def merge_records(df: DataFrame, order: tuple[str, ...] = ("paper_id",)) -> Data
     All aggregates are partial (min_by), so a key that a third of all rows share is combined before the shuffle; only
     list fields gather arrays, of distinct lists.
     """
-    rows = record_key(df).where("dedup_key is not null").withColumn("rank", F.struct(source_priority(F.col("source")), *[F.col(c) for c in order]))
+    rows = record_key(df).where("dedup_key is not null")
+    # of a deposit's versions the latest comes first, else the sources' order counts
+    version = -F.coalesce(F.nullif(F.regexp_extract("doi", r"(?i)zenodo\.([0-9]+)", 1), F.lit("")).try_cast("bigint"), F.lit(0))
+    place = F.when(F.col("dedup_key").startswith("deposit:"), version).otherwise(source_priority(F.col("source")).cast("bigint"))
+    rows = rows.withColumn("rank", F.struct(place.alias("place"), *[F.col(c) for c in order]))
     present = lambda c: F.col(c).isNotNull() & (F.col(c).cast("string") != "")
     fields = [F.min_by(F.when(present(c), F.col(c)), F.when(present(c), F.col("rank"))).alias(c) for c in FILLED if c in df.columns]
     lists = [F.sort_array(F.collect_set(F.when(F.size(c) > 0, F.struct("rank", F.col(c).alias("v"))))).alias(f"{c}_lists") for c in LISTS if c in df.columns]
-    sources = F.array_join(F.array_sort(F.collect_set(F.lower(F.trim("source")))), "+").alias("sources")
-    got = rows.groupBy("dedup_key").agg(F.count("*").alias("n_records"), sources, F.coalesce(F.bool_or("is_open_access"), F.lit(False)).alias("is_open_access"), *fields, *lists)
+    # the distinct sources in order: at most one entry a source
+    named = F.array_sort(F.collect_set(F.struct(source_priority(F.col("source")).alias("k"), F.lower(F.trim("source")).alias("s"))))
+    joined = F.array_join(F.transform(named, lambda x: x["s"]), "+")
+    source = F.when(F.count("*") > 1, F.concat(F.lit("merged:"), joined)).otherwise(joined).alias("source")
+    got = rows.groupBy("dedup_key").agg(F.count("*").alias("n_records"), source, F.coalesce(F.bool_or("is_open_access"), F.lit(False)).alias("is_open_access"), *fields, *lists)
     for c in LISTS:
         if c in df.columns:
             got = got.withColumn(c, union_case_insensitive(F.transform(f"{c}_lists", lambda x: x["v"]))).drop(f"{c}_lists")

@@ -63,6 +63,29 @@ def route(rule_keep: Column, verdict: Column, rule: Column, embedding: Column) -
     return ((verdict == "KEEP") & ~rule_keep) | ((verdict == "REJECT") & rule_keep) | blended.between(0.40, 0.70)
 
 
+def decide(rows: DataFrame, keep: float = 0.45, reject: float = 0.1) -> DataFrame:
+    """(stage, keep, review) of the whole cascade: the first decisive stage wins.
+
+    Columns: ``m`` (verdict of the subject headings), ``gate``, ``rule``, ``probability`` (stage 3), ``embedding`` (verdict of
+    stage 3.5) with its ``similarity``, ``llm_keep`` and ``llm_confidence`` (stage 4; null where it gave no answer).  Stage 3.5
+    is final unless it contradicts the rules or the blended score is in the middle; then the verifier decides, and what
+    it isn't sure of goes to a human.
+    """
+    rule, p, e = F.col("rule"), F.col("probability"), F.col("embedding")
+    out = lambda stage, kept, review=False: F.struct(F.lit(stage).alias("stage"), (kept if isinstance(kept, Column) else F.lit(kept)).alias("keep"), F.lit(review).alias("review"))
+    none = F.lit(None).cast("struct<stage:string,keep:boolean,review:boolean>")
+    routed = route(rule >= keep, e, rule, F.col("similarity"))
+    sure = F.col("llm_confidence") >= 0.70
+    middle = F.col("llm_confidence").between(0.50, 0.70)
+    verifier = F.when(F.col("llm_confidence").isNull(), out("stage4", None, True)).when(sure, F.struct(F.lit("stage4").alias("stage"), F.col("llm_keep").alias("keep"), F.lit(False).alias("review"))).when(middle, out("stage4", None, True)).otherwise(out("stage4", False))
+    verdict = F.coalesce(
+        F.when(F.col("m") == "KEEP", out("stage1", True)).when(F.col("m") == "REJECT", out("stage1", False)).otherwise(none), F.when(~F.col("gate"), out("gate", False, True)).otherwise(none),
+        F.when(rule >= keep, out("stage2", True)).when(rule <= reject, out("stage2", False)).otherwise(none), F.when(p >= 0.85, out("stage3", True)).when(p <= 0.15, out("stage3", False)).otherwise(none),
+        F.when(e.isin("KEEP", "REJECT") & ~routed, F.struct(F.lit("stage3.5").alias("stage"), (e == "KEEP").alias("keep"), F.lit(False).alias("review"))).otherwise(none), verifier,
+    )
+    return rows.withColumn("v_", verdict).select(*[c for c in rows.columns], F.col("v_.stage").alias("stage"), F.col("v_.keep").alias("keep"), F.col("v_.review").alias("review"))
+
+
 def sweep_counts(df: DataFrame, score: str, label: str) -> DataFrame:
     """Per distinct score: rows, positives, precision of keeping from here up, recall of rejecting all below.
 

@@ -205,30 +205,46 @@ def relation_statistics(spark, folder):
 
 # ---- dedup and merge ----------------------------------------------------------------------------------------------
 
+TITLE_SQL = r"substr(trim(regexp_replace(regexp_replace(lower(title), '[^a-z0-9\s]', '', 'g'), '\s+', ' ', 'g')), 1, 120)"
+DEPOSIT_SQL = f"starts_with(lower(trim(doi)), '{dedup.DEPOSIT}') AND {TITLE_SQL} <> ''"
 KEY_SQL = "coalesce('doi:' || lower(nullif(trim(doi), '')), 'pmid:' || nullif(trim(pmid), ''), 'title:' || left(lower(nullif(trim(title), '')), 80))"
 RANK_SQL = "CASE lower(trim(source)) WHEN 'pubmed' THEN 0 WHEN 'europepmc' THEN 1 WHEN 'semantic_scholar' THEN 2 WHEN 'openalex' THEN 3 WHEN 'crossref' THEN 4 WHEN 'core' THEN 5 ELSE 6 END"
 
 
-@query(f"SELECT paper_id, {KEY_SQL} AS dedup_key FROM papers")
+MERGE_KEY_SQL = f"CASE WHEN {DEPOSIT_SQL} THEN 'deposit:' || {TITLE_SQL} ELSE {KEY_SQL} END"
+
+
+@query(f"SELECT paper_id, {MERGE_KEY_SQL} AS dedup_key FROM papers")
 def dedup_keys(spark, folder):
     return dedup.record_key(table(spark, folder, "papers")).select("paper_id", "dedup_key")
 
 
+PLACE_SQL = f"CASE WHEN starts_with(dedup_key, 'deposit:') THEN -coalesce(try_cast(nullif(regexp_extract(doi, '(?i)zenodo\\.([0-9]+)', 1), '') AS BIGINT), 0) ELSE {RANK_SQL} END"
+PRESENT = [c for c in dedup.FILLED if c not in ("volume", "issue", "pages", "reference_count", "full_text_url", "pdf_url")]  # of the tables at hand
+
+
 def _first(col: str) -> str:
-    return f"arg_min({col}, {{'r': {RANK_SQL}, 'p': paper_id}}) FILTER ({col} IS NOT NULL AND CAST({col} AS VARCHAR) <> '') AS {col}"
+    return f"arg_min({col}, {{'r': place, 'p': paper_id}}) FILTER ({col} IS NOT NULL AND CAST({col} AS VARCHAR) <> '') AS {col}"
 
 
 @query(f"""
-WITH k AS (SELECT *, {KEY_SQL} AS dedup_key FROM papers)
-SELECT dedup_key, count(*) AS n_records, coalesce(string_agg(DISTINCT lower(trim(source)), '+' ORDER BY lower(trim(source))), '') AS sources, coalesce(bool_or(is_open_access), false) AS is_open_access, {", ".join(_first(c) for c in dedup.FILLED)}
-FROM k WHERE dedup_key IS NOT NULL GROUP BY dedup_key""")
+WITH k0 AS (SELECT *, {MERGE_KEY_SQL} AS dedup_key FROM papers), k AS (SELECT *, {PLACE_SQL} AS place, {RANK_SQL} || ':' || lower(trim(source)) AS named FROM k0 WHERE dedup_key IS NOT NULL),
+g AS (SELECT dedup_key, count(*) AS n_records, coalesce(array_to_string(list_transform(list_sort(list(DISTINCT named) FILTER (named IS NOT NULL)), lambda x: substr(x, 3)), '+'), '') AS s, coalesce(bool_or(is_open_access), false) AS is_open_access, {", ".join(_first(c) for c in PRESENT)} FROM k GROUP BY dedup_key)
+SELECT * EXCLUDE (s), CASE WHEN n_records > 1 THEN 'merged:' || s ELSE s END AS source FROM g""")
 def merge_records(spark, folder):
     return dedup.merge_records(table(spark, folder, "papers").drop(*dedup.LISTS))
 
 
-@query()
+def _list_sql(col: str) -> str:
+    return f"""{col}_v AS (SELECT DISTINCT dedup_key, place, paper_id, {col} AS v FROM k WHERE len({col}) > 0), {col}_u AS (SELECT dedup_key, place, paper_id, p, v[p] AS x FROM (SELECT *, unnest(range(1, len(v) + 1)) AS p FROM {col}_v)),
+{col}_f AS (SELECT *, row_number() OVER (PARTITION BY dedup_key, lower(x) ORDER BY place, paper_id, p) AS n FROM {col}_u), {col}_l AS (SELECT dedup_key, string_agg(x, '|' ORDER BY place, paper_id, p) AS {col} FROM {col}_f WHERE n = 1 GROUP BY dedup_key)"""
+
+
+@query(f"""WITH k0 AS (SELECT *, {MERGE_KEY_SQL} AS dedup_key FROM papers), k AS (SELECT *, {PLACE_SQL} AS place FROM k0 WHERE dedup_key IS NOT NULL), {", ".join(_list_sql(c) for c in dedup.LISTS)}
+SELECT dedup_key, {", ".join(f"coalesce({c}, '') AS {c}" for c in dedup.LISTS)} FROM (SELECT DISTINCT dedup_key FROM k) {" ".join(f"LEFT JOIN {c}_l USING (dedup_key)" for c in dedup.LISTS)}""")
 def merge_record_lists(spark, folder):
-    return dedup.merge_records(table(spark, folder, "papers")).select("dedup_key", *dedup.LISTS)
+    got = dedup.merge_records(table(spark, folder, "papers"))
+    return got.select("dedup_key", *[F.array_join(c, "|").alias(c) for c in dedup.LISTS])
 
 
 @query("SELECT paper_id, md5(coalesce(title, 'None') || '|' || coalesce(abstract, 'None') || '|' || coalesce(array_to_string(authors, '|'), '')) AS hash FROM papers")
@@ -347,7 +363,7 @@ def dictionary_mentions(spark, folder):
 def _pair_query(name: str, spec: extraction.Spec) -> None:
     prop = _case(spec.properties, "x.raw") if spec.properties else "NULL::VARCHAR"
     sql = f"""WITH {OCCURRENCES}, r AS (SELECT x.evidence_id, x.paper_id, x.raw AS s, x.term AS source, y.term AS target, {_case(spec.directions, "x.raw")} AS direction, {prop} AS property FROM occ x JOIN occ y ON x.evidence_id = y.evidence_id AND x.label = '{spec.source}' AND y.label = '{spec.target}'),
-      q AS (SELECT *, {P_SQL} AS p_value FROM r WHERE direction IS NOT NULL), k AS ({ARTICLE_SQL})
+      q AS (SELECT *, {P_SQL} AS p_value FROM r WHERE direction IS NOT NULL), k AS (SELECT paper_id, article_type FROM ({ARTICLE_SQL}))
       SELECT '{name}' AS relation_type, evidence_id, source, target, direction, property, p_value, CASE WHEN p_value IS NULL THEN 0.5::DOUBLE ELSE 0.8::DOUBLE END AS confidence,
         CASE WHEN p_value < 0.01 AND article_type IN ('original_research', 'meta_analysis') THEN 'strong' WHEN p_value < 0.05 THEN 'moderate' ELSE 'weak' END AS evidence_strength FROM q LEFT JOIN k USING (paper_id)"""
 
@@ -360,10 +376,23 @@ def _pair_query(name: str, spec: extraction.Spec) -> None:
     query(sql)(run)
 
 
-ARTICLE_SQL = r"""
-SELECT paper_id, CASE WHEN len(list_filter(article_types, lambda t: lower(t) LIKE '%meta-analysis%')) > 0 THEN 'meta_analysis' WHEN len(list_filter(article_types, lambda t: lower(t) LIKE '%review%')) > 0 THEN 'review'
-  WHEN len(list_filter(article_types, lambda t: lower(t) LIKE '%trial%')) > 0 THEN 'clinical_trial' WHEN is_preprint THEN 'preprint' WHEN regexp_matches(coalesce(title, ''), '(?i)\b(meta-analysis|systematic review)\b') THEN 'meta_analysis'
-  WHEN regexp_matches(coalesce(abstract, ''), '(?i)\bwe (?:enrolled|compared|analy[sz]ed|profiled)\b') THEN 'original_research' ELSE 'unknown' END AS article_type FROM papers"""
+def _first_sql(col: str, rows: tuple) -> str:
+    return "CASE " + " ".join(f"WHEN regexp_matches({col}, '(?is){re2(p)}') THEN {{'kind': '{k}', 'c': {c}::DOUBLE}}" for p, k, c in rows) + " END"
+
+
+def _article_sql() -> str:
+    tags = "CASE " + " ".join(f"WHEN list_has_any(tags, [{', '.join(repr(t) for k, names in lexicon.TAGS if k == kind for t in names)}]) THEN {{'kind': '{kind}', 'c': 1.0::DOUBLE}}" for kind in lexicon.TYPES) + " END"
+    found = ", ".join(f"CASE WHEN regexp_matches(a, '(?is){re2(p)}') THEN {{'c': {c}::DOUBLE, 'k': {-n}, 'kind': '{k}'}} END" for n, (p, k, c) in enumerate(lexicon.ABSTRACTS))
+    parts = " + ".join(f"CASE WHEN contains(a, '{w}') THEN 1 ELSE 0 END" for w in lexicon.PARTS)
+    return f"""WITH r0 AS (SELECT paper_id, list_transform(coalesce(article_types, []), lambda v: lower(trim(v, ' '))) AS tags, lower(coalesce(title, '')) AS t, lower(coalesce(abstract, '')) AS a FROM papers),
+r1 AS (SELECT *, {parts} AS parts, list_max(list_filter([{found}], lambda z: z IS NOT NULL)) AS best FROM r0),
+r2 AS (SELECT paper_id, coalesce({tags}, {_first_sql("t", lexicon.TITLES)}, CASE WHEN best IS NOT NULL THEN {{'kind': best.kind, 'c': best.c}} END,
+  CASE WHEN parts >= 2 THEN coalesce({_first_sql("a", lexicon.OVERRIDES)}, CASE WHEN parts >= 3 THEN {{'kind': 'original_research', 'c': 0.60::DOUBLE}} ELSE {{'kind': 'original_research', 'c': 0.55::DOUBLE}} END) END,
+  CASE WHEN list_contains(tags, '{lexicon.GENERIC_TAG}') THEN {{'kind': 'original_research', 'c': 0.65::DOUBLE}} END, {{'kind': 'unknown', 'c': 0.40::DOUBLE}}) AS x FROM r1)
+SELECT paper_id, x.kind AS article_type, x.c AS confidence FROM r2"""
+
+
+ARTICLE_SQL = _article_sql()
 
 
 for _name, _spec in extraction.SPECS.items():
@@ -537,10 +566,11 @@ def _partition_best(spark, folder):
 BEST_SQL = f"b AS (SELECT q.vec_id AS query_id, max({COS_SQL}) FILTER (v.label % 2 = 1) AS s1, max({COS_SQL}) FILTER (v.label % 2 = 0) AS s0 FROM embeddings q JOIN embeddings v ON q.vec_id % 100 = 0 AND q.vec_id <> v.vec_id GROUP BY q.vec_id)"
 
 
-@query(f"WITH {BEST_SQL} SELECT query_id, round(s1, 4) AS positive, round(s0, 4) AS negative, CASE WHEN s1 >= 0.85 AND s0 < 0.60 THEN 'KEEP' WHEN s0 >= 0.85 AND s1 < 0.60 THEN 'REJECT' ELSE 'BORDERLINE' END AS verdict FROM b")
+@query(f"WITH {BEST_SQL} SELECT query_id, round(s1, 4) AS positive, round(s0, 4) AS negative, CASE WHEN (SELECT count(*) FILTER (label % 2 = 1) < 50 OR count(*) FILTER (label % 2 = 0) < 50 FROM embeddings) THEN 'INACTIVE' WHEN s1 >= 0.85 AND s0 < 0.60 THEN 'KEEP' WHEN s0 >= 0.85 AND s1 < 0.60 THEN 'REJECT' ELSE 'BORDERLINE' END AS verdict FROM b")
 def embedding_verdicts(spark, folder):
-    got = _partition_best(spark, folder)
-    verdict = relevance.embedding_verdict(F.col("s1"), F.col("s0"), F.lit(50), F.lit(50))
+    sizes = table(spark, folder, "embeddings").agg(F.count_if(F.col("label") % 2 == 1).alias("n1"), F.count_if(F.col("label") % 2 == 0).alias("n0"))
+    got = _partition_best(spark, folder).crossJoin(F.broadcast(sizes))  # one row
+    verdict = relevance.embedding_verdict(F.col("s1"), F.col("s0"), F.col("n1"), F.col("n0"))
     return got.select("query_id", F.round("s1", 4).alias("positive"), F.round("s0", 4).alias("negative"), verdict.alias("verdict"))
 
 
@@ -736,8 +766,13 @@ def latency_percentiles(spark, folder):
     return audit.latency_percentiles(table(spark, folder, "events"), "event_type", "value")
 
 
-@query("SELECT event_id, user_id, count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL '43199.999999' SECOND PRECEDING AND CURRENT ROW) <= 2 AS accepted FROM events")
+@query("""WITH RECURSIVE r AS (SELECT event_id, user_id, epoch_us(ts) AS t, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL),
+w AS (SELECT event_id, user_id, k, [t] AS kept, true AS accepted FROM r WHERE k = 1
+  UNION ALL SELECT r.event_id, r.user_id, r.k, CASE WHEN len(list_filter(w.kept, lambda x: x > r.t - 43200000000)) < 2 THEN list_append(list_filter(w.kept, lambda x: x > r.t - 43200000000), r.t) ELSE list_filter(w.kept, lambda x: x > r.t - 43200000000) END,
+    len(list_filter(w.kept, lambda x: x > r.t - 43200000000)) < 2 FROM w JOIN r ON r.user_id = w.user_id AND r.k = w.k + 1)
+SELECT event_id, user_id, accepted FROM w""")
 def rate_limit_window(spark, folder):
+    """The limiter's rule with a window of half a day and two requests, as the events lie hours apart."""
     return audit.accepted_in_window(table(spark, folder, "events"), "user_id", "ts", 43_200, 2)
 
 

@@ -110,3 +110,14 @@ def parse_verdicts(rows: DataFrame, column: str) -> DataFrame:
     low = F.lower(column)
     fallback = F.when(low.rlike(r'"?keep"?\s*[:=]\s*true'), F.struct(F.lit(True).alias("keep"), F.lit(0.7).alias("confidence"), F.lit("text").alias("reason"))).otherwise(F.struct(F.lit(False).alias("keep"), F.lit(0.5).alias("confidence"), F.lit("error").alias("reason")))
     return rows.withColumn("verdict", F.when(v["keep"].isNotNull(), v).otherwise(fallback))
+
+
+def parse_batch_verdicts(rows: DataFrame, key: str, column: str, size: int) -> DataFrame:
+    """(key, pos, keep, confidence, reason) of answers to batches of ``size``: an object with ``results``, or a bare array.
+
+    Verdicts are paired by position, so an answer with another number of them is none, and its batch has no row.
+    """
+    body = F.regexp_replace(F.regexp_replace(F.col(column), r"(?s)<think>.*?</think>", ""), r"```(?:json)?", "")
+    listed = F.regexp_extract(body, r"(?s)(\[.*\])", 1)
+    got = rows.select(key, F.from_json(listed, T.ArrayType(schemas.VERDICT)).alias("v")).where(F.size("v") == size)
+    return got.select(key, F.posexplode("v").alias("pos", "x")).select(key, "pos", "x.*")

@@ -55,3 +55,82 @@ def rollback(spark: SparkSession, path: str, target: str, names: list[str]) -> N
     """Overwrite the live tables with a snapshot."""
     for n in names:
         spark.read.parquet(f"{path}/{n}").write.mode("overwrite").parquet(f"{target}/{n}")
+
+
+def append_batch(rows: DataFrame, path: str, key: str, batch: str, records_per_file: int = 5000) -> int:
+    """Append what the store lacks as one batch, with its line in the manifest and its keys in the index; the number written."""
+    new = append_new(rows, f"{path}/records", key, records_per_file)
+    spark = rows.sparkSession
+    keys = spark.read.parquet(f"{path}/records").select(key)
+    known = _stored(spark, f"{path}/index")
+    fresh = keys.distinct() if known is None else keys.distinct().join(known.select(key), key, "left_anti")
+    fresh.withColumn("batch", F.lit(batch)).write.mode("append").parquet(f"{path}/index")
+    n = spark.read.parquet(f"{path}/index").where(F.col("batch") == batch).count()
+    spark.createDataFrame([(batch, n)], "batch string, n_records long").withColumn("written_at", F.current_timestamp()).write.mode("append").json(f"{path}/manifest")
+    return n if new is not None else 0
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except Exception as e:  # noqa: BLE001 - a store that does not exist yet
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return None
+
+
+def append_embeddings(vectors: DataFrame, path: str, key: str, vector: str, part: str) -> None:
+    """Append vectors to their partition; those of another length than the store's are refused as a whole."""
+    spark = vectors.sparkSession
+    size = vectors.agg(F.min(F.size(vector)).alias("least"), F.max(F.size(vector)).alias("most")).first()
+    known = _stored(spark, path)
+    stored = known.select(F.size(vector)).first() if known is not None else None
+    if size["most"] is not None and (size["least"] != size["most"] or (stored is not None and stored[0] != size["most"])):
+        raise ValueError("vectors of different lengths")
+    rows = vectors if known is None else vectors.join(known.select(key), key, "left_anti")
+    rows.dropDuplicates([key]).write.mode("append").partitionBy(part).parquet(path)
+
+
+def log_changes(changes: DataFrame, path: str, kind: str, actor: str, details: list[str]) -> None:
+    """Modification log: one row per created or changed node or edge, its details as JSON."""
+    rows = changes.select(F.lit(kind).alias("kind"), F.lit(actor).alias("actor"), F.to_json(F.struct(*details)).alias("details"), F.current_timestamp().alias("logged_at"))
+    rows.write.mode("append").partitionBy("kind").parquet(path)
+
+
+def log_resolutions(resolved: DataFrame, candidates: DataFrame, path: str) -> None:
+    """Resolution audit: one row per form with its outcome and its conflict set (the candidates of all strategies)."""
+    key = ["form", "entity_type"]
+    sets = candidates.groupBy(*key).agg(F.array_sort(F.collect_set(F.struct("strategy", "canonical_id", "confidence"))).alias("conflict_set"))
+    rows = resolved.join(sets, key, "left").withColumn("high_conflict", F.coalesce(F.size(F.array_distinct(F.transform("conflict_set", lambda c: c["strategy"]))) >= 3, F.lit(False)))
+    rows.withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(path)
+
+
+def queue_invalid(rows: DataFrame, path: str) -> int:
+    """Append the rows with errors to the queue for review; their number."""
+    bad = rows.where(F.size("errors") > 0)
+    bad.write.mode("append").json(path)
+    return bad.count()
+
+
+def log_run(spark: SparkSession, path: str, **metrics: object) -> None:
+    """One line of metrics per run."""
+    names = sorted(metrics)
+    spark.createDataFrame([tuple(metrics[n] for n in names)], names).coalesce(1).write.mode("append").json(path)
+
+
+def save_texts(texts: DataFrame, path: str, key: str = "content_hash", content: str = "content") -> None:
+    """Content-addressed full texts, partitioned by the key's first two characters; known keys are not written again."""
+    rows = texts.where(F.col(key).isNotNull() & (F.length(F.trim(content)) > 0)).select(key, content).dropDuplicates([key])
+    known = _stored(texts.sparkSession, path)
+    if known is not None:
+        rows = rows.join(known.select(key), key, "left_anti")
+    rows.withColumn("prefix", F.substring(key, 1, 2)).write.mode("append").partitionBy("prefix").parquet(path)
+
+
+def load_texts(spark: SparkSession, path: str, keys: DataFrame, key: str = "content_hash") -> DataFrame:
+    """Stored texts of the keys asked for; a key that isn't stored has no row."""
+    return spark.read.parquet(path).join(keys.select(key).distinct(), key).drop("prefix")
+
+
+def text_stats(spark: SparkSession, path: str, content: str = "content") -> DataFrame:
+    return spark.read.parquet(path).agg(F.count("*").alias("n_texts"), F.sum(F.length(content)).alias("n_chars"), F.count_distinct("prefix").alias("n_prefixes"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from scholark.functions import scoring, text
 from scholark.operators import audit, claims, dedup, enrichment, extraction, graph, relevance, research, resolution, similarity
-from scholark.plans import engine, extractors, registry
+from scholark.plans import build, engine, extractors, registry  # noqa: F401 - build registers its queries
 from scholark.sources import readers, sinks
 from scholark.streaming import state, windows
 
