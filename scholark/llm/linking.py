@@ -36,6 +36,7 @@ DETAIL = frozenset(
     "vol volume issue the of and for on minor major protocol cases case s l nov cf aff like".split()
 )
 SMALL = frozenset("the of and for on in a an".split())
+KEPT = 50_000
 LEAST_NAMES = 3  # a word is a detail if it stands beside so many different listed names
 _WORDS = re.compile(r"[^\W_]+")
 _PAREN = re.compile(r"[(\[]([^()\[\]]{1,40})[)\]]")
@@ -87,17 +88,29 @@ def edits(a: str, b: str, most: int) -> int:
         return 0
     if abs(len(a) - len(b)) > most:
         return most + 1
-    before, row = [], list(range(len(b) + 1))
+    # only the band within ``most`` of the diagonal can stay below it
+    n, far = len(b), most + 1
+    older: list[int] = []
+    before: list[int] = []
+    row = [j if j <= most else far for j in range(n + 1)]
     for i, x in enumerate(a, 1):
-        older, before, row = before, row, [i]
-        for j, y in enumerate(b, 1):
-            v = min(before[j] + 1, row[j - 1] + 1, before[j - 1] + (x != y))
-            if i > 1 and j > 1 and x == b[j - 2] and y == a[i - 2]:
+        older, before = before, row
+        row = [far] * (n + 1)
+        if i <= most:
+            row[0] = i
+        for j in range(max(1, i - most), min(n, i + most) + 1):
+            y = b[j - 1]
+            v = before[j - 1] if x == y else before[j - 1] + 1
+            if before[j] < v:
+                v = before[j] + 1
+            if row[j - 1] < v:
+                v = row[j - 1] + 1
+            if i > 1 and j > 1 and x == b[j - 2] and y == a[i - 2] and older[j - 2] < v:
                 v = min(v, older[j - 2] + 1)
-            row.append(v)
+            row[j] = v
         if min(row) > most:
-            return most + 1
-    return row[-1]
+            return far
+    return min(row[n], far)
 
 
 class Reference:
@@ -129,6 +142,7 @@ class Reference:
             for f in forms:
                 self.forms.append((ref, f, "".join(f)))
         self.order: dict[str, int] = {}
+        self.matched: dict[str, tuple[str, float] | None] = {}  # values differ in case, blanks and details more than in words
         self.vocabulary = {x for _, f, _ in self.forms for x in f}
         self.detail = DETAIL
         self.starts: dict[str, list[tuple[str, list[str]]]] = defaultdict(list)
@@ -151,9 +165,11 @@ class Reference:
 
     def rank(self, frequency: Counter[str]) -> None:
         """Order tokens by global rarity and index the rare prefix of every form."""
+        self.matched = {}
         known = {t for _, _, s in self.forms for t in pairs(s)}
         self.order = {t: k for k, t in enumerate(sorted(known, key=lambda t: (frequency.get(t, 0), t)))}
         self.sets = [sorted(self.order[t] for t in set(pairs(s))) for _, _, s in self.forms]
+        self.bags = [frozenset(s) for s in self.sets]
         self.index: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for n, s in enumerate(self.sets):
             for place, t in enumerate(s[: self._prefix(len(s))]):
@@ -187,11 +203,11 @@ class Reference:
                 if most < THRESHOLD / (1 + THRESHOLD) * (size + m):
                     continue
                 got[n] = 1
-        own = set(mine)
+        own = frozenset(mine)
         out = []
         for n in got:
-            both = sum(1 for t in self.sets[n] if t in own)
-            j = both / (size + len(self.sets[n]) - both)
+            both = len(own & self.bags[n])
+            j = both / (size + len(self.bags[n]) - both)
             if j >= THRESHOLD:
                 out.append((j, n))
         out.sort(key=lambda x: (-x[0], self.forms[x[1]][0], x[1]))
@@ -217,7 +233,14 @@ class Reference:
 
     def _match(self, words: list[str]) -> tuple[str, float] | None:
         """The agreeing entry of the highest exact Jaccard; the smaller reference id on ties."""
-        letters = "".join(words)
+        key = " ".join(words)
+        if key not in self.matched:
+            if len(self.matched) >= KEPT:
+                self.matched.clear()
+            self.matched[key] = self._search(words, "".join(words))
+        return self.matched[key]
+
+    def _search(self, words: list[str], letters: str) -> tuple[str, float] | None:
         n = self.exact.get(letters)
         if n is not None:
             return self.forms[n][0], 1.0
@@ -231,30 +254,36 @@ class Reference:
         words = words_of(value)
         if not words:
             return NONE, 0.0
-        outside = words_of(_PAREN.sub(" ", normalise(value)))
-        tries = []
-        for base in (words, outside, words_of(value, " "), words_of(_PAREN.sub(" ", normalise(value)), " ")):
+        # as entered, without what stands in brackets, and with the parts of hyphenated words apart
+        bases = [words]
+        text = normalise(value)
+        if "(" in text or "[" in text:
+            bases.append(words_of(_PAREN.sub(" ", text)))
+        if "-" in text:
+            bases += [words_of(text, " "), *([words_of(_PAREN.sub(" ", text), " ")] if len(bases) > 1 else [])]
+        tries: dict[str, list[str]] = {}
+        for base in bases:
             once = [w for w, after in zip(base, [*base[1:], ""], strict=False) if w != after]
-            tries.append(base)
-            tries.append([w for w in base if w not in SMALL])
+            kept = [w for w in once if (w not in self.detail or w in self.vocabulary) and not _CODE.fullmatch(w)]
             # details go, first those that belong to no listed name
-            tries.append([w for w in once if (w not in self.detail or w in self.vocabulary) and not _CODE.fullmatch(w)])
-            tries.append([w for w in once if w not in self.detail and not _CODE.fullmatch(w)])
-            tries += [[w for w in tries[-2] if w != x] for x in dict.fromkeys(once) if x in self.detail and x in self.vocabulary]
-        seen: set[str] = set()
+            for t in (base, [w for w in base if w not in SMALL], kept, [w for w in once if w not in self.detail and not _CODE.fullmatch(w)]):
+                tries.setdefault(" ".join(t), t)
+            for x in dict.fromkeys(once):
+                if x in self.detail and x in self.vocabulary:
+                    t = [w for w in kept if w != x]
+                    tries.setdefault(" ".join(t), t)
+        tries.pop("", None)
+        for t in tries.values():
+            letters = "".join(t)
+            if letters in self.acronyms:
+                return self.acronyms[letters], 1.0
+            if letters in self.exact:
+                return self.forms[self.exact[letters]][0], 1.0
         best: tuple[str, float] | None = None
-        for t in tries:
-            key = " ".join(t)
-            if not t or key in seen:
-                continue
-            seen.add(key)
-            if "".join(t) in self.acronyms:
-                return self.acronyms["".join(t)], 1.0
+        for t in tries.values():
             got = self._match(t)
             if got and (best is None or got[1] > best[1]):
                 best = got
-                if got[1] == 1.0:
-                    break
         if best is None and self.kind == "taxon":
             best = self._details(words)
         return best or (NONE, 0.0)
