@@ -90,8 +90,8 @@ class RunSets:
         self.run = run
         self.words = _WordHashes()
 
-    def texts(self, rows: list[tuple[str | None, str | None]]) -> Iterator[np.ndarray | None]:
-        """Sorted distinct run hashes (56 bits, at the top) of each text, None without a run."""
+    def texts(self, rows: list[tuple[str | None, str | None]]) -> Iterator[tuple[np.ndarray, int] | None]:
+        """(sorted distinct run hashes (56 bits, at the top), key of the set) of each text, None without a run."""
         words: list[str] = []
         field_at: list[int] = []  # where each title and body begins
         field_text: list[int] = []
@@ -112,14 +112,20 @@ class RunSets:
         keys = keys[np.r_[True, keys[1:] != keys[:-1]]] if len(keys) else keys
         owner, keys = (keys >> np.uint64(56)).astype(np.int64), keys << np.uint64(8)
         bounds = np.searchsorted(owner, np.arange(len(rows) + 1))
+        whole = np.bitwise_xor.reduceat(np.r_[_mix(keys), np.zeros(1, np.uint64)], bounds[:-1])
+        with np.errstate(over="ignore"):
+            whole = _mix(whole + np.diff(bounds).astype(np.uint64)).view(np.int64).tolist()
         for n in range(len(rows)):
-            yield keys[bounds[n] : bounds[n + 1]] if bounds[n] < bounds[n + 1] else None
+            yield (keys[bounds[n] : bounds[n + 1]], whole[n]) if bounds[n] < bounds[n + 1] else None
 
 
 def _short(x: np.ndarray) -> np.ndarray:
     """Sorted distinct 32-bit values of hashes."""
-    v = np.sort((x >> np.uint64(32)).astype(np.uint32))
-    return v[np.r_[True, v[1:] != v[:-1]]]
+    v = (x >> np.uint64(32)).astype(np.uint32)
+    if (v[1:] < v[:-1]).any():
+        v = np.sort(v)
+    new = v[1:] != v[:-1]
+    return v if new.all() else v[np.r_[True, new]]
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -161,8 +167,7 @@ def run_sets(df: DataFrame, key: str, title: str, body: str, run: int) -> DataFr
                         keys.append(None)
                         runs.append(None)
                         continue
-                    with np.errstate(over="ignore"):
-                        whole = int(_mix(np.bitwise_xor.reduce(_mix(got)) + np.uint64(len(got))).view(np.int64))
+                    got, whole = got
                     keys.append(whole)
                     if whole in seen:
                         runs.append(None)
@@ -377,7 +382,7 @@ def similar_classes(prepared: DataFrame, least: float) -> tuple[DataFrame, DataF
     joined = pairs.join(runs.select(F.col("cls").alias("a"), F.col("runs").alias("ra")), "a").join(runs.select(F.col("cls").alias("b"), F.col("runs").alias("rb")), "b")
 
     def jaccard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpacked = lru_cache(maxsize=2000)(lambda b: frozenset(_unpack(b).tolist()))
+        unpacked = lru_cache(maxsize=5000)(lambda b: frozenset(_unpack(b).tolist()))
         for batch in batches:
             keep, sims = [], []
             for k, (ra, rb) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
