@@ -2,6 +2,7 @@
 
 A text is the set of its word runs.  Its hashed runs are cut into ``ROWS`` * ``PRINTS`` ranges of hash values; the least
 run of each range gives a row of ``ROW_BITS`` bits, and ``ROWS`` rows, taken from ranges far apart, make a fingerprint.
+Short texts take the first run in as many random orders instead.
 Two texts of similarity s agree in a row with probability s, wherever edits, insertions or reordering took place, so
 the fingerprints of near-duplicates have small Hamming distances also where every sentence was edited.
 
@@ -45,6 +46,8 @@ ROWS, ROW_BITS = 6, 10
 HALF_BITS = ROWS // 2 * ROW_BITS
 NODE_BITS = 63 - HALF_BITS
 RADIUS = 8
+SHORT = 32  # runs of a text
+PROBES = 8
 HOT = 4096  # texts of a node that one task compares
 SLICE = 256  # at most 256, as a text's number is one byte
 CLASSES_KEPT = 200_000
@@ -183,34 +186,72 @@ def run_sets(df: DataFrame, key: str, title: str, body: str, run: int) -> DataFr
     return src.mapInArrow(go, "id string, class_key long, runs binary")
 
 
-def fingerprints(sets: list[np.ndarray]) -> np.ndarray:
-    """(texts, 2, PRINTS): both halves of each fingerprint; ``sets`` are sorted 32-bit values, none of them empty.
+def _probes() -> np.ndarray:
+    """For each attempt, the range that an empty range looks into: a fixed random order."""
+    return np.stack([np.random.default_rng(k).permutation(ROWS * PRINTS) for k in range(PROBES)])
 
-    The least value of an empty range is that of the next one that holds a value, around the end.
+
+_PROBE = _probes()
+_SEEDS = _mix(np.arange(1, ROWS * PRINTS + 1, dtype=np.uint64) * _GOLD)
+
+
+def least_by_range(sets: list[np.ndarray]) -> np.ndarray:
+    """(texts, ROWS * PRINTS): the least value of each range of values; ``sets`` are sorted 32-bit values, none empty.
+
+    An empty range takes that of the first range of its fixed random order that holds a value, or else of the next one.
     """
     size = np.array([len(s) for s in sets], np.int64)
     start = np.cumsum(size) - size
     owner = np.repeat(np.arange(len(sets), dtype=np.uint64), size)
     keys = owner << np.uint64(32) | np.concatenate(sets).astype(np.uint64)
     ranges = ROWS * PRINTS
-    edges = np.arange(ranges, dtype=np.uint64) * np.uint64(1 << 32) // np.uint64(ranges)
-    at = np.searchsorted(keys, (np.arange(len(sets), dtype=np.uint64)[:, None] << np.uint64(32) | edges[None, :]).ravel()).reshape(len(sets), ranges)
-    at = np.where(at >= (start + size)[:, None], start[:, None], at)
+    edges = np.arange(ranges + 1, dtype=np.uint64) * np.uint64(1 << 32) // np.uint64(ranges)
+    cuts = np.searchsorted(keys, (np.arange(len(sets), dtype=np.uint64)[:, None] << np.uint64(32)) + edges[None, :])
+    at, filled = cuts[:, :-1], cuts[:, :-1] < cuts[:, 1:]
+    out, open_ = at, ~filled
+    for order in _PROBE:
+        take = open_ & filled[:, order]
+        out = np.where(take, at[:, order], out)
+        open_ &= ~take
+    out = np.where(out >= (start + size)[:, None], start[:, None], out)
+    return keys[out] & np.uint64(0xFFFFFFFF)
+
+
+def least_by_order(values: np.ndarray) -> np.ndarray:
+    """(ROWS * PRINTS): of a short text, the value that comes first in each of as many random orders."""
+    with np.errstate(over="ignore"):
+        rank = _mix((values.astype(np.uint64)[:, None] + np.uint64(1)) * _SEEDS[None, :])
+    return values[rank.argmin(0)].astype(np.uint64)
+
+
+def fingerprints(least: np.ndarray) -> np.ndarray:
+    """(texts, 2, PRINTS): both halves of each fingerprint, from the least values of each text."""
     with np.errstate(over="ignore"):
-        row = _mix((keys[at] & np.uint64(0xFFFFFFFF)) * _GOLD) >> np.uint64(64 - ROW_BITS)
-    row = row.reshape(len(sets), 2, ROWS // 2, PRINTS)  # a fingerprint's rows come from ranges PRINTS apart
-    out = np.zeros((len(sets), 2, PRINTS), np.uint64)
+        row = _mix(least * _GOLD) >> np.uint64(64 - ROW_BITS)
+    row = row.reshape(len(least), 2, ROWS // 2, PRINTS)  # a fingerprint's rows come from ranges PRINTS apart
+    out = np.zeros((len(least), 2, PRINTS), np.uint64)
     for k in range(ROWS // 2):
         out |= row[:, :, k, :] << np.uint64(ROW_BITS * k)
     return out
 
 
-def postings(sets: list[np.ndarray]) -> np.ndarray:
-    """(texts, 2 * PRINTS) numbers of 63 bits: the node (a half's pattern, hashed) above the other half."""
-    halves = fingerprints(sets)
-    tag = np.arange(2 * PRINTS, dtype=np.uint64).reshape(2, PRINTS) << np.uint64(HALF_BITS)
-    node = _mix(_mix(halves + tag[None])) >> np.uint64(64 - NODE_BITS)
-    return (node << np.uint64(HALF_BITS) | halves[:, ::-1, :]).reshape(len(sets), -1)
+def postings(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, owners): numbers of 63 bits, the node (a half's pattern, hashed) above the other half, and the text of each.
+
+    Ranges need some values each, so texts of fewer than 2 * ``SHORT`` runs take random orders, and those of ``SHORT`` or
+    more take ranges: any two texts of which one has at least half the runs of the other have one kind in common.
+    """
+    size = np.array([len(s) for s in sets], np.int64)
+    keys, owners = [], []
+    for kind, at in enumerate((np.flatnonzero(size >= SHORT), np.flatnonzero(size < 2 * SHORT))):
+        if len(at):
+            own = [sets[k] for k in at]
+            halves = fingerprints(np.stack([least_by_order(s) for s in own]) if kind else least_by_range(own))
+            tag = np.arange(2 * PRINTS, dtype=np.uint64).reshape(2, PRINTS) + np.uint64(kind * 2 * PRINTS) << np.uint64(HALF_BITS)
+            node = _mix(_mix(halves + tag[None])) >> np.uint64(64 - NODE_BITS)
+            keys.append((node << np.uint64(HALF_BITS) | halves[:, ::-1, :]).ravel())
+            owners.append(np.repeat(at, 2 * PRINTS))
+    return np.concatenate(keys), np.concatenate(owners)
 
 
 def gray_rank(x: np.ndarray) -> np.ndarray:
@@ -351,8 +392,8 @@ def candidate_pairs(classes: DataFrame, hot: int = HOT) -> DataFrame:
             cls = batch.column(0).to_numpy()
             sets = [_unpack(b) for b in batch.column(1).to_pylist()]
             for lo in range(0, len(sets), SLICE):
-                keys = postings(sets[lo : lo + SLICE])
-                yield pa.record_batch([pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(cls[lo : lo + SLICE], keys.shape[1]))], names=["key", "cls"])
+                keys, owner = postings(sets[lo : lo + SLICE])
+                yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(cls[lo + owner])], names=["key", "cls"])
 
     posts = classes.select("cls", "runs").mapInArrow(post, "key long, cls long")
     met = cut(_meetings(posts, hot).distinct())
