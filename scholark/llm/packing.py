@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from .runtime import cut
 
-RANK_SLICES = 256
+RANK_SLICES = 256  # at least, of the numbering within one size
+SLICE_ROWS = 50_000  # items a slice holds, were all of one size
 
 
 def fullest(sizes: list[int], stock: dict[int, int], capacity: int, first: int) -> list[int]:
@@ -77,8 +78,9 @@ def pack(counted: DataFrame, key: str, size: str, capacity: int) -> DataFrame:
     pieces = items.select("k", "n", F.explode(F.sequence(F.lit(0).cast("long"), full - 1)).alias("piece")).select(
         "k", F.col("piece").cast("int").alias("piece"), (F.col("piece") * capacity).alias("start_token"), F.least(F.lit(capacity).cast("long"), F.col("n") - F.col("piece") * capacity).alias("n_tokens")
     )
-    # bounded by the capacity: one row per size and slice of the numbering
-    slice_ = F.pmod(F.xxhash64("k", "piece"), F.lit(RANK_SLICES)).cast("int")
+    # the numbering is cut into slices, as many as keep the most frequent size (full pieces, empty texts) from one task
+    slices = max(RANK_SLICES, counted.count() // SLICE_ROWS)
+    slice_ = F.pmod(F.xxhash64("k", "piece"), F.lit(slices)).cast("int")
     sized = pieces.withColumn("slice", slice_)
     counts = sized.groupBy("n_tokens", "slice").agg(F.count("*").alias("c"))
     offsets = counts.withColumn("before", F.sum("c").over(Window.partitionBy("n_tokens").orderBy("slice")) - F.col("c"))

@@ -40,6 +40,18 @@ def cut(df: DataFrame) -> DataFrame:
         spark.conf.set(CLEANUP, before)
 
 
+def drop(df: DataFrame) -> None:
+    """Delete the checkpoint of a frame that ``cut`` gave and that nothing reads any more."""
+    spark = df.sparkSession
+    plan = df._jdf.queryExecution().logical()
+    if not plan.getClass().getSimpleName().startswith("LogicalRDD"):
+        return
+    file = plan.rdd().getCheckpointFile()
+    if file.isDefined():
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file.get())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``mapInArrow`` over ``fn``, which turns one batch into one batch (or None for no rows)."""
 
