@@ -57,11 +57,29 @@ def audit_query(log: DataFrame, since=None, until=None, limit: int = 1000, **equ
     return rows.orderBy(F.desc_nulls_first("ts"), "event_id").limit(limit)
 
 
+BUCKETS = 65_536
+
+
 def drift_sample(decisions: DataFrame, key: str, share: float = 0.01, least: int = 10) -> DataFrame:
-    """Sample without replacement of max(ceil(share * n), least) rows, in the order of the key's hash."""
-    n = decisions.count()
-    size = max(-(-int(n * share * 1_000_000) // 1_000_000), least)
-    return decisions.orderBy(F.md5(F.col(key).cast("string")), key).limit(size)
+    """Sample without replacement of max(ceil(share * n), least) rows: the smallest hashes of the key.
+
+    The hash's first 16 bits make a histogram, which tells up to which bucket whole ones belong to the sample; only the
+    rows of the bucket at the edge are ordered.
+    """
+    order = F.md5(F.col(key).cast("string"))
+    rows = decisions.withColumns({"h_": order, "b_": F.conv(F.substring(order, 1, 4), 16, 10).cast("int")})
+    counts = sorted((r["b_"], r["n"]) for r in rows.where("b_ is not null").groupBy("b_").agg(F.count("*").alias("n")).collect())  # at most BUCKETS
+    total = sum(n for _, n in counts)
+    size = max(-(-int(total * share * 1_000_000) // 1_000_000), least)
+    edge, room = BUCKETS, size
+    for b, n in counts:
+        if n > room:
+            edge = b
+            break
+        room -= n
+    whole = rows.where(F.col("b_") < edge)
+    part = rows.where(F.col("b_") == edge).orderBy("h_", key).limit(room)
+    return whole.unionByName(part).drop("h_", "b_")
 
 
 def rolling_latency(log: DataFrame, source: str, order: str, value: str, width: int = 100) -> DataFrame:

@@ -11,15 +11,16 @@ OPPOSITES = (("INHIBITS", "PROMOTES"), ("INCREASES", "DECREASES"))
 
 
 def canonical_predicate(raw: Column) -> Column:
-    """Exact entry, else the first entry that contains or is contained in the phrase, else RELATES_TO."""
+    """Exact entry, else the first entry that contains or is contained in the phrase, else RELATES_TO.
+
+    The dictionary is a constant array and a constant map: a chain of cases as long as it would be too large a method
+    for the JVM to compile.
+    """
     low = F.lower(F.trim(raw))
-    loose = F.lit("RELATES_TO")
-    for known, name in reversed(lexicon.PREDICATES):
-        loose = F.when(low.contains(known) | F.contains(F.lit(known), low), name).otherwise(loose)
-    exact = F.lit(None).cast("string")
-    for known, name in reversed(lexicon.PREDICATES):
-        exact = F.when(low == known, name).otherwise(exact)
-    return F.coalesce(exact, loose)
+    exact = F.try_element_at(F.create_map(*[F.lit(x) for entry in lexicon.PREDICATES for x in entry]), low)
+    entries = F.array(*[F.struct(F.lit(known).alias("known"), F.lit(name).alias("name")) for known, name in lexicon.PREDICATES])
+    loose = F.try_element_at(F.filter(entries, lambda e: low.contains(e["known"]) | e["known"].contains(low)), F.lit(1))["name"]
+    return F.coalesce(exact, loose, F.lit("RELATES_TO"))
 
 
 def predicate_category(raw: Column) -> Column:

@@ -14,6 +14,9 @@ NEGATIVE = (("mouse", -0.40), ("mice", -0.40), ("soil", -0.50), ("fish", -0.20),
 GATE = ("metagenom", "amplicon", "16s", "sequencing", "strain", "shotgun")
 
 
+DIGITS = 3
+
+
 def _any(terms: Column, words: tuple[str, ...]) -> Column:
     low = F.transform(F.coalesce(terms, F.array().cast("array<string>")), lambda t: F.lower(t))
     return F.arrays_overlap(low, F.array(*[F.lit(w) for w in words]))
@@ -89,9 +92,9 @@ def decide(rows: DataFrame, keep: float = 0.45, reject: float = 0.1) -> DataFram
 def sweep_counts(df: DataFrame, score: str, label: str) -> DataFrame:
     """Per distinct score: rows, positives, precision of keeping from here up, recall of rejecting all below.
 
-    The distinct scores are of bounded resolution (3 digits), so the window runs over at most a few thousand rows.
+    Scores are taken at ``DIGITS`` digits, so the windows run over at most some thousand rows, whatever the table.
     """
-    by = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(score).agg(F.count("*").alias("n"), F.sum(label).alias("pos"))
+    by = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(F.round(score, DIGITS).alias(score)).agg(F.count("*").alias("n"), F.sum(label).alias("pos"))
     down = Window.orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
     up = Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy()

@@ -50,7 +50,7 @@ def _scan(vectors: DataFrame, shared, key: str, vector: str, k: int, exclude_sel
         for batch in batches:
             own = batch.column(0).to_numpy()
             flat = batch.column(1)
-            rows = _unit(np.asarray(flat.values.to_numpy(zero_copy_only=False), np.float32).reshape(len(own), -1)) if len(own) else np.zeros((0, matrix.shape[1]), np.float32)
+            rows = _unit(np.asarray(flat.flatten().to_numpy(zero_copy_only=False), np.float32).reshape(len(own), -1)) if len(own) else np.zeros((0, matrix.shape[1]), np.float32)
             sims = matrix @ rows.T
             if exclude_self:
                 sims[ids[:, None] == own[None, :]] = -2.0
