@@ -107,6 +107,25 @@ def folded_confidence(items: DataFrame, claim: str, confidence: str, order: list
     return rows.join(n, claim).groupBy(claim).agg(F.sum(F.col("x") * weight).alias("confidence"), F.max("n").alias("n_items"))
 
 
+def updated_claims(items: DataFrame, claim: str, paper: str, confidence: str, against: Column, order: list[str]) -> DataFrame:
+    """(claim, confidence, n_support, n_against, ratio): items of new papers in order; a paper that a claim knows changes nothing.
+
+    The first supporting item sets the confidence, each further one makes it .9 of the old and .1 of its own, and each
+    contradiction takes a fifth away.  As every step is linear, an item's weight is the product of the factors after it:
+    no list of a claim's items is gathered.
+    """
+    cols = list(dict.fromkeys([claim, paper, *order]))
+    rows = items.where(F.col(claim).isNotNull() & F.col(paper).isNotNull() & F.col(confidence).isNotNull()).select(*cols, F.col(confidence).alias("x"), against.alias("against"))
+    first = rows.groupBy(claim, paper).agg(F.min(F.struct(*order, "x", "against")).alias("f")).select(claim, *[F.col(f"f.{c}").alias(c) for c in (*order, "x", "against")])
+    w = Window.partitionBy(claim).orderBy(*order)
+    ranked = first.withColumn("k", F.count(F.when(~F.col("against"), 1)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    factor = F.when(F.col("against"), 0.8).otherwise(0.9)
+    after = F.coalesce(F.sum(F.log(factor)).over(w.rowsBetween(1, Window.unboundedFollowing)), F.lit(0.0))
+    own = F.when(F.col("against"), 0.0).when(F.col("k") == 1, F.col("x")).otherwise(0.1 * F.col("x"))
+    got = ranked.withColumn("part", own * F.exp(after)).groupBy(claim).agg(F.sum("part").alias("c"), F.count_if(~F.col("against")).alias("n_support"), F.count_if("against").alias("n_against"))
+    return got.select(claim, F.round("c", 6).alias("confidence"), "n_support", "n_against", F.round(F.col("n_against") / (F.col("n_support") + F.col("n_against")), 6).alias("ratio"))
+
+
 def opposite_claims(claims: DataFrame) -> DataFrame:
     """Pairs of claims on the same subject and object with opposite predicates; one equi-join on the mapped predicate."""
     flip = F.lit(None).cast("string")

@@ -139,3 +139,34 @@ def support_edges(claims: DataFrame, triples: DataFrame) -> DataFrame:
     supported = own.join(papers, ["subject_id", "object_id", "canonical_predicate"]).withColumn("rel", F.lit("SUPPORTED_BY"))
     against = own.withColumn("other", flip).where("other is not null").join(papers.withColumnRenamed("canonical_predicate", "other"), ["subject_id", "object_id", "other"]).drop("other").withColumn("rel", F.lit("CONTRADICTED_BY"))
     return supported.unionByName(against)
+
+
+def pmc_candidates(papers: DataFrame, texts: DataFrame, done: DataFrame) -> DataFrame:
+    """Papers with a PMC id, no text of their own and no successful fetch yet."""
+    rows = papers.where(F.trim("pmcid") != "").select("paper_id", F.trim("pmcid").alias("pmcid"))
+    with_text = texts.where(F.length(F.trim("content")) > 0).select("paper_id").distinct()
+    return rows.join(with_text, "paper_id", "left_anti").join(done.select("paper_id").distinct(), "paper_id", "left_anti")
+
+
+def titles_by_key(keys: DataFrame, key: str, papers: DataFrame) -> DataFrame:
+    """Titles for paper keys in any of four spellings: the id, the doi, and both prefixed; a key without a paper keeps null."""
+    doi = F.lower(F.nullif(F.trim("doi"), F.lit("")))
+    pmid = F.nullif(F.trim("pmid"), F.lit(""))
+    spelled = F.filter(F.array("paper_id", doi, F.concat(F.lit("doi:"), doi), F.concat(F.lit("pmid:"), pmid)), lambda x: x.isNotNull())
+    table = papers.where("title is not null").select("paper_id", "title", F.explode(spelled).alias(key)).groupBy(key).agg(F.min_by("title", "paper_id").alias("title"))
+    return keys.join(table, key, "left")
+
+
+def next_cursors(runs: DataFrame, source: str, fetched: str, offset: str) -> DataFrame:
+    """(source, next_offset): where each source goes on; from the beginning again where the last run gave nothing."""
+    last = runs.groupBy(source).agg(F.max(F.struct(F.col(offset).alias("o"), F.col(fetched).alias("n"))).alias("r"))
+    return last.select(source, F.when(F.col("r.n") == 0, F.lit(0)).otherwise(F.col("r.o") + F.col("r.n")).cast("bigint").alias("next_offset"))
+
+
+def provenance_errors(sentence: Column, confidence: Column, method: Column, at: Column, key: Column, methods: tuple[str, ...], now: Column) -> Column:
+    """Names of the checks a provenance record fails; instants up to a minute ahead are clocks that differ."""
+    checks = (
+        ("sentence", F.coalesce(F.trim(sentence), F.lit("")) == ""), ("confidence", confidence.isNull() | ~confidence.between(0.0, 1.0)), ("method", ~F.coalesce(method.isin(*methods), F.lit(False))),
+        ("time", at.isNull() | (at > now + F.expr("interval 60 seconds"))), ("source", key.isNull()),
+    )
+    return F.filter(F.array(*[F.when(bad, F.lit(name)) for name, bad in checks]), lambda x: x.isNotNull())

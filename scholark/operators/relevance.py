@@ -38,6 +38,25 @@ def rule_score(text: Column) -> Column:
     return F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.greatest(F.lit(-1.0), F.least(F.lit(1.5), total)) / 1.5)), 3)
 
 
+MOST_TERMS = 5000
+
+
+def weighted_score(rows: DataFrame, text: Column, terms: DataFrame) -> DataFrame:
+    """``rows`` with ``rule`` and ``n_terms`` by a table of terms (term, weight), scored as ``rule_score`` does.
+
+    The table is the curators' own; its size is checked, and it travels as one row.
+    """
+    listed = [(r["term"], float(r["weight"])) for r in terms.where("trim(term) <> '' and weight is not null").select(F.lower("term").alias("term"), "weight").distinct().orderBy("term", "weight").limit(MOST_TERMS + 1).collect()]
+    if len(listed) > MOST_TERMS:
+        raise ValueError(f"more than {MOST_TERMS} terms")
+    one = rows.sparkSession.createDataFrame([(listed,)], "terms array<struct<term:string,weight:double>>")
+    hits = F.filter("terms", lambda t: F.col("low_").contains(t["term"]))
+    got = rows.withColumn("low_", F.lower(text)).crossJoin(F.broadcast(one)).withColumn("hits_", hits)
+    total = F.aggregate("hits_", F.lit(0.0), lambda s, t: s + t["weight"])
+    score = F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.greatest(F.lit(-1.0), F.least(F.lit(1.5), total)) / 1.5)), 3)
+    return got.withColumns({"rule": score, "n_terms": F.size("hits_")}).drop("terms", "low_", "hits_")
+
+
 def gate(text: Column) -> Column:
     low = F.lower(text)
     out = F.lit(False)
@@ -139,3 +158,16 @@ def platt(df: DataFrame, score: str, label: str, least: int = 200):
 
 def calibrated(score: Column, fit: tuple[float, float] | None) -> Column:
     return score if fit is None else 1 / (1 + F.exp(-(score * fit[0] + fit[1])))
+
+
+# What a rejection is called in reports, by what its stage's name holds, in order.
+CAUSES = (("gate", "Metagenomics Gate"), ("stage2", "Stage 2: Score Too Low"), ("stage1", "Stage 1: MeSH Reject"), ("stage3.5", "Stage 3.5: Embedding Similarity Reject"), ("stage3", "Stage 3: ML Classifier Reject"), ("stage4", "Stage 4: LLM Reject"), ("llm", "Stage 4: LLM Reject"))
+STAGES = (("stage1", "Stage 1: MeSH Metadata"), ("stage2", "Stage 2: Keyword Rules"), ("stage3.5", "Stage 3.5: Embedding Similarity"), ("stage3", "Stage 3: ML Classifier"), ("gate", "Metagenomics Gate"), ("stage4", "Stage 4: LLM Verifier"))
+
+
+def named(stage: Column, table: tuple[tuple[str, str], ...]) -> Column:
+    """The stage in words; its own name where none is known."""
+    out = stage
+    for sign, label in reversed(table):
+        out = F.when(F.lower(stage).contains(sign), label).otherwise(out)
+    return out

@@ -148,3 +148,10 @@ def ancestors(edges: DataFrame, child: str, parent: str, levels: int = 3) -> Dat
         level = level.join(e, level["ancestor"] == e["c"]).select("node", F.col("p").alias("ancestor")).distinct()
         out = out.unionByName(level.withColumn("level", F.lit(n)))
     return out.withColumn("confidence", F.round(0.5 - 0.1 * (F.col("level") - 1), 6))
+
+
+def nearest_registered(up: DataFrame, registered: DataFrame, key: str) -> DataFrame:
+    """(node, ancestor, level): the nearest ancestor that the registry has, the smallest id on ties; ``up`` of ``ancestors``."""
+    known = registered.select(F.col(key).alias("ancestor")).distinct()
+    got = up.join(known, "ancestor").groupBy("node").agg(F.min(F.struct("level", "ancestor")).alias("b"))
+    return got.select("node", F.col("b.ancestor").alias("ancestor"), F.col("b.level").alias("level"))

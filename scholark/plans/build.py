@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import lexicon, text
-from ..operators import audit, claims, extraction, grounding, journals, relevance, research
+from ..operators import audit, claims, enrichment, extraction, graph, grounding, journals, relevance, research, resolution
 from ..sources import collectors, readers
 from . import adapters as a
 from . import registry
@@ -257,3 +257,123 @@ def collected_core(spark, folder):
         "journals": F.array(F.struct(c("journal").alias("title"))), "isOpenAccess": c("is_open_access"),
     }
     return _collected("core", _items_of(spark, folder, **fields))
+
+
+# ---- smaller operators of enrichment, graph and reports
+
+
+@query("""SELECT paper_id, trim(pmcid, ' ') AS pmcid FROM papers p WHERE trim(pmcid, ' ') <> '' AND NOT EXISTS (SELECT 1 FROM sections s WHERE s.paper_id = p.paper_id AND length(trim(s.content, ' ')) > 0) AND NOT EXISTS (SELECT 1 FROM documents d WHERE d.paper_id = p.paper_id)""")
+def pmc_candidates(spark, folder):
+    return enrichment.pmc_candidates(table(spark, folder, "papers"), table(spark, folder, "sections"), table(spark, folder, "documents").where("paper_id is not null"))
+
+
+_SPELLED = "CASE evidence_id % 4 WHEN 0 THEN paper_id WHEN 1 THEN lower(trim(doi)) WHEN 2 THEN 'doi:' || lower(trim(doi)) ELSE 'pmid:' || trim(pmid) END"
+
+
+@query(f"""WITH k AS (SELECT evidence_id, {_SPELLED} AS paper_key FROM evidence_items JOIN papers USING (paper_id)), s AS (SELECT title, paper_id, unnest(list_filter([paper_id, lower(nullif(trim(doi), '')), 'doi:' || lower(nullif(trim(doi), '')), 'pmid:' || nullif(trim(pmid), '')], lambda x: x IS NOT NULL)) AS paper_key FROM papers WHERE title IS NOT NULL),
+t AS (SELECT paper_key, arg_min(title, paper_id) AS title FROM s GROUP BY 1) SELECT evidence_id, paper_key, title FROM k LEFT JOIN t USING (paper_key)""")
+def evidence_titles(spark, folder):
+    papers = table(spark, folder, "papers").select("paper_id", "doi", "pmid", "title")
+    keys = table(spark, folder, "evidence_items").select("evidence_id", "paper_id").join(papers, "paper_id").select("evidence_id", F.expr(_SPELLED).alias("paper_key"))
+    return enrichment.titles_by_key(keys, "paper_key", papers)
+
+
+@query("""WITH r AS (SELECT lower(trim(source)) AS source, CAST(date_trunc('month', loaded_at) AS TIMESTAMP) AS run, count(*) FILTER (abstract IS NOT NULL AND is_preprint) AS n FROM papers WHERE source IS NOT NULL GROUP BY 1, 2), o AS (SELECT source, n, row_number() OVER (PARTITION BY source ORDER BY run NULLS FIRST) * 100 AS o FROM r)
+SELECT source, CAST(CASE WHEN arg_max(n, o) = 0 THEN 0 ELSE max(o) + arg_max(n, o) END AS BIGINT) AS next_offset FROM o GROUP BY source""")
+def source_cursors(spark, folder):
+    """Runs of a month each, whose offsets go by hundreds."""
+    runs = table(spark, folder, "papers").where("source is not null").groupBy(F.lower(F.trim("source")).alias("source"), F.date_trunc("month", "loaded_at").alias("run")).agg(F.count_if(F.col("abstract").isNotNull() & F.col("is_preprint")).alias("n"))
+    runs = runs.withColumn("o", F.expr("row_number() over (partition by source order by run nulls first) * 100"))
+    return enrichment.next_cursors(runs, "source", "n", "o")
+
+
+UP = registry.ORACLE["ontology_ancestors"]
+
+
+@query(f"""WITH u AS ({UP}), k AS (SELECT 'r' || r_regionkey AS id FROM region WHERE r_regionkey % 2 = 1 UNION SELECT 'world' UNION SELECT 'n' || n_nationkey FROM nation WHERE n_nationkey % 3 = 0)
+SELECT node, arg_min(ancestor, {{'l': level, 'a': ancestor}}) AS ancestor, CAST(min(level) AS INT) AS level FROM u JOIN k ON ancestor = id GROUP BY node""")
+def nearest_registered(spark, folder):
+    up = registry.ontology_ancestors(spark, folder)
+    key = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string")).alias("id")
+    known = table(spark, folder, "region").where("r_regionkey % 2 = 1").select(key("r", "r_regionkey")).unionByName(table(spark, folder, "nation").where("n_nationkey % 3 = 0").select(key("n", "n_nationkey")))
+    return resolution.nearest_registered(up, known.unionByName(spark.createDataFrame([("world",)], "id string")), "id")
+
+
+@query("""WITH i AS (SELECT claim_id, paper_id, extraction_timestamp AS t, evidence_id AS e, confidence AS x, evidence_strength = 'weak' AS against FROM evidence_items WHERE claim_id IS NOT NULL AND paper_id IS NOT NULL AND confidence IS NOT NULL),
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY claim_id, paper_id ORDER BY t NULLS FIRST, e) AS n FROM (SELECT claim_id, paper_id, t, e, x, coalesce(against, false) AS against FROM i)) WHERE n = 1),
+k AS (SELECT *, count(*) FILTER (NOT against) OVER (PARTITION BY claim_id ORDER BY t NULLS FIRST, e ROWS UNBOUNDED PRECEDING) AS k, coalesce(sum(ln(CASE WHEN against THEN 0.8::DOUBLE ELSE 0.9::DOUBLE END)) OVER (PARTITION BY claim_id ORDER BY t NULLS FIRST, e ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0.0) AS l FROM f)
+SELECT claim_id, round(sum(CASE WHEN against THEN 0.0 WHEN k = 1 THEN x ELSE 0.1 * x END * exp(l)), 6) AS confidence, count(*) FILTER (NOT against) AS n_support, count(*) FILTER (against) AS n_against, round(count(*) FILTER (against) / count(*), 6) AS ratio FROM k GROUP BY claim_id""")
+def updated_claims(spark, folder):
+    """Weak items stand for contradictions, as the tables hold no others."""
+    items = table(spark, folder, "evidence_items")
+    return claims.updated_claims(items, "claim_id", "paper_id", "confidence", F.coalesce(F.col("evidence_strength") == "weak", F.lit(False)), ["extraction_timestamp", "evidence_id"])
+
+
+def _named_sql(table_: tuple, col: str) -> str:
+    return "CASE " + " ".join(f"WHEN contains(lower({col}), '{s}') THEN '{n}'" for s, n in table_) + f" ELSE {col} END"
+
+
+@query(f"WITH {DECIDE_SQL} SELECT paper_id, {_named_sql(relevance.CAUSES, 'stage')} AS cause, {_named_sql(relevance.STAGES, 'stage')} AS label FROM d")
+def decision_labels(spark, folder):
+    rows = decision_cascade(spark, folder)
+    return rows.select("paper_id", relevance.named(F.col("stage"), relevance.CAUSES).alias("cause"), relevance.named(F.col("stage"), relevance.STAGES).alias("label"))
+
+
+@query(f"WITH {DECIDE_SQL}, a AS (SELECT paper_id, stage FROM d WHERE stage <> 'stage4'), n AS (SELECT greatest(CAST(ceil(count(*) * 0.01) AS BIGINT), 10) AS k FROM a) SELECT paper_id, stage FROM a QUALIFY row_number() OVER (ORDER BY md5(paper_id), paper_id) <= (SELECT k FROM n)")
+def automated_drift_sample(spark, folder):
+    """Of the decisions that no verifier made."""
+    return audit.drift_sample(decision_cascade(spark, folder).where("stage <> 'stage4'"), "paper_id").select("paper_id", "stage")
+
+
+@query("""WITH n AS (SELECT ontology_id AS id, arg_max(label, mention_id) AS label FROM mentions WHERE ontology_id IS NOT NULL GROUP BY 1), m AS (SELECT canonical_id AS old, lead(canonical_id, 7) OVER (ORDER BY canonical_id) AS new FROM canonical_entities), g AS (SELECT old, coalesce(new, old) AS new FROM m)
+SELECT g.old, g.new, CASE WHEN g.old = g.new THEN 'same node' WHEN a.label IS NULL OR b.label IS NULL THEN 'unknown node' WHEN a.label <> b.label THEN 'type conflict' WHEN g.old IN (SELECT new FROM g) THEN 'target of a merge' END AS reason FROM g LEFT JOIN n a ON a.id = g.old LEFT JOIN n b ON b.id = g.new""")
+def node_merge_plan(spark, folder):
+    nodes = graph.nodes_from(table(spark, folder, "mentions"), "ontology_id", "ontology_name", "label", ["mention_id"])
+    mapping = table(spark, folder, "canonical_entities").select(F.col("canonical_id").alias("old"), F.expr("coalesce(lead(canonical_id, 7) over (order by canonical_id), canonical_id)").alias("new"))  # a list of fixed size
+    return graph.merge_plan(mapping, nodes)
+
+
+@query("""WITH e AS (SELECT DISTINCT ontology_id AS src, paper_id AS dst, 'MENTIONED_IN' AS rel FROM mentions WHERE ontology_id IS NOT NULL AND paper_id IS NOT NULL), n AS (SELECT canonical_id AS id FROM canonical_entities)
+SELECT id, 'out' AS way, rel, dst AS other FROM n LEFT JOIN e ON src = id UNION ALL SELECT id, 'in', rel, src FROM n LEFT JOIN e ON dst = id""")
+def node_neighbours(spark, folder):
+    return graph.neighbours(table(spark, folder, "canonical_entities").select(F.col("canonical_id").alias("id")), graph.mention_edges(table(spark, folder, "mentions")))
+
+
+TERMS_SQL = "terms AS (SELECT DISTINCT lower(primary_name) AS term, CASE entity_type WHEN 'taxon' THEN 0.3::DOUBLE WHEN 'disease' THEN 0.25::DOUBLE ELSE -0.2::DOUBLE END AS weight FROM canonical_entities)"
+
+
+@query(f"""WITH {TERMS_SQL}, x AS (SELECT paper_id, {registry.TEXT_SQL} AS t FROM papers), h AS (SELECT paper_id, sum(weight) AS total, count(*) AS n FROM x JOIN terms ON contains(t, term) GROUP BY 1)
+SELECT paper_id, round(greatest(0.0::DOUBLE, least(1.0::DOUBLE, greatest(-1.0::DOUBLE, least(1.5::DOUBLE, coalesce(total, 0.0))) / 1.5::DOUBLE)), 3) AS rule, CAST(coalesce(n, 0) AS INT) AS n_terms FROM x LEFT JOIN h USING (paper_id)""")
+def weighted_scores(spark, folder):
+    """Scores by a table of terms: here the canonical names, weighted by type."""
+    weight = F.when(F.col("entity_type") == "taxon", 0.3).when(F.col("entity_type") == "disease", 0.25).otherwise(-0.2)
+    terms = table(spark, folder, "canonical_entities").select(F.col("primary_name").alias("term"), weight.alias("weight"))
+    t = F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.coalesce("abstract", F.lit("")))
+    return relevance.weighted_score(table(spark, folder, "papers"), t, terms).select("paper_id", "rule", "n_terms")
+
+
+@query(f"""WITH x AS (SELECT evidence_id, source_sentence, e.confidence, extraction_timestamp AS tm, CASE WHEN evidence_id % 9 = 0 THEN 'unregistered' WHEN evidence_id % 2 = 0 THEN 'rules' ELSE 'model' END AS method, {registry.KEY_SQL} AS key FROM evidence_items e LEFT JOIN papers p USING (paper_id)),
+y AS (SELECT evidence_id, unnest(list_filter([CASE WHEN coalesce(trim(source_sentence, ' '), '') = '' THEN 'sentence' END, CASE WHEN confidence IS NULL OR confidence NOT BETWEEN 0 AND 1 THEN 'confidence' END, CASE WHEN method NOT IN ('rules', 'model') THEN 'method' END,
+  CASE WHEN try_cast(tm AS TIMESTAMP) IS NULL OR try_cast(tm AS TIMESTAMP) > TIMESTAMP '2024-06-01 00:01:00' THEN 'time' END, CASE WHEN key IS NULL THEN 'source' END], lambda v: v IS NOT NULL)) AS error FROM x)
+SELECT error, count(*) AS n_rows FROM y GROUP BY 1""")
+def provenance_errors(spark, folder):
+    """As of June 2024; every ninth record names a method that isn't registered."""
+    keys = table(spark, folder, "papers").select("paper_id", text.dedup_key(F.col("doi"), F.col("pmid"), F.col("title")).alias("key"))
+    e = F.col("evidence_id")
+    rows = table(spark, folder, "evidence_items").withColumn("method", F.when(e % 9 == 0, "unregistered").when(e % 2 == 0, "rules").otherwise("model")).join(keys, "paper_id", "left")
+    errors = enrichment.provenance_errors(F.col("source_sentence"), F.col("confidence"), F.col("method"), F.col("extraction_timestamp").try_cast("timestamp"), F.col("key"), ("rules", "model"), F.lit("2024-06-01").cast("timestamp"))
+    return rows.select(F.explode(errors).alias("error")).groupBy("error").agg(F.count("*").alias("n_rows"))
+
+
+@query("SELECT source, lang, count(*) AS n_texts, CAST(sum(n_chars) AS BIGINT) AS n_chars FROM documents GROUP BY GROUPING SETS ((source), (lang), ())")
+def text_store_stats(spark, folder):
+    rows = table(spark, folder, "documents")
+    return rows.groupingSets([["source"], ["lang"], []], "source", "lang").agg(F.count("*").alias("n_texts"), F.sum("n_chars").alias("n_chars"))
+
+
+@query()
+def rule_entities(spark, folder):
+    """Spans of all canonical names and mentioned forms in the sections."""
+    entities, mentions = table(spark, folder, "canonical_entities"), table(spark, folder, "mentions")
+    terms = entities.select(F.col("entity_type").alias("label"), F.col("primary_name").alias("term")).unionByName(mentions.where("label is not null and text is not null").select("label", F.col("text").alias("term")).distinct())
+    return extraction.rule_entities(table(spark, folder, "sections"), "section_id", "content", terms)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -121,3 +121,19 @@ def parse_batch_verdicts(rows: DataFrame, key: str, column: str, size: int) -> D
     listed = F.regexp_extract(body, r"(?s)(\[.*\])", 1)
     got = rows.select(key, F.from_json(listed, T.ArrayType(schemas.VERDICT)).alias("v")).where(F.size("v") == size)
     return got.select(key, F.posexplode("v").alias("pos", "x")).select(key, "pos", "x.*")
+
+
+def read_terms(spark: SparkSession, path: str) -> DataFrame:
+    """(section, term, weight) of a curators' file of lists: ``name:`` lines, below them ``term: weight`` or ``- term`` entries.
+
+    Comments and blank lines are left out; an entry without a weight has null.  The file is small: one task reads it.
+    """
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("n", "line"))
+    body = F.trim(F.regexp_replace("line", r"(^|\s)#.*$", ""))
+    rows = lines.select("n", "line", body.alias("body")).where("body <> ''")
+    head = F.when(F.col("body").rlike(r"^[A-Za-z_]\w*:$"), F.regexp_extract("body", r"^(\w+):$", 1))
+    named = rows.withColumn("section", F.last(head, ignorenulls=True).over(Window.orderBy("n"))).where(head.isNull())
+    bare = F.regexp_replace("body", r"^-\s*", "")
+    weight = F.nullif(F.regexp_extract(bare, r":\s*(-?[0-9]*\.?[0-9]+)$", 1), F.lit("")).try_cast("double")
+    term = F.trim(F.translate(F.regexp_replace(bare, r":\s*-?[0-9]*\.?[0-9]+$", ""), "\"'", ""))
+    return named.select("section", term.alias("term"), weight.alias("weight")).where("term <> ''")

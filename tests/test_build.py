@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from scholark.operators import audit, claims, dedup, extraction, grounding, journals, relevance
+from scholark.operators import audit, claims, dedup, enrichment, extraction, graph, grounding, journals, relevance, resolution
 from scholark.plans import build, registry
 from scholark.sources import collectors, readers, sinks
 
@@ -101,6 +101,59 @@ def test_deposits_merge_on_their_title_latest_first(spark):
     assert set(got) == {"deposit:gut data", "doi:10.5281/zenodo.13"} and (r["doi"], r["title"], r["abstract"], r["citation_count"], r["source"]) == ("10.5281/ZENODO.12", "gut data", "old", 2, "merged:openalex+core")
 
 
+def test_rule_entities_match_alternations(spark):
+    """Leftmost-longest spans per label, as one alternation per label finds them."""
+    import re
+
+    texts = ["E. coli and E. coli K12; IL-6, il-6a (IL-6).", "\u0130 TNF-\u03b1 rose. tnf-\u03b1", "", None, "gut gut microbiota gutx", "a|b a.b [x] e. coli"]
+    terms = [("taxon", "E. coli"), ("taxon", "E. coli K12"), ("taxon", "coli K12"), ("gene", "IL-6"), ("gene", "TNF-\u03b1"), ("site", "gut"), ("site", "gut microbiota"), ("site", "g"), ("disease", "gut"), ("odd", "a|b"), ("odd", None)]
+    got = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    rows = extraction.rule_entities(got, "k", "t", spark.createDataFrame(terms, "label string, term string")).collect()
+    want = set()
+    for k, t in enumerate(texts):
+        for label in {x for x, _ in terms}:
+            forms = sorted({f.lower() for x, f in terms if x == label and f and len(f) > 1 and not (label == "disease" and len(f) <= 3)}, key=len, reverse=True)
+            if t and forms:
+                for m in re.finditer(r"(?<![^\W_])(?:" + "|".join(map(re.escape, forms)) + r")(?![^\W_])", t.replace("\u0130", "i").lower()):
+                    want.add((k, label, t[m.start() : m.end()], m.start(), m.end()))
+    assert {(r["k"], r["label"], r["text"], r["start_char"], r["end_char"]) for r in rows} == want and len(rows) == len(want) > 8
+
+
+def test_updated_claims_are_the_sequential_fold(spark):
+    rows = [("c", "p1", 0.9, False, 1), ("c", "p2", 0.5, False, 2), ("c", "p2", 0.1, True, 3), ("c", "p3", 0.7, True, 4), ("c", "p4", 1.0, False, 5), ("d", "p1", 0.4, True, 1), ("d", "p2", 0.6, False, 2), (None, "p", 0.5, False, 1), ("e", None, 0.5, False, 1)]
+    df = spark.createDataFrame(rows, "claim string, paper string, x double, bad boolean, k int")
+    got = {r["claim"]: (r["confidence"], r["n_support"], r["n_against"]) for r in claims.updated_claims(df, "claim", "paper", "x", F.col("bad"), ["k"]).collect()}
+    c = ((0.9 * 0.9 + 0.1 * 0.5) * 0.8) * 0.9 + 0.1 * 1.0
+    assert got == {"c": (round(c, 6), 3, 1), "d": (0.6, 1, 1)}
+
+
+def test_weighted_terms_from_a_file(spark, tmp_path):
+    (tmp_path / "terms.txt").write_text('# lists\npositive:\n  gut microbiome: 0.4\n  "stool": 0.3 # comment\nnegative:\n  mice: -0.5\ngate:\n  - 16s\n')
+    terms = readers.read_terms(spark, str(tmp_path / "terms.txt"))
+    assert sorted((r["section"], r["term"], r["weight"]) for r in terms.collect()) == [("gate", "16s", None), ("negative", "mice", -0.5), ("positive", "gut microbiome", 0.4), ("positive", "stool", 0.3)]
+    rows = spark.createDataFrame([(1, "Gut Microbiome in STOOL of mice"), (2, "16S"), (3, None), (4, "")], "k int, t string")
+    assert {r["k"]: (r["rule"], r["n_terms"]) for r in relevance.weighted_score(rows, F.coalesce("t", F.lit("")), terms).collect()} == {1: (0.133, 3), 2: (0.0, 0), 3: (0.0, 0), 4: (0.0, 0)}
+
+
+def test_merge_plan_and_neighbours(spark):
+    nodes = spark.createDataFrame([("a", "taxon"), ("b", "taxon"), ("c", "disease"), ("d", "taxon")], "id string, label string")
+    mapping = spark.createDataFrame([("a", "b"), ("c", "b"), ("b", "d"), ("z", "a"), ("d", "d")], "old string, new string")
+    got = {(r["old"], r["new"]): r["reason"] for r in graph.merge_plan(mapping, nodes).collect()}
+    assert got == {("a", "b"): "target of a merge", ("c", "b"): "type conflict", ("b", "d"): "target of a merge", ("z", "a"): "unknown node", ("d", "d"): "same node"}
+    rows = graph.neighbours(nodes.where("id in ('a', 'c')"), spark.createDataFrame([("a", "r", "c")], "src string, rel string, dst string")).collect()
+    assert sorted((r["id"], r["way"], r["rel"] or "", r["other"] or "") for r in rows) == [("a", "in", "", ""), ("a", "out", "r", "c"), ("c", "in", "r", "a"), ("c", "out", "", "")]
+
+
+def test_cursors_titles_and_nearest(spark):
+    runs = spark.createDataFrame([("a", 0, 50), ("a", 50, 0), ("b", 0, 20), ("b", 20, 5)], "source string, o int, n int")
+    assert {r["source"]: r["next_offset"] for r in enrichment.next_cursors(runs, "source", "n", "o").collect()} == {"a": 0, "b": 25}
+    papers = spark.createDataFrame([("p1", "10.1/X", "7", "T"), ("p2", None, " ", None)], "paper_id string, doi string, pmid string, title string")
+    keys = spark.createDataFrame([("p1",), ("10.1/x",), ("doi:10.1/x",), ("pmid:7",), ("p2",), (None,)], "key string")
+    assert sorted((r["key"] or "", r["title"]) for r in enrichment.titles_by_key(keys, "key", papers).collect()) == [("", None), ("10.1/x", "T"), ("doi:10.1/x", "T"), ("p1", "T"), ("p2", None), ("pmid:7", "T")]
+    up = resolution.ancestors(spark.createDataFrame([("x", "y"), ("y", "z"), ("z", "w"), ("w", "v")], "c string, p string"), "c", "p")
+    assert {r["node"]: (r["ancestor"], r["level"]) for r in resolution.nearest_registered(up, spark.createDataFrame([("z",), ("v",)], "id string"), "id").collect()} == {"x": ("z", 2), "y": ("z", 1), "z": ("v", 2), "w": ("v", 1)}
+
+
 # -- collectors
 def _item(spark, value):
     return spark.createDataFrame([(json.dumps(value),), ("{broken",), (None,), ("{}",)], "item string")
