@@ -256,3 +256,82 @@ def test_logs_queue_and_texts(spark, tmp_path):
     sinks.save_texts(texts, p("texts"))
     assert {r["content_hash"]: r["content"] for r in sinks.load_texts(spark, p("texts"), spark.createDataFrame([("ab1",), ("zz",)], "content_hash string")).collect()} == {"ab1": "one"}
     assert sinks.text_stats(spark, p("texts")).first().asDict() == {"n_texts": 2, "n_chars": 6, "n_prefixes": 2}
+
+
+# -- requests, verification, jobs
+def _api(spark, clock, **more):
+    from scholark.plans import api, engine
+
+    plans = {name: (lambda **p: spark.createDataFrame([(json.dumps(p, sort_keys=True),)], "p string")) for name, _ in api.ROUTES.values()}
+    plans["top_associations"] = lambda **p: spark.sql("select raise_error('bad')")
+    return api.Api(engine.Engine(spark, plans), api.Limiter(3, 60, clock), **more)
+
+
+def test_routes_validate_limit_and_answer(spark):
+    now = [0.0]
+    known = spark.createDataFrame([("Gut Pain",)], "name string")
+    app = _api(spark, lambda: now[0], known={"disease": known})
+    post = lambda path, who="u", **body: app.handle("POST", path, body, who)
+    status, got = post("/query/cross-study-associations", disease="gut pain", min_papers=2)
+    assert status == 200 and json.loads(got["rows"][0]["p"]) == {"disease": "gut pain", "min_papers": 2} and not got["cached"]
+    assert post("/query/cross-study-associations", disease="gut pain", min_papers=2)[1]["cached"]
+    assert post("/query/cross-study-associations", disease="odd")[1] == {"errors": ["disease: unknown odd"]}
+    assert post("/query/cross-study-associations", disease="gut pain")[0] == 429
+    now[0] = 61.0
+    assert post("/query/top-associations", disease="gut pain")[0] == 500
+    bad = [("/query/intervention-evidence", {"types": []}), ("/query/intervention-evidence", {"types": ["a", "DROP x"]}), ("/query/methodology-landscape", {"year_start": 2020, "year_end": 2010}), ("/query/conflicting-evidence", {"disease": "gut pain", "x": 1}), ("/query/top-associations", {"disease": "gut pain", "top_n": 0}), ("/query/conflicting-evidence", {})]
+    assert [post(p, f"v{k}", **b)[0] for k, (p, b) in enumerate(bad)] == [400] * len(bad)
+    assert app.handle("GET", "/health")[1]["status"] == "healthy" and app.handle("GET", "/limits")[1]["requests"] == 3 and app.handle("GET", "/none")[0] == 404
+    assert app.handle("POST", "/cache/invalidate")[1] == {"invalidated": 1} and app.handle("GET", "/cache/stats")[1]["hits"] == 1 and "/health" in app.handle("GET", "/")[1]["management"]
+
+
+def test_verifier_retries_splits_and_uses_the_cache(spark):
+    from scholark.operators import verifier
+
+    def ask(texts):
+        if "bad" in texts and len(texts) > 1 or texts == ["bad"]:
+            return "no json"
+        if "boom" in texts:
+            raise RuntimeError("down")
+        return "```json\n" + json.dumps([{"keep": t.startswith("k"), "confidence": 0.9 if t != "k2" else 0.6} for t in texts]) + "\n```"
+
+    rows = spark.createDataFrame([(1, "k1"), (2, "k2"), (3, "x"), (4, "bad"), (5, "boom"), (6, "cached"), (7, None)], "id int, t string").coalesce(1)
+    cache = spark.createDataFrame([(6, True, 0.8, "old"), (6, True, 0.8, "old"), (99, True, 1.0, "")], "id int, keep boolean, confidence double, reason string")
+    got = {r["id"]: (r["keep"], r["review"]) for r in verifier.verify(rows, "id", "t", ask, cache).collect()}
+    assert got == {1: (True, False), 2: (True, True), 3: (False, False), 4: (None, True), 5: (None, True), 6: (True, False), 7: (False, False)}
+
+
+def test_hybrid_needs_rows_classes_and_quality(spark):
+    from scholark.operators import verifier
+
+    rows = spark.range(300).selectExpr("id", "id / 300 as rule", "id / 300 as probability", "cast(null as double) as positive", "1.0 as negative", "case when id > 150 then 1 else 0 end as label")
+    model = verifier.hybrid(rows)
+    assert model is not None and verifier.hybrid(rows.limit(100)) is None and verifier.hybrid(rows.withColumn("label", F.lit(1))) is None
+    noise = rows.withColumn("label", F.pmod(F.xxhash64("id"), F.lit(2)))
+    assert verifier.hybrid(noise) is None
+    got = verifier.hybrid_scores(rows.drop("probability").withColumn("probability", F.col("rule")), model)
+    assert got.where("keep = (label = 1)").count() > 280 and verifier.hybrid_scores(rows, None).where("keep is not null").count() == 0
+
+
+def test_jobs_are_due_at_their_times():
+    from datetime import datetime
+
+    from scholark.streaming import jobs
+
+    at = datetime(2024, 5, 30, 2, 0)  # a Thursday
+    assert jobs.next_run("collect", at) == datetime(2024, 5, 31, 2) and jobs.next_run("retrain", at) == datetime(2024, 6, 2, 3) and jobs.next_run("drift", at) == datetime(2024, 6, 1, 4)
+    assert jobs.due("collect", None, at) and not jobs.due("collect", at, datetime(2024, 5, 31, 1, 59)) and jobs.due("collect", at, datetime(2024, 5, 31, 2))
+
+
+def test_collecting_job_takes_each_page_once(spark, tmp_path):
+    from scholark.streaming import jobs
+
+    pages, store, state = (str(tmp_path / n) for n in ("pages", "store", "state"))
+    os.mkdir(pages)
+    page = lambda n, *titles: open(f"{pages}/{n}.json", "w").write(json.dumps({"results": [{"title": t} for t in titles]}))  # noqa: E731, SIM115
+    page(1, "a", "b")
+    jobs.collect_new(spark, pages, store, state, collectors.from_openalex)
+    page(2, "b", "c")
+    jobs.collect_new(spark, pages, store, state, collectors.from_openalex)
+    jobs.collect_new(spark, pages, store, state, collectors.from_openalex)
+    assert sorted(r["title"] for r in spark.read.parquet(f"{store}/records").collect()) == ["a", "b", "c"] and spark.read.json(f"{store}/manifest").count() == 2
