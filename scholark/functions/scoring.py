@@ -10,7 +10,7 @@ PRIMARY = ("original_research", "clinical_trial", "RCT")
 WEAK_SECTIONS = ("abstract", "introduction")
 STRONG_SECTIONS = ("results", "discussion")
 RANK = {"weak": 1, "moderate": 2, "strong": 3}
-QUARTILE = {"Q1": 0.30, "Q2": 0.22, "Q3": 0.14, "Q4": 0.06}
+QUARTILE = {"Q1": 0.30, "Q2": 0.20, "Q3": 0.10, "Q4": 0.05}
 
 
 def strength_from_p(p: Column, article_type: Column, conflicting: Column | None = None) -> Column:
@@ -61,16 +61,24 @@ def intervention_confidence(direction: Column, p: Column, duration: Column, dosa
     return F.least(F.lit(1.0), part(direction, 0.3) + part(p, 0.3) + 0.2 + part(duration, 0.1) + part(dosage, 0.1))
 
 
-def quality(quartile: Column, design: Column, sample: Column, available: Column, methods: Column) -> Column:
-    """Quartile, design, sample size, data availability and methods, capped at 1 and rounded to 3 digits."""
+def quality(quartile: Column, article_type: Column, design: Column, design_confidence: Column, sample: Column, available: Column, methods: Column) -> Column:
+    """Journal, study, sample, data and methods (a text of their names), capped at 1 and rounded to 3 digits."""
     q = F.lit(0.0)
     for name, v in QUARTILE.items():
         q = F.when(quartile == name, v).otherwise(q)
-    d = F.when(design.isin("meta_analysis", "RCT"), 0.25).when(design == "cohort", 0.18).when(design.isNotNull(), 0.10).otherwise(0.0)
-    n = F.when(sample >= 1000, 0.2).when(sample >= 100, 0.15).when(sample >= 20, 0.08).otherwise(0.0)
-    a = F.when(available == "open", 0.15).when(available == "accession_linked", 0.12).otherwise(0.0)
-    m = F.when(methods > 0, 0.1).otherwise(0.0)
-    return F.round(F.least(F.lit(1.0), q + d + n + a + m), 3)
+    kind = F.lower(F.coalesce(article_type, F.lit("")))
+    scaled = F.round(design_confidence * 0.30, 3)
+    scaled = F.when(design.isin("meta_analysis", "systematic_review"), F.least(scaled, F.lit(0.25))).otherwise(scaled)
+    study = (
+        F.when(kind.contains("meta_analysis"), 0.22).when(kind.contains("systematic_review"), 0.20).when(kind.contains("protocol") | (design == "protocol"), 0.05).when(kind.contains("case_report"), 0.05)
+        .when(kind.contains("letter") | kind.contains("commentary"), 0.0).when(design_confidence > 0, scaled).when(kind.contains("original_research"), 0.10).otherwise(0.0)
+    )
+    n = F.when(sample >= 1000, 0.20).when(sample >= 500, 0.15).when(sample >= 100, 0.10).when(sample >= 10, 0.05).otherwise(0.0)
+    a = F.when(available == "accession_linked", 0.15).when(available == "open", 0.10).when(available == "restricted", 0.05).otherwise(0.0)
+    low = F.lower(F.coalesce(methods, F.lit("")))
+    deep = low.contains("shotgun") | low.contains("whole metagenome") | low.contains("whole genome") | low.contains("wgs") | low.contains("metatranscriptom")
+    m = F.when(deep, 0.05).when(low.contains("16s") | low.contains("amplicon"), 0.03).when(low != "", 0.01).otherwise(0.0)
+    return F.round(F.least(F.lit(1.0), q + study + n + a + m), 3)
 
 
 def consensus(increased: Column, decreased: Column, unchanged: Column, associated: Column | None) -> Column:

@@ -80,7 +80,7 @@ def train_with_validation(rows: DataFrame, features: list[str], label: str, fold
     model = LogisticRegression(labelCol=label, maxIter=30, probabilityCol="p_", rawPredictionCol="raw_")
     pipeline = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features"), model])
     grid = ParamGridBuilder().addGrid(model.regParam, [0.0, 0.1]).build()
-    judge = MulticlassClassificationEvaluator(labelCol=label, metricName="f1")
+    judge = MulticlassClassificationEvaluator(labelCol=label, metricName="f1", probabilityCol="p_")
     fitted = CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=judge, numFolds=folds, seed=7).fit(rows.fillna(0.0, features))
     return fitted.bestModel, max(fitted.avgMetrics)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import lexicon, text
+from ..functions import lexicon, scoring, text
 from ..operators import audit, claims, enrichment, extraction, graph, grounding, journals, relevance, research, resolution
 from ..sources import collectors, readers
 from . import adapters as a
@@ -377,3 +377,27 @@ def rule_entities(spark, folder):
     entities, mentions = table(spark, folder, "canonical_entities"), table(spark, folder, "mentions")
     terms = entities.select(F.col("entity_type").alias("label"), F.col("primary_name").alias("term")).unionByName(mentions.where("label is not null and text is not null").select("label", F.col("text").alias("term")).distinct())
     return extraction.rule_entities(table(spark, folder, "sections"), "section_id", "content", terms)
+
+
+@query(f"""WITH d AS ({registry.ORACLE['study_design']}), t AS (SELECT paper_id, article_type FROM ({registry.ARTICLE_SQL})), j AS (SELECT paper_id, arg_min(quartile, info_id) FILTER (quartile IS NOT NULL) AS quartile FROM journal_info GROUP BY 1),
+e AS (SELECT s.paper_id, max(g.sample_size) AS sample, string_agg(g.methods, '|' ORDER BY section_id) FILTER (g.methods <> '') AS methods FROM ({registry.ORACLE['evidence_signals']}) g JOIN sections s USING (section_id) WHERE s.section_type = 'methods' GROUP BY 1),
+v AS (SELECT s.paper_id, arg_min(a.status, section_id) AS status FROM ({registry.ORACLE['data_availability']}) a JOIN sections s USING (section_id) GROUP BY 1),
+x AS (SELECT p.paper_id, quartile, lower(coalesce(article_type, '')) AS kind, design, confidence AS c, sample, status, lower(coalesce(methods, '')) AS m FROM papers p LEFT JOIN d USING (paper_id) LEFT JOIN t USING (paper_id) LEFT JOIN j USING (paper_id) LEFT JOIN e USING (paper_id) LEFT JOIN v USING (paper_id))
+SELECT paper_id, round(least(1.0::DOUBLE, CASE quartile WHEN 'Q1' THEN 0.30::DOUBLE WHEN 'Q2' THEN 0.20::DOUBLE WHEN 'Q3' THEN 0.10::DOUBLE WHEN 'Q4' THEN 0.05::DOUBLE ELSE 0.0::DOUBLE END
+  + CASE WHEN contains(kind, 'meta_analysis') THEN 0.22::DOUBLE WHEN contains(kind, 'systematic_review') THEN 0.20::DOUBLE WHEN contains(kind, 'protocol') OR design = 'protocol' THEN 0.05::DOUBLE WHEN contains(kind, 'case_report') THEN 0.05::DOUBLE WHEN contains(kind, 'letter') OR contains(kind, 'commentary') THEN 0.0::DOUBLE
+    WHEN c > 0 THEN CASE WHEN design IN ('meta_analysis', 'systematic_review') THEN least(round(c * 0.30, 3), 0.25) ELSE round(c * 0.30, 3) END WHEN contains(kind, 'original_research') THEN 0.10::DOUBLE ELSE 0.0::DOUBLE END
+  + CASE WHEN sample >= 1000 THEN 0.20::DOUBLE WHEN sample >= 500 THEN 0.15::DOUBLE WHEN sample >= 100 THEN 0.10::DOUBLE WHEN sample >= 10 THEN 0.05::DOUBLE ELSE 0.0::DOUBLE END
+  + CASE status WHEN 'accession_linked' THEN 0.15::DOUBLE WHEN 'open' THEN 0.10::DOUBLE WHEN 'restricted' THEN 0.05::DOUBLE ELSE 0.0::DOUBLE END
+  + CASE WHEN contains(m, 'shotgun') OR contains(m, 'whole metagenome') OR contains(m, 'whole genome') OR contains(m, 'wgs') OR contains(m, 'metatranscriptom') THEN 0.05::DOUBLE WHEN contains(m, '16s') OR contains(m, 'amplicon') THEN 0.03::DOUBLE WHEN m <> '' THEN 0.01::DOUBLE ELSE 0.0::DOUBLE END), 3) AS score FROM x""")
+def paper_quality(spark, folder):
+    papers, sections = table(spark, folder, "papers"), table(spark, folder, "sections").where("content is not null")
+    quartile = table(spark, folder, "journal_info").where("quartile is not null").groupBy("paper_id").agg(F.min_by("quartile", "info_id").alias("quartile"))
+    methods = sections.where("section_type = 'methods'")
+    signals = extraction.evidence_signals(methods, "section_id", "content").join(methods.select("section_id", "paper_id"), "section_id")
+    signals = signals.groupBy("paper_id").agg(F.max("sample_size").alias("sample"), F.array_join(F.array_sort(F.collect_set(F.array_join("methods", "|"))), "|").alias("methods"))
+    stated = sections.where("section_type = 'data_availability'")
+    status = extraction.availability(stated, "section_id", "content").join(stated.select("section_id", "paper_id"), "section_id").groupBy("paper_id").agg(F.min_by("status", "section_id").alias("status"))
+    rows = papers.select("paper_id").join(extraction.study_design(papers).select("paper_id", "design", F.col("confidence").alias("c")), "paper_id").join(extraction.article_type(papers).select("paper_id", "article_type"), "paper_id")
+    for other in (quartile, signals, status):
+        rows = rows.join(other, "paper_id", "left")
+    return rows.select("paper_id", scoring.quality(F.col("quartile"), F.col("article_type"), F.col("design"), F.col("c"), F.col("sample"), F.col("status"), F.col("methods")).alias("score"))

@@ -447,12 +447,12 @@ def article_types(spark, folder):
 
 
 @query(f"""SELECT info_id, CASE WHEN is_predatory THEN 'predatory' WHEN impact_factor IS NULL AND quartile IS NULL THEN 'unrated' ELSE coalesce(quartile, 'unranked') END AS class,
-  round(CASE quartile WHEN 'Q1' THEN 0.30 WHEN 'Q2' THEN 0.22 WHEN 'Q3' THEN 0.14 WHEN 'Q4' THEN 0.06 ELSE 0.0 END + CASE WHEN is_open_access THEN 0.15 ELSE 0.0 END, 3)::DOUBLE AS score FROM journal_info""")
+  round(CASE quartile WHEN 'Q1' THEN 0.30 WHEN 'Q2' THEN 0.20 WHEN 'Q3' THEN 0.10 WHEN 'Q4' THEN 0.05 ELSE 0.0 END + CASE WHEN is_open_access THEN 0.10 ELSE 0.0 END, 3)::DOUBLE AS score FROM journal_info""")
 def journal_quality(spark, folder):
     rows = table(spark, folder, "journal_info")
     kind = F.when(F.col("is_predatory"), "predatory").when(F.col("impact_factor").isNull() & F.col("quartile").isNull(), "unrated").otherwise(F.coalesce("quartile", F.lit("unranked")))
-    none = F.lit(None).cast("string")
-    score = scoring.quality(F.col("quartile"), none, F.lit(None).cast("int"), F.when(F.col("is_open_access"), "open"), F.lit(0))
+    none, nothing = F.lit(None).cast("string"), F.lit(None).cast("double")
+    score = scoring.quality(F.col("quartile"), none, none, nothing, F.lit(None).cast("int"), F.when(F.col("is_open_access"), "open"), none)
     return rows.select("info_id", kind.alias("class"), score.alias("score"))
 
 
@@ -469,7 +469,13 @@ def word_chunks(spark, folder):
     return rows.select("doc_id", F.size("words").alias("n_words"), F.size(text.chunks(F.col("words"))).alias("n_chunks"))
 
 
-@query()
+HEADER_SQL = extraction.HEADER.replace("'", "''")
+
+
+@query(rf"""WITH l AS (SELECT section_id, i AS pos, trim(ls[i], ' ') AS line FROM (SELECT section_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT section_id, string_split_regex(content, '\r?\n') AS ls FROM sections WHERE content IS NOT NULL))),
+b AS (SELECT *, trim(regexp_replace(line, '^[#=\s]+|[#=\s]+$', '', 'g'), ' ') AS bare FROM l), h AS (SELECT *, CASE WHEN regexp_matches(bare, '{HEADER_SQL}') THEN bare END AS header FROM b),
+n AS (SELECT *, sum(CASE WHEN header IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY section_id ORDER BY pos) AS section_no FROM h)
+SELECT section_id, CAST(section_no AS BIGINT) AS section_no, max(header) AS header, coalesce(string_agg(line, ' ' ORDER BY pos) FILTER (header IS NULL AND line <> ''), '') AS body FROM n GROUP BY section_id, section_no""")
 def section_parse(spark, folder):
     return extraction.header_sections(table(spark, folder, "sections").where("content is not null"), "section_id", "content")
 
