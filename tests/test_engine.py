@@ -353,6 +353,13 @@ def test_every_mention_has_short_long_and_greek_terms(spark):
     assert got == {(1, "gene", "tnf-\u03b1"), (1, "gene", "il-6"), (1, "gene", "the bile salt hydrolase gene"), (1, "taxon", "e coli")}
 
 
+def test_both_ways_of_dictionary_mentions_agree(spark):
+    items = spark.createDataFrame([(1, "the bile salt hydrolase gene of E. coli, coli gene"), (2, None), (3, ""), (1, "E. coli")], "k long, s string")
+    known = spark.createDataFrame([("gene", "bile salt"), ("gene", "bile salt hydrolase gene"), ("taxon", "e coli"), ("odd", "coli"), ("taxon", "coli")], "label string, term string")
+    ways = [sorted(map(tuple, f(items, "k", "s", known).distinct().collect())) for f in (extraction._looked_up, extraction._joined_up)]
+    assert ways[0] == ways[1] and len(ways[0]) == 5
+
+
 def test_resolution_strategies_in_order(spark):
     forms = spark.createDataFrame([(f, "taxon") for f in ("Rosa canina", "ROSA  CANINA!", "RC", "R. canina", "R. alba", "dog rose", "Rosa canima", "Ros canima", "zzz", "R. minor", None)], "form string, entity_type string")
     entities = spark.createDataFrame([("t1", "Rosa canina", "taxon"), ("t2", "Rosa alba", "taxon"), ("t3", "Rumex alba", "taxon"), ("t4", "Rubus minor", "taxon"), ("t5", "Rheum minor", "taxon"), ("t6", "Ruta minor", "taxon")], "canonical_id string, primary_name string, entity_type string")
