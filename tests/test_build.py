@@ -101,10 +101,13 @@ def test_deposits_merge_on_their_title_latest_first(spark):
     assert set(got) == {"deposit:gut data", "doi:10.5281/zenodo.13"} and (r["doi"], r["title"], r["abstract"], r["citation_count"], r["source"]) == ("10.5281/ZENODO.12", "gut data", "old", 2, "merged:openalex+core")
 
 
-def test_rule_entities_match_alternations(spark):
-    """Leftmost-longest spans per label, as one alternation per label finds them."""
+@pytest.mark.parametrize("most", [200_000, 0])
+def test_rule_entities_match_alternations(spark, monkeypatch, most):
+    """Leftmost-longest spans per label, as one alternation per label finds them; with small and large dictionaries."""
     import re
 
+    monkeypatch.setattr(extraction, "MOST_TERMS", most)
+
     texts = ["E. coli and E. coli K12; IL-6, il-6a (IL-6).", "\u0130 TNF-\u03b1 rose. tnf-\u03b1", "", None, "gut gut microbiota gutx", "a|b a.b [x] e. coli"]
     terms = [("taxon", "E. coli"), ("taxon", "E. coli K12"), ("taxon", "coli K12"), ("gene", "IL-6"), ("gene", "TNF-\u03b1"), ("site", "gut"), ("site", "gut microbiota"), ("site", "g"), ("disease", "gut"), ("odd", "a|b"), ("odd", None)]
     got = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
